@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from bayline import schemas
 from bayline.functions import in_domain, money, parse_date, present
 from bayline.operators.joins import spread_lookup
+from bayline.session import stage
 
 KEY, ARRIVAL, REASONS = "ro_number", "arrival", "reasons"
 
@@ -70,14 +71,17 @@ def clean_orders(raw: DataFrame, gates: Sequence[Gate] = ORDER_GATES) -> DataFra
 def gate_orders(raw: DataFrame, gates: Sequence[Gate] = ORDER_GATES) -> DataFrame:
     """All rows with an array of the reasons they fail; an empty array means clean."""
     tested = raw.withColumn("_bad", _row_failures(gates))
-    # One row per order number, combined inside each map task before it is shuffled.
-    repeated = (
+    # One row per order number that occurs more than once, combined inside each map task before
+    # it is shuffled. Stored, because both steps of the lookup read it and Spark should choose
+    # between broadcast and shuffle from its real size.
+    repeated = stage(
         tested.groupBy(KEY)
         .agg(
             F.min(F.when(~F.col("_bad"), F.col(ARRIVAL))).alias("_first_clean"),
             F.count("*").alias("_rows"),
         )
-        .where((F.col("_rows") > 1) & F.col("_first_clean").isNotNull())
+        .where((F.col("_rows") > 1) & F.col("_first_clean").isNotNull()),
+        "repeated",
     )
     looked_up = spread_lookup(
         tested, repeated, [KEY], "_rows", ["_first_clean"], [F.col(KEY), F.col(ARRIVAL)]

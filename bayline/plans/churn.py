@@ -67,7 +67,7 @@ def fit(train: DataFrame, settings: Settings = Settings()) -> PipelineModel:
         Imputer(inputCols=list(FEATURES), outputCols=filled),
         VectorAssembler(inputCols=filled, outputCol="_features"),
         GBTClassifier(
-            featuresCol="_features", labelCol=LABEL, probabilityCol="_probability",
+            featuresCol="_features", labelCol=LABEL,
             maxIter=settings.trees, maxDepth=settings.depth, stepSize=settings.rate,
             seed=settings.seed, checkpointInterval=10,
         ),
@@ -76,7 +76,7 @@ def fit(train: DataFrame, settings: Settings = Settings()) -> PipelineModel:
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Churn risk per row, joined to nothing: the key travels through the model."""
-    risk = vector_to_array(F.col("_probability"))[1]
+    risk = vector_to_array(F.col("probability"))[1]
     return model.transform(df).select(*df.columns, risk.alias("churn_risk"))
 
 

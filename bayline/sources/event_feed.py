@@ -30,7 +30,10 @@ def messages(events: DataFrame) -> DataFrame:
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same messages as a stream over the table's files."""
     schema = table(spark, sf_dir, "events").schema
-    return messages(spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
+    # Written as a pattern because a stream takes a plain path for a directory, and the table
+    # may be one file as well as a directory of them.
+    files = f"{sf_dir.rstrip('/')}/events.parque[t]"
+    return messages(spark.readStream.schema(schema).parquet(files))
 
 
 def event_batch(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,6 +18,13 @@ RUNTIME_SETTINGS = {
     "spark.sql.parquet.filterPushdown": "true",
 }
 
+# Only read when a session starts: no call-site capture for every column expression.
+STARTUP_SETTINGS = {
+    "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else created."""
@@ -34,8 +41,7 @@ def build_session(app: str = "bayline", master: str | None = None, **extra: str)
         builder = builder.master(master)
     for key, value in {
         **RUNTIME_SETTINGS,
-        "spark.ui.enabled": "false",
-        "spark.ui.showConsoleProgress": "false",
+        **STARTUP_SETTINGS,
         **extra,
     }.items():
         builder = builder.config(key, value)
@@ -72,3 +78,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Give a scan of few splits enough tasks for the work behind it.
+
+    Spark cuts files so that every core gets a split once the table exceeds a few megabytes per
+    core. Fewer splits than cores therefore mean little data, for which one exchange by key costs
+    next to nothing; larger tables are returned as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from bayline.sources.service_tables import table
+from bayline.sources.service_tables import SCHEMAS, table, table_path
 
 # The feed's own event types stand in for service types; `signup` is left out on purpose and
 # ends up in the dead letter.
@@ -29,11 +29,10 @@ def messages(events: DataFrame) -> DataFrame:
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same messages as a stream over the table's files."""
-    schema = table(spark, sf_dir, "events").schema
     # Written as a pattern because a stream takes a plain path for a directory, and the table
     # may be one file as well as a directory of them.
-    files = f"{sf_dir.rstrip('/')}/events.parque[t]"
-    return messages(spark.readStream.schema(schema).parquet(files))
+    files = table_path(sf_dir, "events")[:-1] + "[t]"
+    return messages(spark.readStream.schema(SCHEMAS["events"]).parquet(files))
 
 
 def event_batch(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ from bayline.functions import in_domain, money, parse_date, present
 from bayline.operators.joins import spread_lookup
 from bayline.session import stage
 
-KEY, ARRIVAL, REASONS = "ro_number", "arrival", "reasons"
+KEY, ARRIVAL, REASON = "ro_number", "arrival", "reason"
 
 
 @dataclass(frozen=True)
@@ -69,7 +69,7 @@ def clean_orders(raw: DataFrame, gates: Sequence[Gate] = ORDER_GATES) -> DataFra
 
 
 def gate_orders(raw: DataFrame, gates: Sequence[Gate] = ORDER_GATES) -> DataFrame:
-    """All rows with an array of the reasons they fail; an empty array means clean."""
+    """All rows with the comma-joined reasons they fail; an empty text means clean."""
     tested = raw.withColumn("_bad", _row_failures(gates))
     # One row per order number that occurs more than once, combined inside each map task before
     # it is shuffled. Stored, because both steps of the lookup read it and Spark should choose
@@ -87,23 +87,23 @@ def gate_orders(raw: DataFrame, gates: Sequence[Gate] = ORDER_GATES) -> DataFram
         tested, repeated, [KEY], "_rows", ["_first_clean"], [F.col(KEY), F.col(ARRIVAL)]
     )
     duplicate = F.coalesce(F.col("_first_clean") < F.col(ARRIVAL), F.lit(False))
-    reasons = F.array_compact(F.array(*[
+    # concat_ws skips the NULLs of the gates a row has passed.
+    reason = F.concat_ws(",", *[
         F.when(duplicate if gate.fails is None else gate.fails(), F.lit(gate.name))
         for gate in gates
-    ]))
-    return looked_up.withColumn(REASONS, reasons).drop("_bad", "_first_clean")
+    ])
+    return looked_up.withColumn(REASON, reason).drop("_bad", "_first_clean")
 
 
 def passed(gated: DataFrame) -> DataFrame:
-    return gated.where(F.size(REASONS) == 0).drop(REASONS)
+    return gated.where(F.col(REASON) == "").drop(REASON)
 
 
 def quarantine(gated: DataFrame) -> DataFrame:
     """Rejected rows: order number, comma-joined reasons, the raw row as JSON text."""
-    raw = [c for c in gated.columns if c not in (ARRIVAL, REASONS)]
-    return gated.where(F.size(REASONS) > 0).select(
-        KEY,
-        F.concat_ws(",", REASONS).alias("reason"),
+    raw = [c for c in gated.columns if c not in (ARRIVAL, REASON)]
+    return gated.where(F.col(REASON) != "").select(
+        KEY, REASON,
         F.to_json(
             F.struct(*[F.col(c).cast("string").alias(c) for c in raw]),
             {"ignoreNullFields": "false"},

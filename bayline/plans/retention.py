@@ -147,37 +147,30 @@ def retention_by_warranty(labelled: DataFrame) -> DataFrame:
 
 
 def retention_kpis(labelled: DataFrame) -> DataFrame:
-    """Overall rate and rates by warranty, region and model, in long form, from one pass.
+    """Overall rate and rates by warranty, region and model, in long form.
 
-    `grouping sets` computes the four groupings over a single scan; an empty input still has its
-    overall row, with rate 0.
+    The customers are counted once per combination of the three; the groupings then work on
+    those few rows. An empty input still has its overall row, with rate 0.
     """
     warranty = F.when(F.col("in_warranty").cast("int") != 0, "in_warranty").otherwise(
         "out_of_warranty")
     kept = F.col("retained_next_period").cast("int")
-    # Combine to one row per segment combination first; the grouping sets then work on few rows.
     cells = labelled.groupBy(warranty.alias("warranty"), "region", "model").agg(
         F.count("*").alias("n"), F.sum(kept).alias("kept"))
-    sets = cells.groupingSets(
-        [[], [F.col("warranty")], [F.col("region")], [F.col("model")]],
-        F.col("warranty"), F.col("region"), F.col("model"),
-    ).agg(
-        F.sum("n").alias("customers"),
-        share_pct(F.sum("kept"), F.sum("n")).alias("rate"),
-        F.grouping("warranty").alias("gw"), F.grouping("region").alias("gr"),
-        F.grouping("model").alias("gm"),
-    )
-    dimension = (
-        F.when(F.col("gw") == 0, "warranty").when(F.col("gr") == 0, "region")
-        .when(F.col("gm") == 0, "model").otherwise("overall")
-    )
-    label = (
-        F.when(F.col("gw") == 0, F.col("warranty")).when(F.col("gr") == 0, F.col("region"))
-        .when(F.col("gm") == 0, F.col("model")).otherwise("all")
-    )
-    return sets.select(
-        dimension.alias("dimension"), label.alias("segment"),
-        F.coalesce("customers", F.lit(0)).alias("customers"),
+    rates = [F.sum("n").alias("customers"), share_pct(F.sum("kept"), F.sum("n")).alias("rate")]
+    names = ("warranty", "region", "model")
+    sets = cells.groupingSets([[F.col(n)] for n in names], *[F.col(n) for n in names]).agg(
+        *rates, *[F.grouping(n).alias(f"_{n}") for n in names])
+
+    def chosen(value) -> Column:
+        return F.coalesce(*[F.when(F.col(f"_{n}") == 0, value(n)) for n in names])
+
+    segments = sets.select(
+        chosen(F.lit).alias("dimension"), chosen(F.col).alias("segment"), "customers", "rate")
+    overall = cells.agg(*rates).select(
+        F.lit("overall").alias("dimension"), F.lit("all").alias("segment"), "customers", "rate")
+    return overall.unionByName(segments).select(
+        "dimension", "segment", F.coalesce("customers", F.lit(0)).alias("customers"),
         F.coalesce("rate", F.lit(0)).cast("decimal(5,1)").alias("retention_rate_pct"),
     )
 

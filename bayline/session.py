@@ -25,6 +25,8 @@ STARTUP_SETTINGS = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
+_LOCAL_SCRATCH = "bayline.scratch.dir"
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else created."""
@@ -53,13 +55,13 @@ def scratch_root(spark: SparkSession) -> str:
 
     A folder is made up only for a local session that names none.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_LOCAL_SCRATCH, None)
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     root = tempfile.mkdtemp(prefix="bayline-")
-    spark.conf.set("spark.checkpoint.dir", root)
+    spark.conf.set(_LOCAL_SCRATCH, root)
     return root
 
 

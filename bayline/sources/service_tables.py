@@ -51,6 +51,10 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
 
 
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "orders"), "o_orderkey")
+
+
 def _service_type() -> F.Column:
     priority = F.col("o_orderpriority")
     return (
@@ -84,7 +88,7 @@ def _arrival() -> F.Column:
 
 def raw_orders(spark: SparkSession, sf_dir: str, contacts: bool = False) -> DataFrame:
     """Repair orders before validation; `contacts` adds the customer's e-mail and phone."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    orders = _orders(spark, sf_dir).select("o_orderkey", "o_custkey", "o_orderpriority")
     extra = []
     if contacts:
         customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
@@ -178,7 +182,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items of whole orders, for the nested form of the fact."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    orders = _orders(spark, sf_dir).select("o_orderkey", "o_custkey", "o_orderdate")
     return _lines(spark, sf_dir).join(
         orders, F.col("l_orderkey") == F.col("o_orderkey")
     ).select(

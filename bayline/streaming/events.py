@@ -35,8 +35,9 @@ def parse_events(
         F.when(F.is_valid_utf8(text), text), _EVENT_TEXT,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT},
     )
-    # Parse once; the projection below then only reads struct fields.
-    parsed = df.withColumn("_e", event).withColumn("_text", text)
+    # Exploding a one-element array keeps one row per message and parses each message once: the
+    # optimizer would copy a plain projected parse into every expression and filter that uses it.
+    parsed = df.select("*", text.alias("_text"), F.explode(F.array(event)).alias("_e"))
     e = lambda name: F.col(f"_e.{name}")
     amount, dealer, day = (
         money(e("total_amount")), e("dealer_key").try_cast("int"), parse_date(e("service_date")))

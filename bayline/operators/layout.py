@@ -24,6 +24,15 @@ def write_partitioned(
     sliced.sortWithinPartitions(*order).write.mode(mode).partitionBy(partition).parquet(path)
 
 
+def create_table_as(df: DataFrame, name: str, path: str, partition: str | None = None) -> DataFrame:
+    """Store a frame as a catalog table at `path` and return the table."""
+    writer = df.write.mode("overwrite").format("parquet").option("path", path)
+    if partition:
+        writer = writer.partitionBy(partition)
+    writer.saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def read_between(
     spark: SparkSession, path: str, partition: str, start, end
 ) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from bayline.operators.joins import spread_lookup
+from bayline.session import stage
 
 
 def nest_lines(
@@ -19,11 +20,15 @@ def nest_lines(
     `part_no`, because one row (and the task that builds it) cannot hold an unbounded array. No
     line is left out; `unnest_lines` returns them all.
     """
-    # Sizes come from a combinable count; only oversized orders are looked up.
-    sizes = lines.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > max_lines)
+    # Sizes come from a combinable count. Only oversized orders are stored and looked up.
     parts = F.ceil(F.col("_n") / F.lit(max_lines)).cast("int")
+    oversized = stage(
+        lines.groupBy(*keys).agg(F.count("*").alias("_n"))
+        .where(F.col("_n") > max_lines).withColumn("_parts", parts),
+        "oversized",
+    )
     split = spread_lookup(
-        lines, sizes.withColumn("_parts", parts), keys, "_n", ["_parts"], spread_on
+        lines, oversized, keys, "_n", ["_parts"], spread_on
     ).withColumn(
         "part_no",
         F.coalesce(F.pmod(F.xxhash64(*spread_on), F.col("_parts")).cast("int"), F.lit(0)),

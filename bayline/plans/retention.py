@@ -11,27 +11,48 @@ def _day(as_of) -> Column:
     return F.current_date() if as_of is None else F.lit(as_of).cast("date")
 
 
-def _visit_features(when: Column | None = None) -> dict[str, Column]:
-    """Aggregates over a customer's visits, optionally only those where `when` holds."""
+# Per-visit measures whose sums, maxima and counts can be combined again.
+_SUMS = ("visits", "score_sum", "score_count", "wait_sum", "repeat_sum", "paid", "spend")
+_MAXIMA = ("last_visit", "had_recall")
+
+
+def _visit_totals(when: Column | None = None) -> list[Column]:
+    """Aggregates over visits, optionally only those where `when` holds."""
 
     def only(col: Column) -> Column:
         return col if when is None else F.when(when, col)
 
     paid = F.when(F.col("pay_type") == "customer", F.col("total_amount")).otherwise(0)
-    visits = F.count(only(F.lit(1)))
     score = only(F.col("satisfaction_score"))
-    spend = F.sum(only(F.col("total_amount")))
-    return {
+    return [
+        F.count(only(F.lit(1))).alias("visits"),
+        F.sum(score).alias("score_sum"),
+        F.count(score).alias("score_count"),
+        F.sum(only(F.col("days_to_close"))).alias("wait_sum"),
+        F.sum(only(F.col("repeat_repair_flag"))).alias("repeat_sum"),
+        F.sum(only(paid)).alias("paid"),
+        F.sum(only(F.col("total_amount"))).alias("spend"),
+        F.max(only(F.col("service_date"))).alias("last_visit"),
+        F.max(only((F.col("service_type") == "recall").cast("int"))).alias("had_recall"),
+    ]
+
+
+def _combined_totals() -> list[Column]:
+    return [F.sum(c).alias(c) for c in _SUMS] + [F.max(c).alias(c) for c in _MAXIMA]
+
+
+def _features(totals: DataFrame) -> DataFrame:
+    """Turn visit totals into the model's features."""
+    visits = F.col("visits")
+    share = F.try_divide(F.col("paid").cast("decimal(22,2)"), F.col("spend").cast("decimal(22,2)"))
+    return totals.withColumns({
         "prior_visits": visits,
-        "last_visit": F.max(only(F.col("service_date"))),
-        "avg_satisfaction": ratio(F.sum(score), F.count(score), 6),
-        "avg_wait_days": ratio(F.sum(only(F.col("days_to_close"))), visits, 6),
-        "repeat_repair_rate": ratio(F.sum(only(F.col("repeat_repair_flag"))), visits, 6),
-        "customer_pay_share": F.round(F.try_divide(
-            F.sum(only(paid)).cast("decimal(22,2)"), spend.cast("decimal(22,2)")), 6),
-        "total_service_spend": spend,
-        "had_recall": F.max(only((F.col("service_type") == "recall").cast("int"))),
-    }
+        "avg_satisfaction": ratio(F.col("score_sum"), F.col("score_count"), 6),
+        "avg_wait_days": ratio(F.col("wait_sum"), visits, 6),
+        "repeat_repair_rate": ratio(F.col("repeat_sum"), visits, 6),
+        "customer_pay_share": F.round(share, 6),
+        "total_service_spend": F.col("spend"),
+    })
 
 
 def _aged(df: DataFrame, as_of: Column, warranty_by_contract: bool = False) -> DataFrame:
@@ -53,19 +74,22 @@ def retention_features(
 ) -> DataFrame:
     """Features per customer, model and in-service date.
 
+    Orders are totalled per customer and vehicle before the dimensions are joined, so the joins
+    move one row per pair and a customer or vehicle with very many orders is combined early.
     `in_warranty` means at most three calendar years old; `warranty_by_contract` uses the
     vehicle's own warranty months instead.
     """
     keys = ["customer_key", "model", "in_service_date"]
     if warranty_by_contract:
         keys.append("warranty_months")
+    pairs = fact.groupBy("customer_key", "vehicle_key").agg(*_visit_totals())
     grouped = (
-        fact.join(customers.select("customer_key"), "customer_key")
+        pairs.join(customers.select("customer_key"), "customer_key")
         .join(vehicles.select("vehicle_key", *keys[1:]), "vehicle_key")
         .groupBy(*keys)
-        .agg(*[col.alias(name) for name, col in _visit_features().items()])
+        .agg(*_combined_totals())
     )
-    return _aged(grouped, _day(as_of), warranty_by_contract).select(
+    return _aged(_features(grouped), _day(as_of), warranty_by_contract).select(
         "customer_key", "model", "in_service_date", "vehicle_age", "in_warranty", "prior_visits",
         "months_since_last_service", "avg_satisfaction", "avg_wait_days", "repeat_repair_rate",
         "customer_pay_share", "total_service_spend", "had_recall",
@@ -90,15 +114,13 @@ def service_history(
     per_customer = (
         fact.groupBy("customer_key")
         .agg(
-            *[col.alias(name) for name, col in _visit_features(before).items()],
+            *_visit_totals(before),
             F.max(F.when(before, visit)).alias("last"),
             F.coalesce(F.max(back.cast("int")), F.lit(0)).alias("retained_next_period"),
         )
-        .where(F.col("prior_visits") > 0)
-        .select(
-            *[F.col(name) for name in _visit_features()], "customer_key",
-            "retained_next_period", "last.dealer_key", "last.vehicle_key",
-        )
+        .where(F.col("visits") > 0)
+        .select("*", "last.dealer_key", "last.vehicle_key")
+        .drop("last")
     )
     joined = (
         per_customer
@@ -109,7 +131,7 @@ def service_history(
         .join(vehicles.select("vehicle_key", "model", "model_year", "in_service_date"),
               "vehicle_key")
     )
-    return _aged(joined, cut).select(
+    return _aged(_features(joined), cut).select(
         "customer_key", "dealer_id", "region", "model", "model_year", "vehicle_age",
         "in_warranty", "prior_visits", "months_since_last_service", "avg_satisfaction",
         "avg_wait_days", "repeat_repair_rate", "customer_pay_share",

@@ -18,11 +18,15 @@ RUNTIME_SETTINGS = {
     "spark.sql.parquet.filterPushdown": "true",
 }
 
-# Only read when a session starts: no call-site capture for every column expression.
+# For sessions built here only, since they are read when a session starts.
 STARTUP_SETTINGS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # No call-site capture for every column expression.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # Streaming state on local disk with checkpoints, so that it may outgrow executor memory.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 _LOCAL_SCRATCH = "bayline.scratch.dir"

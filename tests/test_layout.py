@@ -102,3 +102,17 @@ def test_oversized_orders_are_split_without_losing_lines(spark):
     assert back.exceptAll(lines).isEmpty() and back.count() == 5_000
     items = built.where("ro_number = 'R1'").first().line_items
     assert items == sorted(items)
+
+
+def test_tables_and_views_are_found_in_the_catalog(spark, stored, tmp_path):
+    month = layout.read_between(spark, stored, "service_month", "2024-05-01", "2024-05-01")
+    table = layout.create_table_as(month, "may_fact", str(tmp_path / "may"), "service_month")
+    try:
+        assert table.count() == month.count()
+        month.select("dealer_key").createOrReplaceTempView("may_dealers")
+        names = {t.name for t in spark.catalog.listTables()}
+        assert {"may_fact", "may_dealers"} <= names
+        assert spark.sql("SELECT count(*) FROM may_dealers").first()[0] == month.count()
+    finally:
+        spark.sql("DROP TABLE may_fact")
+        spark.catalog.dropTempView("may_dealers")

@@ -92,6 +92,28 @@ def top_fraction(
     return ranked.where(F.col("_pos") < rows).drop("_pos")
 
 
+def with_group_position(df: DataFrame, group: str, order: Sequence[Column]) -> DataFrame:
+    """Add `group_position` (0-based, under `order`) and `group_rows` per group.
+
+    Works from global positions, so a group of any size is numbered by many tasks: its first
+    position is a plain minimum over the group.
+    """
+    ranked = with_position(df, [F.col(group), *order], "_pos")
+    groups = ranked.groupBy(group).agg(
+        F.min("_pos").alias("_first"), F.count("*").alias("group_rows"))
+    return ranked.join(groups, group).select(
+        *df.columns, (F.col("_pos") - F.col("_first")).alias("group_position"), "group_rows")
+
+
+def top_fraction_per_group(
+    df: DataFrame, group: str, order: Sequence[Column], fraction: float
+) -> DataFrame:
+    """The first rows of each group, as many as the fraction of its rows, rounded down."""
+    wanted = F.floor(F.col("group_rows") * F.lit(float(fraction)))
+    return with_group_position(df, group, order).where(F.col("group_position") < wanted).drop(
+        "group_position", "group_rows")
+
+
 def top_n_per_group(
     df: DataFrame, group: str, order: Sequence[Column], spread_on: str, n: int, salts: int = 64
 ) -> DataFrame:

@@ -559,6 +559,10 @@ SELECT customer_key, region, churn_risk, recommended_action,
   CAST(expected AS DOUBLE) AS expected_value FROM valued
 QUALIFY row_number() OVER (PARTITION BY region ORDER BY churn_risk DESC, customer_key) <= 500
 """, _HISTORY)
+fact("at_risk_top_decile_by_region", """
+SELECT customer_key, region, churn_risk FROM scored
+QUALIFY row_number() OVER (PARTITION BY region ORDER BY churn_risk DESC, customer_key)
+  <= floor(count(*) OVER (PARTITION BY region) * CAST(0.1 AS DOUBLE))""", _HISTORY)
 fact("at_risk_by_model", f"""
 SELECT model, customer_key, {day('in_service_date')} AS in_service_date,
   months_since_last_service / CAST(100 AS DOUBLE) AS churn_risk FROM features
@@ -596,7 +600,6 @@ SELECT count(*) AS targeted, round(avg(1 - retained_next_period)
 FROM (SELECT * FROM scored QUALIFY row_number() OVER (ORDER BY churn_risk DESC, customer_key)
   <= greatest(1, (SELECT count(*) FROM scored) // 10))""", _HISTORY)
 
-_SPLIT_TEST = "CAST(round(count(*) FILTER ({0}) * 0.25) AS BIGINT)"
 fact("churn_split_counts", """
 SELECT churned, is_train, CASE is_train WHEN 0 THEN held ELSE n - held END AS customers
 FROM (SELECT CAST(1 - retained_next_period AS INTEGER) AS churned, count(*) AS n,

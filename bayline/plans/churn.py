@@ -8,9 +8,9 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from bayline.operators.ranking import with_position
+from bayline.operators.ranking import with_group_position
 from bayline.plans import metrics
 from bayline.schemas import FEATURES
 from bayline.session import scratch_root, stage
@@ -42,19 +42,10 @@ def stratified_split(df: DataFrame, settings: Settings = Settings()) -> DataFram
     Rows are ordered by class and a seeded hash of the key, so the split depends neither on row
     order nor on partitioning, and no class is sorted in one task.
     """
-    order = [F.col(LABEL), F.xxhash64(F.lit(settings.seed), F.col(KEY)), F.col(KEY)]
-    ranked = with_position(df, order, "_pos")
-    # Two rows, one per class.
-    before = Window.orderBy(LABEL).rowsBetween(Window.unboundedPreceding, -1)
-    classes = ranked.groupBy(LABEL).agg(F.count("*").alias("_n")).select(
-        LABEL,
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"),
-        F.round(F.col("_n") * F.lit(settings.test_fraction)).alias("_test"),
-    )
-    return ranked.join(F.broadcast(classes), LABEL).select(
-        *df.columns,
-        (F.col("_pos") - F.col("_start") >= F.col("_test")).cast("int").alias("is_train"),
-    )
+    order = [F.xxhash64(F.lit(settings.seed), F.col(KEY)), F.col(KEY)]
+    held_out = F.round(F.col("group_rows") * F.lit(settings.test_fraction))
+    return with_group_position(df, LABEL, order).select(
+        *df.columns, (F.col("group_position") >= held_out).cast("int").alias("is_train"))
 
 
 def fit(train: DataFrame, settings: Settings = Settings()) -> PipelineModel:

@@ -7,7 +7,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from bayline.operators.ranking import top_fraction, top_n_per_group
+from bayline.operators.ranking import (
+    top_fraction, top_fraction_per_group, top_n_per_group,
+)
 
 
 @dataclass(frozen=True)
@@ -90,3 +92,11 @@ def at_risk_by_group(
 ) -> DataFrame:
     """The n riskiest rows of each group, exact, without sorting a whole group in one task."""
     return top_n_per_group(scored, group, [F.desc("churn_risk"), F.asc(key)], key, n)
+
+
+def at_risk_share_by_group(
+    scored: DataFrame, group: str = "region", fraction: float = 0.1, key: str = "customer_key"
+) -> DataFrame:
+    """The riskiest fraction of each group instead of a fixed number of rows."""
+    return top_fraction_per_group(
+        scored, group, [F.desc("churn_risk"), F.asc(key)], fraction)

@@ -134,7 +134,7 @@ def conform_fact(
     """Clean orders with their surrogate keys and survey scores.
 
     Only left joins: an unknown dealer or vehicle keeps its row with a NULL key, for
-    `split_orphans` to deal with. No side is forced to broadcast; the dimensions are stored
+    `resolved` and `orphan_rejects` to deal with. No side is forced to broadcast; the dimensions are stored
     tables, so Spark picks broadcast or shuffle from their real size and splits skewed keys.
     """
     base = clean.select(
@@ -150,10 +150,26 @@ def conform_fact(
     )
 
 
-def split_orphans(fact: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Resolved fact rows, and quarantine rows for those without a dealer or vehicle."""
-    orphan = F.col("dealer_key").isNull() | F.col("vehicle_key").isNull()
-    rejects = fact.where(orphan).select(
+def _is_orphan() -> F.Column:
+    return F.col("dealer_key").isNull() | F.col("vehicle_key").isNull()
+
+
+def resolved(conformed: DataFrame) -> DataFrame:
+    """The fact rows that found their dealer and their vehicle."""
+    return conformed.where(~_is_orphan())
+
+
+def orphan_rejects(clean: DataFrame, dealers: DataFrame, vehicles: DataFrame) -> DataFrame:
+    """Quarantine rows for clean orders whose dealer or vehicle no dimension has.
+
+    Looks at the three columns it needs, so the wide fact does not have to be stored for it.
+    """
+    looked_up = (
+        clean.select("ro_number", "dealer_id", "vin")
+        .join(dealers.select("dealer_id", "dealer_key"), "dealer_id", "left")
+        .join(vehicles.select("vin", "vehicle_key"), "vin", "left")
+    )
+    return looked_up.where(_is_orphan()).select(
         "ro_number",
         F.concat_ws(
             ",",
@@ -164,13 +180,12 @@ def split_orphans(fact: DataFrame) -> tuple[DataFrame, DataFrame]:
             F.struct("ro_number", "dealer_id", "vin"), {"ignoreNullFields": "false"}
         ).alias("raw_row"),
     )
-    return fact.where(~orphan), rejects
 
 
-def keyed_fact(resolved: DataFrame) -> DataFrame:
+def keyed_fact(rows: DataFrame) -> DataFrame:
     """Fact rows numbered in arrival order."""
-    rows = resolved.select(*FACT_COLUMNS, "arrival")
-    return with_surrogate_key(rows, [F.col("arrival")], "ro_key").drop("arrival")
+    wanted = rows.select(*FACT_COLUMNS, "arrival")
+    return with_surrogate_key(wanted, [F.col("arrival")], "ro_key").drop("arrival")
 
 
 FACT_COLUMNS = tuple(f.name for f in schemas.FACT.fields if f.name != "ro_key")
@@ -180,19 +195,17 @@ def build_warehouse(sources: Sources, on_orphan: str = "quarantine") -> Warehous
     """The whole batch run. `on_orphan` is `quarantine` (keep as rejects) or `fail`.
 
     The gated orders are read by the dimensions, the fact, the rejects and the audit, so they
-    are staged once; so is the conformed fact, which keys, audit and orphans read.
+    are staged once. The fact is staged once as well, when its keys are numbered.
     """
     gated = stage(gates.gate_orders(sources.orders), "gated")
     clean = gates.passed(gated)
     dealer, vehicle = dim_dealer(sources.dealers), dim_vehicle(sources.vehicles)
     customer = dim_customer(clean)
-    conformed = stage(
-        conform_fact(clean, dealer, vehicle, customer, sources.surveys), "conformed"
-    )
-    resolved, orphans = split_orphans(conformed)
+    orphans = orphan_rejects(clean, dealer, vehicle)
     if on_orphan == "fail" and not orphans.isEmpty():
         raise ValueError("orders refer to dealers or vehicles the dimensions do not have")
-    keyed = keyed_fact(resolved)
+    keyed = keyed_fact(
+        resolved(conform_fact(clean, dealer, vehicle, customer, sources.surveys)))
     trail = audit.etl_audit(gated, sources.vehicles, sources.dealers, sources.surveys, keyed)
     return Warehouse(
         dim_dealer=dealer,

@@ -213,8 +213,7 @@ def fact_repair_orders(s: Star) -> DataFrame:
         clean, warehouse.dim_dealer(sources.dealers), warehouse.dim_vehicle(sources.vehicles),
         warehouse.dim_customer(clean), sources.surveys,
     )
-    resolved, _ = warehouse.split_orphans(conformed)
-    return warehouse.keyed_fact(resolved)
+    return warehouse.keyed_fact(warehouse.resolved(conformed))
 
 
 @query
@@ -437,6 +436,12 @@ def at_risk_by_region(s: Star) -> DataFrame:
         "customer_key", "region", "churn_risk", "recommended_action", "expected_value")
 
 
+@query
+def at_risk_top_decile_by_region(s: Star) -> DataFrame:
+    return outreach.at_risk_share_by_group(_scored(s)).select(
+        "customer_key", "region", "churn_risk")
+
+
 @query
 def at_risk_by_model(s: Star) -> DataFrame:
     scored = _features(s).withColumn(

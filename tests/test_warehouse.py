@@ -1,3 +1,4 @@
+import datetime as dt
 import json
 
 import pytest
@@ -5,7 +6,7 @@ from pyspark.sql import functions as F
 
 from bayline import schemas
 from bayline.operators import audit, checks, joins, layout
-from bayline.plans import governance, warehouse
+from bayline.plans import governance, kpis, views, warehouse
 from bayline.sources import landing
 
 HEADER = [f.name for f in schemas.ORDERS_CSV.fields]
@@ -166,3 +167,24 @@ def test_service_history_file_is_typed(spark, tmp_path):
     (tmp_path / "h.csv").write_text(",".join(names) + "\n" + ",".join(["1"] * len(names)))
     types = dict(landing.read_service_history(spark, str(tmp_path / "h.csv")).dtypes)
     assert types["in_warranty"] == "double" and types["region"] == "string"
+
+
+def test_own_sql_runs_on_the_views(spark, built):
+    names = views.create_views(built.tables(), "2025-12-31")
+    try:
+        got = views.rows(spark, """
+            SELECT region, round(100.0 * sum(CASE WHEN repeat_repair_flag = 0 THEN 1 ELSE 0 END)
+                   / count(*), 1) AS pct, count(*) AS n
+            FROM fact_repair_orders JOIN dim_dealer USING (dealer_key)
+            GROUP BY region ORDER BY region""")
+        library = kpis.fixed_first_visit(built.fact_repair_orders, built.dim_dealer)
+        assert [tuple(r) for r in got] == [tuple(r) for r in library.orderBy("region").collect()]
+        month = "SELECT sum(ro_count) FROM mv_monthly_dealer_revenue WHERE month = :m"
+        assert views.scalar(spark, month, {"m": dt.date(2025, 1, 1)}) == 10
+        assert views.scalar(
+            spark, "SELECT sum(prior_visits) FROM v_customer_retention_features") == 60
+        assert views.scalar(spark, "SELECT count(*) FROM v_dealer_performance") == 60
+        assert set(names) <= {t.name for t in spark.catalog.listTables()}
+    finally:
+        for name in names:
+            spark.catalog.dropTempView(name)

@@ -22,26 +22,38 @@ KEY, ARRIVAL, REASON = "ro_number", "arrival", "reason"
 
 @dataclass(frozen=True)
 class Gate:
-    """`fails` maps the frame's columns to a predicate; None marks the duplicate gate."""
+    """`fails` gives the predicate of a bad row; None marks the duplicate gate.
+
+    `passes` may give a cheaper predicate of a good row (NULL counts as bad). It may answer for
+    another gate too, which is then marked `covered` and left out of the pass-or-fail test.
+    """
 
     name: str
     fails: Callable[[], Column] | None
+    passes: Callable[[], Column] | None = None
+    covered: bool = False
+
+
+def _labor() -> Column:
+    return money(F.col("labor_amount"))
 
 
-def _negative(name: str) -> Column:
-    return F.coalesce(money(F.col(name)) < 0, F.lit(False))
+def _parts() -> Column:
+    return money(F.col("parts_amount"))
 
 
 # Reason names are fixed values and are listed in reporting order. The three `unparsable_*`
 # gates cover input that cannot be loaded at all; without them it would turn into silent NULLs.
 ORDER_GATES: tuple[Gate, ...] = (
     Gate("missing_vin", lambda: ~present(F.col("vin"))),
-    Gate("negative_amount", lambda: _negative("labor_amount") | _negative("parts_amount")),
+    Gate("negative_amount",
+         lambda: F.coalesce(_labor() < 0, F.lit(False)) | F.coalesce(_parts() < 0, F.lit(False)),
+         passes=lambda: (_labor() >= 0) & (_parts() >= 0)),
     Gate("duplicate_ro_number", None),
     Gate("invalid_service_type",
-         lambda: ~in_domain(F.col("service_type"), schemas.SERVICE_TYPES)),
-    Gate("unparsable_amount",
-         lambda: money(F.col("labor_amount")).isNull() | money(F.col("parts_amount")).isNull()),
+         lambda: ~in_domain(F.col("service_type"), schemas.SERVICE_TYPES),
+         passes=lambda: F.col("service_type").isin(*schemas.SERVICE_TYPES)),
+    Gate("unparsable_amount", lambda: _labor().isNull() | _parts().isNull(), covered=True),
     Gate("unparsable_date", lambda: parse_date(F.col("open_date")).isNull()),
     Gate("unparsable_number",
          lambda: F.col("days_to_close").try_cast("int").isNull()
@@ -49,12 +61,13 @@ ORDER_GATES: tuple[Gate, ...] = (
 )
 
 
-def _row_failures(gates: Sequence[Gate]) -> Column:
-    failed = F.lit(False)
+def _row_passes(gates: Sequence[Gate]) -> Column:
+    """True when no row-level gate rejects the row; false or NULL otherwise."""
+    ok = F.lit(True)
     for gate in gates:
-        if gate.fails is not None:
-            failed = failed | gate.fails()
-    return failed
+        if gate.fails is not None and not gate.covered:
+            ok = ok & (gate.passes() if gate.passes else ~gate.fails())
+    return ok
 
 
 def clean_orders(raw: DataFrame, gates: Sequence[Gate] = ORDER_GATES) -> DataFrame:
@@ -63,21 +76,21 @@ def clean_orders(raw: DataFrame, gates: Sequence[Gate] = ORDER_GATES) -> DataFra
     `row_number() = 1` is cut to one row per key inside each map task before the shuffle, so
     copies of a hot order number never pile up in one task.
     """
-    passing = raw.where(~_row_failures(gates))
+    passing = raw.where(_row_passes(gates))
     first = Window.partitionBy(KEY).orderBy(ARRIVAL)
     return passing.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").drop("_nth")
 
 
 def gate_orders(raw: DataFrame, gates: Sequence[Gate] = ORDER_GATES) -> DataFrame:
     """All rows with the comma-joined reasons they fail; an empty text means clean."""
-    tested = raw.withColumn("_bad", _row_failures(gates))
+    tested = raw.withColumn("_ok", F.coalesce(_row_passes(gates), F.lit(False)))
     # One row per order number that occurs more than once, combined inside each map task before
     # it is shuffled. Stored, because both steps of the lookup read it and Spark should choose
     # between broadcast and shuffle from its real size.
     repeated = stage(
         tested.groupBy(KEY)
         .agg(
-            F.min(F.when(~F.col("_bad"), F.col(ARRIVAL))).alias("_first_clean"),
+            F.min(F.when(F.col("_ok"), F.col(ARRIVAL))).alias("_first_clean"),
             F.count("*").alias("_rows"),
         )
         .where((F.col("_rows") > 1) & F.col("_first_clean").isNotNull()),
@@ -92,7 +105,7 @@ def gate_orders(raw: DataFrame, gates: Sequence[Gate] = ORDER_GATES) -> DataFram
         F.when(duplicate if gate.fails is None else gate.fails(), F.lit(gate.name))
         for gate in gates
     ])
-    return looked_up.withColumn(REASON, reason).drop("_bad", "_first_clean")
+    return looked_up.withColumn(REASON, reason).drop("_ok", "_first_clean")
 
 
 def passed(gated: DataFrame) -> DataFrame:

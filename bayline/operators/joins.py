@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -43,34 +44,35 @@ def spread_lookup(
     )
 
 
-def unresolved_keys(facts: DataFrame, dims: Sequence[tuple[str, str, DataFrame, str]]) -> DataFrame:
-    """Fact rows without a dimension member: (dimension, missing_key, orphan_rows).
+# (dimension name, fact key, dimension table, dimension key)
+Reference = tuple[str, str, DataFrame, str]
 
-    Facts are counted per key before the anti join, so a hot key travels as one row.
-    """
-    parts = []
-    for name, fact_key, dim, dim_key in dims:
-        counted = facts.groupBy(F.col(fact_key).alias("_k")).agg(F.count("*").alias("orphan_rows"))
-        missing = counted.join(
-            dim.select(F.col(dim_key).alias("_d")), F.col("_k") == F.col("_d"), "left_anti"
-        )
-        parts.append(missing.select(
-            F.lit(name).alias("dimension"),
-            F.col("_k").cast("string").alias("missing_key"),
-            "orphan_rows",
-        ))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
-def orphan_summary(facts: DataFrame, dims: Sequence[tuple[str, str, DataFrame, str]]) -> DataFrame:
+
+def _orders_per_key(facts: DataFrame, dims: Sequence[Reference]) -> DataFrame:
+    """Fact rows per (dimension, key), from one scan; a hot key is combined to one row early."""
+    pairs = facts.select(F.explode(F.array(*[
+        F.struct(F.lit(name).alias("dimension"), F.col(key).cast("string").alias("missing_key"))
+        for name, key, _, _ in dims
+    ])).alias("p")).select("p.*")
+    return pairs.groupBy("dimension", "missing_key").agg(F.count("*").alias("orphan_rows"))
+
+
+def _members(dims: Sequence[Reference]) -> DataFrame:
+    return reduce(DataFrame.unionByName, [
+        dim.select(F.lit(name).alias("dimension"), F.col(key).cast("string").alias("missing_key"))
+        for name, _, dim, key in dims
+    ])
+
+
+def unresolved_keys(facts: DataFrame, dims: Sequence[Reference]) -> DataFrame:
+    """Fact rows without a dimension member: (dimension, missing_key, orphan_rows)."""
+    return _orders_per_key(facts, dims).join(
+        _members(dims), ["dimension", "missing_key"], "left_anti")
+
+
+def orphan_summary(facts: DataFrame, dims: Sequence[Reference]) -> DataFrame:
     """One row per dimension with the number of orphan fact rows, zero included."""
-    names = facts.sparkSession.createDataFrame([(d[0],) for d in dims], "dimension string")
-    found = unresolved_keys(facts, dims).groupBy("dimension").agg(
-        F.sum("orphan_rows").alias("orphan_rows")
-    )
-    return names.join(found, "dimension", "left").select(
-        "dimension", F.coalesce("orphan_rows", F.lit(0)).alias("orphan_rows")
-    )
+    found = _orders_per_key(facts, dims).join(
+        _members(dims).withColumn("_known", F.lit(True)), ["dimension", "missing_key"], "left")
+    orphan = F.when(F.col("_known").isNull(), F.col("orphan_rows")).otherwise(0)
+    return found.groupBy("dimension").agg(F.sum(orphan).alias("orphan_rows"))

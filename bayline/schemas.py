@@ -42,7 +42,7 @@ SURVEYS_JSON = T.StructType([
     T.StructField("channel", T.StringType()),
 ])
 
-# Churn features in model order.
+# The churn features in model order.
 FEATURES = (
     "vehicle_age", "in_warranty", "prior_visits", "months_since_last_service",
     "avg_satisfaction", "avg_wait_days", "repeat_repair_rate", "customer_pay_share",

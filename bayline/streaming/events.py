@@ -77,10 +77,22 @@ def dead_letters(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("error").isNotNull()).select("raw", "error")
 
 
-def unique_events(events: DataFrame, event_time: str, delay: str) -> DataFrame:
+def unique_events(
+    events: DataFrame, event_time: str, delay: str, hot_keys: bool = True
+) -> DataFrame:
     """Streaming deduplication on ro_number for redeliveries that arrive within `delay`.
 
     State is bounded by the delay: a repeat later than that passes, and an event older than the
     watermark is dropped by Spark and shows up in numRowsDroppedByWatermark.
+
+    Copies of one number all meet in one task. With `hot_keys` they are first reduced to one per
+    input task, so that a number that makes up much of a batch is spread over many tasks; that
+    costs a second, equally bounded state. Turn it off for feeds without hot numbers.
     """
-    return events.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["ro_number"])
+    unique = events.withWatermark(event_time, delay)
+    if hot_keys:
+        unique = (
+            unique.withColumn("_slot", F.spark_partition_id())
+            .dropDuplicatesWithinWatermark(["ro_number", "_slot"]).drop("_slot")
+        )
+    return unique.dropDuplicatesWithinWatermark(["ro_number"])

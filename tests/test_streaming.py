@@ -114,17 +114,19 @@ def test_the_target_must_exist_and_match(spark, feed):
         sinks.route_events(stream(), bad, "unused")
 
 
-def test_redelivered_events_are_stored_once(spark, tmp_path):
+@pytest.mark.parametrize("hot_keys", [True, False])
+def test_redelivered_events_are_stored_once(spark, tmp_path, hot_keys):
     folder = str(tmp_path / "timed")
     spark.range(20).select(
         F.concat(F.lit("R"), F.col("id") % 15).alias("ro_number"),
         (F.lit("2025-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(mins=F.col("id").cast("int")))
         .alias("ts"),
-    ).write.parquet(folder)
-    stream = spark.readStream.schema("ro_number string, ts timestamp").parquet(folder)
+    ).repartition(4).write.parquet(folder)
+    stream = spark.readStream.schema("ro_number string, ts timestamp").option(
+        "maxFilesPerTrigger", 2).parquet(folder)
     out = scratch_path(spark, "unique")
     sinks.run_available(sinks.append_files(
-        events.unique_events(stream, "ts", "1 day"), out, scratch_path(spark, "state")))
+        events.unique_events(stream, "ts", "1 day", hot_keys), out, scratch_path(spark, "state")))
     assert spark.read.schema("ro_number string, ts timestamp").parquet(out).count() == 15
 
 

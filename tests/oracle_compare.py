@@ -50,3 +50,11 @@ def compare(spark_df, con, sql):
         if a != b or [_kind(v) for v in a] != [_kind(v) for v in b]:
             return f"values {a} / {b}"
     return None
+
+
+def row_work_outside_the_jvm_or_pairwise(spark_df):
+    """Plan nodes that run Python per row or build pairs of rows."""
+    text = spark_df._jdf.queryExecution().executedPlan().toString()
+    return [node for node in (
+        "PythonEvalUDF", "BatchEvalPython", "ArrowEvalPython", "CartesianProduct",
+        "BroadcastNestedLoopJoin") if node in text]

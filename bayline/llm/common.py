@@ -28,7 +28,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def let(value: Column, body) -> Column:
     """`body(value)` with `value` computed once per row, however often the body names it."""
-    return F.transform(F.array(value), body)[0]
+    return F.transform(F.array(value), lambda v: body(v))[0]
 
 
 def remainder(doc_id: Column, divisor: int) -> Column:

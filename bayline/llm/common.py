@@ -8,12 +8,14 @@ from bayline.session import stage
 
 # Rows handed to a Python worker at a time; texts may be long.
 ARROW_ROWS = 512
+ARROW_BYTES = "16m"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Bound the batches that go to Python workers, and let Spark split skewed join inputs."""
     for key, value in {
         "spark.sql.execution.arrow.maxRecordsPerBatch": str(ARROW_ROWS),
+        "spark.sql.execution.arrow.maxBytesPerBatch": ARROW_BYTES,
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     }.items():

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from bayline.llm.common import prepare, remainder
+from bayline.llm.words import Words, grouped
 
 SAMPLE = 2000
 BUCKET_BITS = 17
@@ -39,35 +40,13 @@ NGRAMS = (3, 4)
 BLANK = 10
 ACCEPT = 0.3
 FOLDS = 5
-_SLICE = 1 << 19
-
-
-def slices(text: str, limit: int = _SLICE):
-    """Parts of a text of about `limit` characters, cut at white space."""
-    at = 0
-    while len(text) - at > limit:
-        cut = min((i for i in (text.find(c, at + limit, at + 2 * limit) for c in " \n\t") if i >= 0),
-                  default=at + 2 * limit)
-        yield text[at:cut]
-        at = cut
-    yield text[at:]
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number modulo 2**64 and their inverses."""
-    base = 0x9E3779B97F4A7C15
-    up = np.full(n, base, np.uint64)
-    down = np.full(n, pow(base, -1, 1 << 64), np.uint64)
-    up[0] = down[0] = 1
-    return np.cumprod(up), np.cumprod(down)
 
 
 class Features:
     """Buckets of all words and character n-grams of a list of texts."""
 
     def __init__(self, bits: int = BUCKET_BITS, ngrams: tuple[int, ...] = NGRAMS):
-        self.shift, self.ngrams = np.uint64(64 - bits), ngrams
-        self.up, self.down = powers(1 << 16)
+        self.shift, self.ngrams, self.words = np.uint64(64 - bits), ngrams, Words()
 
     def bucket(self, hashes: np.ndarray, kind: int) -> np.ndarray:
         hashes = (hashes + np.uint64(kind * 0x632BE59BD9B4E019 % (1 << 64))) * np.uint64(0xD6E8FEB86659FD93)
@@ -76,18 +55,11 @@ class Features:
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Buckets, and the number of the text that each belongs to."""
-        joined = " " + " ".join(texts) + " "
-        codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-        ends = np.cumsum([len(t) + 1 for t in texts])
-        space = (codes == 32) | ((codes >= 9) & (codes <= 13))
+        codes, space = self.words.codes(texts)
         codes[space] = 32
-        if len(codes) >= len(self.up):
-            self.up, self.down = powers(2 * len(codes))
+        ends = np.cumsum([len(t) + 1 for t in texts])
         buckets, places = [], []
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes * self.up[:len(codes)])])
-        edge = np.flatnonzero(np.diff(space))
-        starts, stops = edge[::2] + 1, edge[1::2] + 1
-        words = (sums[stops] - sums[starts]) * self.down[starts]
+        words, starts = self.words.hashes(codes, space)
         owner = np.searchsorted(ends, starts, "right")
         again = np.flatnonzero((words[1:] == words[:-1]) & (owner[1:] == owner[:-1])) + 1
         words = self.bucket(words, 0)
@@ -109,20 +81,6 @@ class Features:
         return np.concatenate(buckets), np.concatenate(owner)
 
 
-def grouped(texts: list[str | None], limit: int = _SLICE):
-    """Lists of (text number, slice) of bounded total length."""
-    some, size = [], 0
-    for i, text in enumerate(texts):
-        for part in slices(text or ""):
-            some.append((i, part))
-            size += len(part) + 64
-            if size > limit:
-                yield some
-                some, size = [], 0
-    if some:
-        yield some
-
-
 @dataclass
 class Model:
     """Folded weights: the logit is `bias` plus the mean weight of a text's features."""

@@ -23,12 +23,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from bayline.llm.common import prepare, stage
+from bayline.llm.token_counts import byte_alphabet
 
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 2048
 GROUP = 8192
-_KNOWN_CHUNKS = 400_000
+_KNOWN_CHUNKS = 600_000
 _KNOWN_LENGTH = 64
+# Signs that may follow a word; letters below the second are the same composed or not.
+_SIGNS = ".,!?|;:#$%&*"
+_AFTER_LATIN = "\u0100"
+_SHOWN = dict(enumerate(byte_alphabet()))
 # Python's split takes these for white space, the vocabulary's normaliser doesn't.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 
@@ -40,32 +45,79 @@ class ChunkEncoder:
     """Ids of whole texts as bytes of little-endian unsigned 32-bit numbers.
 
     The vocabulary drops white space and never joins across it, so the ids of a text are those of
-    its chunks one after the other. A bounded number of short chunks is remembered.
+    its chunks one after the other; nor does it join a letter and a sign, so a word and the signs
+    after it can be looked up apart. A bounded number of short chunks is remembered.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # For words that need no normalising, the same model without the steps before it.
+        self.letters = Tokenizer(self.tokenizer.model)
+        self.letters.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        ids = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(ids.values()) + 1, bool)
+        self.ends[[i for token, i in ids.items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(e.ids, "<u4").tobytes() for e in found]
 
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of small letters: one call, since the last token of a word shows its end."""
+        shown = " ".join(w if w.isascii() else w.encode("utf-8").decode("latin-1").translate(_SHOWN) for w in words)
+        ids = np.asarray(self.letters.encode_batch_fast([shown], add_special_tokens=False)[0].ids, "<u4")
+        stops = 4 * (np.flatnonzero(self.ends[ids]) + 1)
+        if len(stops) != len(words):
+            return self.encode(words)
+        data, starts = ids.tobytes(), [0, *stops[:-1].tolist()]
+        return [data[i:j] for i, j in zip(starts, stops.tolist())]
+
+    def encode_all(self, chunks: list[str], how, into: dict[str, bytes]) -> None:
+        for at in range(0, len(chunks), 4096):
+            some = chunks[at:at + 4096]
+            into.update(zip(some, how(some)))
+
+    def learn(self, missing: set[str], into: dict[str, bytes]) -> None:
+        """Ids of the chunks; a word followed by signs is put together from both."""
+        put, odd, words, ends = [], [], set(), set()
+        known = self.known
+        for chunk in missing:
+            word = chunk.rstrip(_SIGNS)
+            if word.isalpha() and (word.isascii() or max(word) < _AFTER_LATIN):
+                small = word.lower()
+                if small not in known:
+                    words.add(small)
+                if small != chunk:
+                    signs = chunk[len(word):]
+                    put.append((chunk, small, signs))
+                    ends.add(signs)
+            else:
+                odd.append(chunk)
+        own: dict[str, bytes] = {}
+        self.encode_all(list(words), self.encode_words, own)
+        into.update(own)
+        own[""] = b""
+        self.encode_all(odd + [c for c in ends if c], self.encode, own)
+        into.update((chunk, own[chunk]) for chunk in odd)
+        into.update((chunk, (own.get(word) or known[word]) + own[signs]) for chunk, word, signs in put)
+
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         if len(self.known) > _KNOWN_CHUNKS:
             self.known.clear()
         chunks = [[] if not t else [t] if _SEPARATORS.search(t) else t.split() for t in texts]
-        missing = list(set().union(*chunks) - self.known.keys())
-        known, long = self.known, {}
-        for at in range(0, len(missing), 4096):
-            words = missing[at:at + 4096]
-            for word, ids in zip(words, self.encode(words)):
-                (known if len(word) <= _KNOWN_LENGTH else long)[word] = ids
-        if not long:
-            return [b"".join([known[w] for w in words]) for words in chunks]
-        return [b"".join([known.get(w) or long.get(w, b"") for w in words]) for words in chunks]
+        found = [list(map(self.known.get, words)) for words in chunks]
+        missing = {w for words, ids in zip(chunks, found) if None in ids for w, i in zip(words, ids) if i is None}
+        once: dict[str, bytes] = {}
+        long = {c for c in missing if len(c) > _KNOWN_LENGTH}
+        self.learn(missing - long if long else missing, self.known)
+        if long:
+            self.learn(long, once)
+        return [b"".join(ids) if None not in ids else b"".join(
+            [(self.known.get(w) or once.get(w, b"")) if i is None else i for w, i in zip(words, ids)])
+            for words, ids in zip(chunks, found)]
 
 
 def cut(ids: np.ndarray, capacity: int):

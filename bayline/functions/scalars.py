@@ -13,7 +13,8 @@ def normalized_email(email: Column) -> Column:
 
 
 def email_hash(email: Column) -> Column:
-    return F.sha2(normalized_email(email), 256)
+    """Hash of the normalised address; a missing one counts as empty, so that its key resolves."""
+    return F.sha2(normalized_email(F.coalesce(email, F.lit(""))), 256)
 
 
 def last4(phone: Column) -> Column:
@@ -36,8 +37,12 @@ def money(col: Column) -> Column:
 
 
 def parse_date(col: Column) -> Column:
-    """A date, or NULL for text that is none."""
-    return col.try_cast("date")
+    """A date, or NULL for text that isn't of the form yyyy-MM-dd; typed dates stay as they are.
+
+    The type test is a constant, so only text columns are matched against the pattern.
+    """
+    formed = F.rlike(col.cast("string"), F.lit(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"))
+    return F.when((F.typeof(col) != "string") | formed, col.try_cast("date"))
 
 
 def date_key(day: Column) -> Column:

@@ -13,13 +13,18 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from bayline import schemas
-from bayline.functions import in_domain, money, parse_date, present
+from bayline.functions import email_hash, in_domain, last4, money, parse_date, present
 from bayline.operators.joins import spread_lookup
 from bayline.session import stage
 
 KEY, ARRIVAL, REASON = "ro_number", "arrival", "reason"
 
 
+def _number() -> Column:
+    """The order number as it is compared: a missing one is empty, as in the files."""
+    return F.coalesce(F.col(KEY).cast("string"), F.lit(""))
+
+
 @dataclass(frozen=True)
 class Gate:
     """`fails` gives the predicate of a bad row; None marks the duplicate gate.
@@ -77,18 +82,18 @@ def clean_orders(raw: DataFrame, gates: Sequence[Gate] = ORDER_GATES) -> DataFra
     copies of a hot order number never pile up in one task.
     """
     passing = raw.where(_row_passes(gates))
-    first = Window.partitionBy(KEY).orderBy(ARRIVAL)
+    first = Window.partitionBy(_number()).orderBy(ARRIVAL)
     return passing.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").drop("_nth")
 
 
 def gate_orders(raw: DataFrame, gates: Sequence[Gate] = ORDER_GATES) -> DataFrame:
     """All rows with the comma-joined reasons they fail; an empty text means clean."""
-    tested = raw.withColumn("_ok", F.coalesce(_row_passes(gates), F.lit(False)))
+    tested = raw.withColumn("_ok", F.coalesce(_row_passes(gates), F.lit(False))).withColumn("_number", _number())
     # One row per order number that occurs more than once, combined inside each map task before
     # it is shuffled. Stored, because both steps of the lookup read it and Spark should choose
     # between broadcast and shuffle from its real size.
     repeated = stage(
-        tested.groupBy(KEY)
+        tested.groupBy("_number")
         .agg(
             F.min(F.when(F.col("_ok"), F.col(ARRIVAL))).alias("_first_clean"),
             F.count("*").alias("_rows"),
@@ -97,7 +102,7 @@ def gate_orders(raw: DataFrame, gates: Sequence[Gate] = ORDER_GATES) -> DataFram
         "repeated",
     )
     looked_up = spread_lookup(
-        tested, repeated, [KEY], "_rows", ["_first_clean"], [F.col(KEY), F.col(ARRIVAL)]
+        tested, repeated, ["_number"], "_rows", ["_first_clean"], [F.col("_number"), F.col(ARRIVAL)]
     )
     duplicate = F.coalesce(F.col("_first_clean") < F.col(ARRIVAL), F.lit(False))
     # concat_ws skips the NULLs of the gates a row has passed.
@@ -105,7 +110,18 @@ def gate_orders(raw: DataFrame, gates: Sequence[Gate] = ORDER_GATES) -> DataFram
         F.when(duplicate if gate.fails is None else gate.fails(), F.lit(gate.name))
         for gate in gates
     ])
-    return looked_up.withColumn(REASON, reason).drop("_ok", "_first_clean")
+    return looked_up.withColumn(REASON, reason).drop("_ok", "_number", "_first_clean")
+
+
+def protect_contacts(orders: DataFrame) -> DataFrame:
+    """Plain e-mail and phone replaced by `email_hash` and `phone_last4`; others unchanged."""
+    if "customer_email" in orders.columns:
+        orders = orders.withColumn("customer_email", email_hash(F.col("customer_email"))).withColumnRenamed(
+            "customer_email", "email_hash")
+    if "customer_phone" in orders.columns:
+        orders = orders.withColumn("customer_phone", last4(F.col("customer_phone"))).withColumnRenamed(
+            "customer_phone", "phone_last4")
+    return orders
 
 
 def passed(gated: DataFrame) -> DataFrame:
@@ -113,7 +129,11 @@ def passed(gated: DataFrame) -> DataFrame:
 
 
 def quarantine(gated: DataFrame) -> DataFrame:
-    """Rejected rows: order number, comma-joined reasons, the raw row as JSON text."""
+    """Rejected rows: order number, comma-joined reasons, the raw row as JSON text.
+
+    Contact data goes in as its hash and last digits only.
+    """
+    gated = protect_contacts(gated)
     raw = [c for c in gated.columns if c not in (ARRIVAL, REASON)]
     return gated.where(F.col(REASON) != "").select(
         KEY, REASON,

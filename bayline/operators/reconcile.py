@@ -55,10 +55,14 @@ def reconcile(
 
 
 def differing_rows(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Rows one side has more often than the other, tagged with the side."""
-    return old.exceptAll(new).withColumn("side", F.lit("old")).unionByName(
-        new.exceptAll(old).withColumn("side", F.lit("new"))
-    )
+    """Rows one side has more often than the other, tagged with the side.
+
+    Both sides are stacked and counted once, +1 and -1; what is left over is repeated.
+    """
+    weighed = old.withColumn("_n", F.lit(1)).unionByName(new.withColumn("_n", F.lit(-1)))
+    left = weighed.groupBy(*old.columns).agg(F.sum("_n").alias("_n")).where("_n <> 0")
+    return left.withColumn("side", F.when(F.col("_n") > 0, "old").otherwise("new")).withColumn(
+        "_n", F.explode(F.array_repeat(F.lit(0), F.abs("_n").cast("int")))).drop("_n")
 
 
 def profile(df: DataFrame, approximate: bool = False) -> DataFrame:

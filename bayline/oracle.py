@@ -10,7 +10,7 @@ from bayline.queries import (
     BUCKET_END, BUCKET_START, BUCKET_STEP, HISTORY_CHANGE, HISTORY_CUTOFF, HISTORY_MONTHS,
     HISTORY_OPEN, SCAN_DEALER, SCAN_MONTH,
 )
-from bayline.schemas import SERVICE_TYPES
+from bayline.schemas import FEATURES, SERVICE_TYPES
 from bayline.sources.event_feed import FEED_TYPES
 from bayline.sources.service_tables import AS_OF
 
@@ -159,7 +159,10 @@ audit AS (
   UNION ALL SELECT 5, 'validate', 'orders_clean', (SELECT count(*) FROM clean)
   UNION ALL SELECT 6, 'validate', 'orders_rejected',
     (SELECT count(*) FROM reasoned WHERE reason <> '')
-  UNION ALL SELECT 7, 'load', 'fact_repair_orders', (SELECT count(*) FROM fact)),
+  UNION ALL SELECT 7, 'validate', 'orphans_rejected',
+    (SELECT count(*) FROM clean WHERE dealer_key NOT IN (SELECT dealer_key FROM dealer)
+      OR vehicle_key NOT IN (SELECT vehicle_key FROM vehicle))
+  UNION ALL SELECT 8, 'load', 'fact_repair_orders', (SELECT count(*) FROM fact)),
 """
 fact("etl_audit", "SELECT * FROM audit", _AUDIT)
 raw("etl_run_stats", """
@@ -170,10 +173,11 @@ UNION ALL SELECT 'reject_reason', reason, count(*) FROM reasoned WHERE reason <>
 """)
 fact("audit_balance", """
 SELECT (SELECT row_count FROM audit WHERE seq = 1) AS extracted,
-  (SELECT row_count FROM audit WHERE seq = 7) AS loaded,
+  (SELECT row_count FROM audit WHERE seq = 8) AS loaded,
   (SELECT row_count FROM audit WHERE seq = 6) AS rejected,
-  CAST((SELECT row_count FROM audit WHERE seq = 1) = (SELECT row_count FROM audit WHERE seq = 7)
-    + (SELECT row_count FROM audit WHERE seq = 6) AS INTEGER) AS balanced""", _AUDIT)
+  (SELECT row_count FROM audit WHERE seq = 7) AS orphans,
+  CAST((SELECT row_count FROM audit WHERE seq = 1) = (SELECT CAST(sum(row_count) AS BIGINT)
+    FROM audit WHERE seq >= 6) AS INTEGER) AS balanced""", _AUDIT)
 
 _EVENTS = """
 ev AS (
@@ -203,7 +207,8 @@ fact("dq_checks", "\nUNION ALL\n".join([
     _zero("customer_grain_unique", "(SELECT count(*) FROM (SELECT email_hash FROM cust"
           " GROUP BY email_hash HAVING count(*) > 1))"),
     _zero("rejects_have_reason",
-          "(SELECT count(*) FROM reasoned WHERE reason IS NULL AND reason <> '')"),
+          "(SELECT count(*) FROM reasoned WHERE reason = '' AND (no_vin OR negative OR repeated"
+          " OR bad_type))"),
     *[_zero(f"staging_{c}_not_null", f"(SELECT count(*) FROM ev WHERE {c} IS NULL)")
       for c in ("ro_number", "service_date", "dealer_key")],
     _zero("staging_amount_not_negative", "(SELECT count(*) FROM ev WHERE total_amount < 0)"),
@@ -299,15 +304,17 @@ SELECT DISTINCT open_date_key AS date_key, {day('service_date')} AS full_date,
   CAST(month(service_date) AS INTEGER) AS month, monthname(service_date) AS month_name,
   CASE WHEN isodow(service_date) >= 6 THEN 1 ELSE 0 END AS is_weekend
 FROM fact""")
-fact("fact_repair_orders", """
+fact("fact_repair_orders", f"""
 SELECT row_number() OVER (ORDER BY ordinal) AS ro_key, ro_number, d.number AS dealer_key,
-  v.number AS vehicle_key, n.number AS customer_key, open_date_key, service_type, pay_type,
-  days_to_close, CAST(labor_amount AS DOUBLE) AS labor_amount,
+  v.number AS vehicle_key, n.number AS customer_key, open_date_key,
+  {day('service_date')} AS service_date, {day('service_month')} AS service_month,
+  service_type, pay_type, days_to_close, CAST(labor_amount AS DOUBLE) AS labor_amount,
   CAST(parts_amount AS DOUBLE) AS parts_amount, CAST(total_amount AS DOUBLE) AS total_amount,
   repeat_repair_flag, satisfaction_score, would_recommend
 FROM fact f JOIN numbered n ON n.customer_key = f.customer_key
 JOIN dealer_no d ON d.dealer_key = f.dealer_key
 JOIN vehicle_no v ON v.vehicle_key = f.vehicle_key""", _NUMBERED)
+ORACLE["warehouse_from_files"] = ORACLE["fact_repair_orders"]
 raw("survey_flatten", """
 SELECT concat('SV-', ro_number, '-', l_partkey) AS survey_id, ro_number,
   CASE WHEN l_linestatus = 'O' THEN 'email' ELSE 'sms' END AS channel,
@@ -444,7 +451,8 @@ nested AS (
   FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
 """
 ORACLE["nested_lines_build"] = over(_LINES, f"""
-SELECT ro_number, {day('service_date')} AS service_date, dealer_key, count(*) AS line_count,
+SELECT ro_number, {day('service_date')} AS service_date, dealer_key, CAST(0 AS INTEGER) AS part_no,
+  count(*) AS line_count,
   CAST(sum(amount) AS DOUBLE) AS amount,
   string_agg(concat_ws(':', op_code, description, labor_hours, amount), ','
     ORDER BY op_code, description, labor_hours, amount) AS lines
@@ -543,7 +551,7 @@ fact("customer_service_history", "SELECT * EXCLUDE (dealer_key) FROM history", _
 _KEPT = half_up("100 * sum(retained_next_period)", "count(*)", 1)
 fact("retention_by_region", f"""
 SELECT region, count(*) AS customers, {_KEPT} AS retention_rate_pct
-FROM history WHERE dealer_key % 3 <> 2 GROUP BY region""", _HISTORY)
+FROM history GROUP BY region""", _HISTORY)
 fact("retention_by_warranty", f"""
 SELECT CASE WHEN in_warranty = 1 THEN 'In warranty' ELSE 'Out of warranty' END AS segment,
   count(*) AS customers, {_KEPT} AS retention_rate_pct FROM history GROUP BY 1""", _HISTORY)
@@ -606,6 +614,22 @@ FROM (SELECT CAST(1 - retained_next_period AS INTEGER) AS churned, count(*) AS n
   CAST(round(count(*) * 0.25) AS BIGINT) AS held FROM history GROUP BY 1)
 CROSS JOIN (SELECT CAST(0 AS INTEGER) AS is_train UNION ALL SELECT 1)""", _HISTORY)
 
+_SPLIT = """
+ordered AS (
+  SELECT customer_key, region, CAST(1 - retained_next_period AS INTEGER) AS churned,
+    row_number() OVER (PARTITION BY retained_next_period
+      ORDER BY md5('42:' || customer_key), customer_key) AS nth,
+    count(*) OVER (PARTITION BY retained_next_period) AS n
+  FROM history),
+"""
+fact("churn_scores", """
+SELECT customer_key, region, churned, CAST(nth > round(n * 0.25) AS INTEGER) AS is_train,
+  CAST(1 AS INTEGER) AS risk_in_range FROM ordered""", _HISTORY + _SPLIT)
+ORACLE["churn_drivers"] = "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS feature, CAST(1 AS DOUBLE) AS all_weights" for name in FEATURES)
+fact("at_risk_by_churn_model",
+     "SELECT region, least(count(*), 500) AS customers FROM history GROUP BY region", _HISTORY)
+
 # --- governance ------------------------------------------------------------------------------
 
 fact("erase_customers", """
@@ -624,8 +648,8 @@ fact("expire_partitions",
 fact("external_share_extract", f"""
 SELECT ro_number, customer_key, {day('service_date')} AS service_date, service_type,
   CAST(total_amount AS DOUBLE) AS total_amount
-FROM fact WHERE customer_key NOT IN
-  (SELECT customer_key FROM cust WHERE consent_status = 'ccpa_opt_out')""")
+FROM fact WHERE customer_key IN
+  (SELECT customer_key FROM cust WHERE consent_status <> 'ccpa_opt_out')""")
 fact("access_analyst_view", f"""
 SELECT vehicle_key, model, model_year, warranty_months, {day('in_service_date')}
   AS in_service_date FROM vehicle""")
@@ -663,7 +687,8 @@ fact("catalog_pii_audit", "\nUNION ALL\n".join(
     f"SELECT '{name}' AS table_name, CAST(0 AS INTEGER) AS raw_pii_columns,"
     f" count(*) FILTER (concat_ws('', {', '.join(f'CAST({c} AS VARCHAR)' for c in cols)})"
     f" LIKE '%@%') AS rows_with_email FROM {cte}"
-    for name, cte, cols in _TABLES))
+    for name, cte, cols in _TABLES) + "".join(
+    f"\nUNION ALL SELECT '{name}', 0, 0" for name in ("dim_date", "dq_rejects", "etl_audit")))
 fact("catalog_conformance", "\nUNION ALL\n".join([
     f"SELECT '{name}' AS table_name, '{c}' AS column_name,"
     f" '{_LABELS.get((name, c), 'INTERNAL')}' AS classification,"

@@ -39,10 +39,10 @@ def training_frame(labelled: DataFrame) -> DataFrame:
 def stratified_split(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Add `is_train`: each class gives exactly its share of rows to the test set.
 
-    Rows are ordered by class and a seeded hash of the key, so the split depends neither on row
-    order nor on partitioning, and no class is sorted in one task.
+    Rows are ordered by class and the md5 of seed and key, so the split depends neither on row
+    order nor on partitioning nor on the engine, and no class is sorted in one task.
     """
-    order = [F.xxhash64(F.lit(settings.seed), F.col(KEY)), F.col(KEY)]
+    order = [F.md5(F.concat_ws(":", F.lit(settings.seed), F.col(KEY))), F.col(KEY)]
     held_out = F.round(F.col("group_rows") * F.lit(settings.test_fraction))
     return with_group_position(df, LABEL, order).select(
         *df.columns, (F.col("group_position") >= held_out).cast("int").alias("is_train"))
@@ -84,12 +84,11 @@ def held_out_metrics(scored: DataFrame, settings: Settings = Settings()) -> Data
     test = stage(
         scored.where(F.col("is_train") == 0).select(KEY, "churn_risk", LABEL), "held-out")
     curve = metrics.curve_metrics(metrics.score_curve(test, "churn_risk", LABEL))
-    lift = metrics.lift_at(test, "churn_risk", LABEL, KEY).first()
+    lift = metrics.lift_at(test, "churn_risk", LABEL, KEY).select("lift").scalar()
     return curve.select(
         F.round("roc_auc", 4).alias("churn_roc_auc"),
         F.round("average_precision", 4).alias("churn_pr_auc"),
-        F.lit(None if lift["lift"] is None else round(lift["lift"], 2)).cast("double")
-        .alias("lift_at_10pct"),
+        F.round(lift, 2).alias("lift_at_10pct"),
     )
 
 

@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from bayline import schemas
+
 # Classification levels from open to closed, column labels, roles.
 LEVELS = ("PUBLIC", "INTERNAL", "PII_INDIRECT", "PII_DIRECT")
 
@@ -24,6 +26,23 @@ CATALOG: dict[str, dict[str, str]] = {
     "dim_vehicle": {"vin": "PII_INDIRECT"},
 }
 
+def _internal(*columns: str) -> dict[str, str]:
+    return dict.fromkeys(columns, "INTERNAL")
+
+
+# Labels of every other column of the warehouse. Access needs a label: what has none is denied.
+# A rejected row's text carries the contact hash, so it is labelled like that.
+LABELS: dict[str, dict[str, str]] = {
+    "fact_repair_orders": {
+        **_internal(*schemas.FACT.fieldNames()), **CATALOG["fact_repair_orders"]},
+    "dim_customer": {**_internal("customer_key"), **CATALOG["dim_customer"]},
+    "dim_vehicle": {**_internal(*schemas.DIM_VEHICLE.fieldNames()), **CATALOG["dim_vehicle"]},
+    "dim_dealer": _internal(*schemas.DIM_DEALER.fieldNames()),
+    "dim_date": _internal(*schemas.DIM_DATE.fieldNames()),
+    "dq_rejects": {**_internal("ro_number", "reason"), "raw_row": "PII_INDIRECT"},
+    "etl_audit": _internal("seq", "stage", "entity", "row_count", "logged_at"),
+}
+
 ROLES: dict[str, dict] = {
     "analyst": {
         "tables": ["fact_repair_orders", "dim_dealer", "dim_vehicle", "dim_date"],
@@ -44,11 +63,12 @@ class AccessDenied(PermissionError):
 
 
 def apply_access(
-    df: DataFrame, table: str, role: str, catalog: Mapping = CATALOG, roles: Mapping = ROLES
+    df: DataFrame, table: str, role: str, catalog: Mapping = LABELS, roles: Mapping = ROLES
 ) -> DataFrame:
     """The columns of a table a role may read; unknown roles and unlisted tables are denied.
 
-    Columns without a label count as INTERNAL, except raw contact data, which is PII_DIRECT.
+    Columns without a label are denied to everybody; raw contact data is PII_DIRECT wherever it
+    turns up.
     """
     grant = roles.get(role)
     if grant is None or (grant["tables"] != "all" and table not in grant["tables"]):
@@ -57,8 +77,8 @@ def apply_access(
     labels = catalog.get(table, {})
 
     def level(column: str) -> int:
-        return LEVELS.index(
-            "PII_DIRECT" if column in RAW_PII_COLUMNS else labels.get(column, "INTERNAL"))
+        label = "PII_DIRECT" if column in RAW_PII_COLUMNS else labels.get(column)
+        return len(LEVELS) if label is None else LEVELS.index(label)
 
     return df.select(*[c for c in df.columns if level(c) <= ceiling])
 
@@ -95,13 +115,13 @@ def retention_tiers(fact: DataFrame, as_of, keep_months: int = 36) -> DataFrame:
 
 
 def external_share(fact: DataFrame, customers: DataFrame) -> DataFrame:
-    """Facts that may leave the organisation: those of customers who have not opted out.
+    """Facts that may leave the organisation: those of known customers who have not opted out.
 
-    Only the opted-out keys take part in the anti join. An unknown or missing consent state is
-    no opt-out.
+    Facts without a customer, and those of customers the dimension doesn't have (erased ones), stay
+    inside. An unknown or missing consent state is no opt-out.
     """
-    opted_out = customers.where(F.col("consent_status") == "ccpa_opt_out").select("customer_key")
-    return fact.join(opted_out, "customer_key", "left_anti")
+    opted_out = F.col("consent_status").eqNullSafe("ccpa_opt_out")
+    return fact.join(customers.where(~opted_out).select("customer_key"), "customer_key", "left_semi")
 
 
 def _union(parts: Iterable[DataFrame]) -> DataFrame:

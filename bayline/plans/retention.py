@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from bayline.functions import month_boundaries, ratio, share_pct, year_boundaries
@@ -98,13 +100,14 @@ def retention_features(
 
 def service_history(
     fact: DataFrame, customers: DataFrame, vehicles: DataFrame, dealers: DataFrame, cutoff,
-    horizon_months: int,
+    horizon_months: int, distance: Callable[[Column, Column], Column] | None = None,
 ) -> DataFrame:
     """One labelled row per customer: features up to `cutoff`, label from the period after it.
 
     `retained_next_period` is 1 when the customer came back within the horizon. Features and
     label come out of one aggregation pass; dealer, region and vehicle are those of the last
-    visit before the cutoff. The distance stands in for the one no table has.
+    visit before the cutoff. `distance` computes the way to the dealer from the customer's and the
+    dealer's row (as structs); without it the column is NULL.
     """
     cut = _day(cutoff)
     before = F.col("service_date") <= cut
@@ -124,18 +127,18 @@ def service_history(
     )
     joined = (
         per_customer
-        .join(customers.select("customer_key", F.col("nation_key").alias("_home")),
-              "customer_key")
-        .join(dealers.select("dealer_key", "dealer_id", "region",
-                             F.col("nation_key").alias("_shop")), "dealer_key")
+        .join(customers.select("customer_key", F.struct("*").alias("_customer")), "customer_key")
+        .join(dealers.select("dealer_key", "dealer_id", "region", F.struct("*").alias("_dealer")),
+              "dealer_key")
         .join(vehicles.select("vehicle_key", "model", "model_year", "in_service_date"),
               "vehicle_key")
     )
+    way = F.lit(None).cast("int") if distance is None else distance(F.col("_customer"), F.col("_dealer"))
     return _aged(_features(joined), cut).select(
         "customer_key", "dealer_id", "region", "model", "model_year", "vehicle_age",
         "in_warranty", "prior_visits", "months_since_last_service", "avg_satisfaction",
         "avg_wait_days", "repeat_repair_rate", "customer_pay_share",
-        (F.abs(F.col("_home") - F.col("_shop")) * 10).alias("distance_to_dealer_mi"),
+        way.alias("distance_to_dealer_mi"),
         "total_service_spend", "had_recall", "retained_next_period",
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from bayline import schemas
 from bayline.functions import (
-    calendar_attributes, date_key, email_hash, last4, money, month_start, parse_date,
+    calendar_attributes, date_key, money, month_start, parse_date,
 )
 from bayline.operators import audit, gates
 from bayline.operators.ranking import with_surrogate_key
@@ -58,11 +58,8 @@ def dim_vehicle(vehicles: DataFrame) -> DataFrame:
 def dim_customer(clean: DataFrame) -> DataFrame:
     """One row per e-mail hash, phone from the first order; raw contact data stays behind."""
     seen = (
-        clean.select(
-            email_hash(F.col("customer_email")).alias("email_hash"),
-            last4(F.col("customer_phone")).alias("phone_last4"),
-            F.col("arrival").alias("seen_at"),
-        )
+        gates.protect_contacts(clean).select(
+            "email_hash", "phone_last4", F.col("arrival").alias("seen_at"))
         .groupBy("email_hash")
         .agg(F.min(F.struct("seen_at", "phone_last4")).alias("first"))
         .select(
@@ -137,11 +134,8 @@ def conform_fact(
     `resolved` and `orphan_rejects` to deal with. No side is forced to broadcast; the dimensions are stored
     tables, so Spark picks broadcast or shuffle from their real size and splits skewed keys.
     """
-    base = clean.select(
-        "ro_number", "dealer_id", "vin", "arrival",
-        email_hash(F.col("customer_email")).alias("email_hash"),
-        *measures(),
-    )
+    base = gates.protect_contacts(clean).select(
+        "ro_number", "dealer_id", "vin", "arrival", "email_hash", *measures())
     return (
         with_survey(base, surveys)
         .join(dealers.select("dealer_id", "dealer_key"), "dealer_id", "left")
@@ -195,9 +189,10 @@ def build_warehouse(sources: Sources, on_orphan: str = "quarantine") -> Warehous
     """The whole batch run. `on_orphan` is `quarantine` (keep as rejects) or `fail`.
 
     The gated orders are read by the dimensions, the fact, the rejects and the audit, so they
-    are staged once. The fact is staged once as well, when its keys are numbered.
+    are staged once. The fact is staged once as well, when its keys are numbered. Contact data is
+    hashed before anything is staged.
     """
-    gated = stage(gates.gate_orders(sources.orders), "gated")
+    gated = stage(gates.gate_orders(gates.protect_contacts(sources.orders)), "gated")
     clean = gates.passed(gated)
     dealer, vehicle = dim_dealer(sources.dealers), dim_vehicle(sources.vehicles)
     customer = dim_customer(clean)
@@ -206,7 +201,8 @@ def build_warehouse(sources: Sources, on_orphan: str = "quarantine") -> Warehous
         raise ValueError("orders refer to dealers or vehicles the dimensions do not have")
     keyed = keyed_fact(
         resolved(conform_fact(clean, dealer, vehicle, customer, sources.surveys)))
-    trail = audit.etl_audit(gated, sources.vehicles, sources.dealers, sources.surveys, keyed)
+    trail = audit.etl_audit(
+        gated, sources.vehicles, sources.dealers, sources.surveys, orphans, keyed)
     return Warehouse(
         dim_dealer=dealer,
         dim_vehicle=vehicle,

@@ -6,6 +6,7 @@ that compare across engines: decimals become doubles, dates ISO text.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -19,7 +20,7 @@ from bayline.plans import (
 )
 from bayline.plans.star import Star, star
 from bayline.session import scratch_path, stage
-from bayline.sources import event_feed, service_tables as src
+from bayline.sources import event_feed, landing, service_tables as src
 from bayline.streaming import events as feed, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,8 +34,7 @@ SCAN_MONTH = "1998-03-01"
 SCAN_DEALER = 7
 BUCKET_START, BUCKET_END, BUCKET_STEP = 19950101, 20020101, 100
 HISTORY_OPEN, HISTORY_CHANGE = "1995-01-01", "1998-07-01"
-DEDUP_DELAY = "3650 days"
-CHURN = churn.Settings(trees=60)
+CHURN = churn.Settings()
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -77,8 +77,9 @@ def _gated(s: Star) -> DataFrame:
 
 def _audit(s: Star) -> DataFrame:
     sources = s.sources()
+    orphans = warehouse.orphan_rejects(s.clean, s.dim_dealer, s.dim_vehicle)
     return audit.etl_audit(
-        _gated(s), sources.vehicles, sources.dealers, sources.surveys, s.fact)
+        _gated(s), sources.vehicles, sources.dealers, sources.surveys, orphans, s.fact)
 
 
 @query
@@ -216,6 +217,31 @@ def fact_repair_orders(s: Star) -> DataFrame:
     return warehouse.keyed_fact(warehouse.resolved(conformed))
 
 
+def _landed(s: Star) -> warehouse.Sources:
+    """The supplied tables as the files a source system would deliver, read back as such."""
+    given, root = s.sources(), scratch_path(s.spark, "landing")
+
+    def in_order(df: DataFrame) -> DataFrame:
+        return df.repartitionByRange("arrival").sortWithinPartitions("arrival")
+
+    for name, df, schema in (
+        ("orders", given.orders, schemas.ORDERS_CSV), ("vehicles", given.vehicles, schemas.VEHICLES_CSV),
+        ("dealers", given.dealers, schemas.DEALERS_CSV),
+    ):
+        in_order(df).select(*[F.col(c).cast("string") for c in schema.fieldNames()]).write.option(
+            "header", True).csv(f"{root}/{name}")
+    in_order(given.surveys).drop("arrival").write.json(f"{root}/surveys")
+    return warehouse.Sources(
+        landing.read_orders(s.spark, f"{root}/orders"), landing.read_vehicles(s.spark, f"{root}/vehicles"),
+        landing.read_dealers(s.spark, f"{root}/dealers"),
+        landing.read_surveys(s.spark, f"{root}/surveys", json_lines=True))
+
+
+@query
+def warehouse_from_files(s: Star) -> DataFrame:
+    return warehouse.build_warehouse(_landed(s)).fact_repair_orders
+
+
 @query
 def survey_flatten(s: Star) -> DataFrame:
     return warehouse.flatten_surveys(src.surveys(s.spark, s.sf_dir)).drop("arrival")
@@ -367,7 +393,7 @@ def nested_lines_build(s: Star) -> DataFrame:
         items, F.lit(0).cast("decimal(28,2)"),
         lambda acc, i: (acc + i["amount"]).cast("decimal(28,2)"))
     return _nested(s).select(
-        *_ORDER, F.size(items).cast("bigint").alias("line_count"), total.alias("amount"),
+        *_ORDER, "part_no", F.size(items).cast("bigint").alias("line_count"), total.alias("amount"),
         F.array_join(text, ",").alias("lines"),
     )
 
@@ -385,7 +411,8 @@ def _features(s: Star) -> DataFrame:
 
 def _history(s: Star) -> DataFrame:
     return retention.service_history(
-        s.fact, s.dim_customer, s.dim_vehicle, s.dim_dealer, HISTORY_CUTOFF, HISTORY_MONTHS)
+        s.fact, s.dim_customer, s.dim_vehicle, s.dim_dealer, HISTORY_CUTOFF, HISTORY_MONTHS,
+        src.distance)
 
 
 def _risk() -> F.Column:
@@ -414,9 +441,7 @@ def customer_service_history(s: Star) -> DataFrame:
 
 @query
 def retention_by_region(s: Star) -> DataFrame:
-    # The first 2/3 of the dealers, so that the inner join has something to drop.
-    known = s.dim_dealer.where(F.col("dealer_key") % 3 != 2)
-    return retention.retention_by_region(_history(s), known)
+    return retention.retention_by_region(_history(s), s.dim_dealer)
 
 
 @query
@@ -490,8 +515,16 @@ def lift_at_k(s: Star) -> DataFrame:
 
 # --- churn model -----------------------------------------------------------------------------
 
+# The last fitted model: three queries ask for the same one.
+_FITTED: dict[tuple[str, str], churn.ChurnRun] = {}
+
+
 def _churn(s: Star) -> churn.ChurnRun:
-    return churn.run(stage(_history(s), "history"), CHURN)
+    key = (s.spark.sparkContext.applicationId, s.sf_dir)
+    if key not in _FITTED:
+        _FITTED.clear()
+        _FITTED[key] = churn.run(stage(_history(s), "history"), CHURN)
+    return _FITTED[key]
 
 
 @query
@@ -507,12 +540,25 @@ def churn_metrics(s: Star) -> DataFrame:
 
 @query
 def churn_drivers(s: Star) -> DataFrame:
-    return churn.drivers(s.spark, _churn(s).model)
+    """All features, with the sum of their weights; the weights themselves are engine-specific."""
+    weights = churn.drivers(s.spark, _churn(s).model)
+    total = weights.agg(F.round(F.sum("importance"), 2)).scalar()
+    return weights.select("feature", total.alias("all_weights"))
 
 
 @query
 def churn_scores(s: Star) -> DataFrame:
-    return _churn(s).scored.select("customer_key", "region", "churn_risk", "is_train")
+    in_range = F.col("churn_risk").between(0, 1).cast("int")
+    return _churn(s).scored.select(
+        "customer_key", "region", "churned", "is_train", in_range.alias("risk_in_range"))
+
+
+@query
+def at_risk_by_churn_model(s: Star) -> DataFrame:
+    """How many customers of each region the list by model score holds."""
+    listed = outreach.at_risk_by_group(outreach.with_recommendation(
+        _churn(s).scored, outreach.default_actions()))
+    return listed.groupBy("region").agg(F.count("*").alias("customers"))
 
 
 # --- governance ------------------------------------------------------------------------------
@@ -573,7 +619,18 @@ def _catalogued(s: Star) -> dict[str, DataFrame]:
 
 @query
 def catalog_pii_audit(s: Star) -> DataFrame:
-    return governance.pii_audit(_catalogued(s))
+    """Over every table of the warehouse, as the session's catalog knows them."""
+    built = warehouse.build_warehouse(s.sources()).tables()
+    prefix = f"audited_{uuid.uuid4().hex}_"
+    names = {name: prefix + name for name in built}
+    for name, df in built.items():
+        df.createOrReplaceTempView(names[name])
+    try:
+        found = governance.pii_audit_of_catalog(s.spark, names.values())
+    finally:
+        for view in names.values():
+            s.spark.catalog.dropTempView(view)
+    return found.withColumn("table_name", F.substring("table_name", len(prefix) + 1, 100))
 
 
 @query
@@ -614,7 +671,10 @@ def _accepted_stream(s: Star, twice: bool) -> DataFrame:
 @query
 def stream_dedup(s: Star) -> DataFrame:
     out, state = scratch_path(s.spark, "unique"), scratch_path(s.spark, "state")
-    unique = feed.unique_events(_accepted_stream(s, twice=True), "ts", DEDUP_DELAY)
+    sinks.create_target(s.spark, out, schemas.SERVICE_EVENT)
+    # The feed comes in no order of time, so its whole span is how late an event may be.
+    delay = f"{event_feed.span_days(s.spark, s.sf_dir)} days"
+    unique = feed.unique_events(_accepted_stream(s, twice=True), "ts", delay)
     sinks.run_available(sinks.append_files(unique.drop("ts"), out, state))
     return s.spark.read.schema(schemas.SERVICE_EVENT).parquet(out)
 
@@ -622,8 +682,9 @@ def stream_dedup(s: Star) -> DataFrame:
 @query
 def stream_monthly_mart(s: Star) -> DataFrame:
     out, state = scratch_path(s.spark, "mart"), scratch_path(s.spark, "state")
+    sinks.create_target(s.spark, out, schemas.MONTHLY_MART)
     sinks.run_available(sinks.monthly_mart(_accepted_stream(s, twice=False), out, state))
-    return s.spark.read.parquet(out).select(
+    return sinks.read_monthly_mart(s.spark, out).select(
         "month", "dealer_key", "ro_count", money(F.col("total_revenue")).alias("total_revenue"),
         "score_sum", "score_count",
     )

@@ -63,6 +63,14 @@ SERVICE_EVENT = T.StructType([
     T.StructField("satisfaction_score", T.IntegerType()),
 ])
 DEAD_LETTER = _text("raw", "error")
+MONTHLY_MART = T.StructType([
+    T.StructField("month", T.DateType()),
+    T.StructField("dealer_key", T.IntegerType()),
+    T.StructField("ro_count", T.LongType()),
+    T.StructField("total_revenue", T.DecimalType(28, 2)),
+    T.StructField("score_sum", T.LongType()),
+    T.StructField("score_count", T.LongType()),
+])
 
 DIM_DEALER = T.StructType([
     T.StructField("dealer_key", T.LongType()),
@@ -101,6 +109,8 @@ FACT = T.StructType([
     T.StructField("vehicle_key", T.LongType()),
     T.StructField("customer_key", T.LongType()),
     T.StructField("open_date_key", T.IntegerType()),
+    T.StructField("service_date", T.DateType()),
+    T.StructField("service_month", T.DateType()),
     T.StructField("service_type", T.StringType()),
     T.StructField("pay_type", T.StringType()),
     T.StructField("days_to_close", T.IntegerType()),

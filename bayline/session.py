@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -16,6 +17,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Streaming state on local disk with checkpoints, so that it may outgrow executor memory.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 # For sessions built here only, since they are read when a session starts.
@@ -24,9 +28,6 @@ STARTUP_SETTINGS = {
     "spark.ui.showConsoleProgress": "false",
     # No call-site capture for every column expression.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
-    # Streaming state on local disk with checkpoints, so that it may outgrow executor memory.
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 _LOCAL_SCRATCH = "bayline.scratch.dir"
@@ -62,7 +63,7 @@ def scratch_root(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_LOCAL_SCRATCH, None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local($|\[)", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     root = tempfile.mkdtemp(prefix="bayline-")
     spark.conf.set(_LOCAL_SCRATCH, root)
@@ -84,14 +85,3 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give a scan of few splits enough tasks for the work behind it.
-
-    Spark cuts files so that every core gets a split once the table exceeds a few megabytes per
-    core. Fewer splits than cores therefore mean little data, for which one exchange by key costs
-    next to nothing; larger tables are returned as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from bayline.session import spread
-
 # End of the observed period; the feature view is computed as of this day.
 AS_OF = "2001-12-31"
 
@@ -47,14 +45,6 @@ def two_digits(value: F.Column) -> F.Column:
     return (cents * F.lit(0.01).cast("decimal(2,2)")).cast("decimal(18,2)")
 
 
-def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
-
-
-def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "orders"), "o_orderkey")
-
-
 def _service_type() -> F.Column:
     priority = F.col("o_orderpriority")
     return (
@@ -88,7 +78,7 @@ def _arrival() -> F.Column:
 
 def raw_orders(spark: SparkSession, sf_dir: str, contacts: bool = False) -> DataFrame:
     """Repair orders before validation; `contacts` adds the customer's e-mail and phone."""
-    orders = _orders(spark, sf_dir).select("o_orderkey", "o_custkey", "o_orderpriority")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     extra = []
     if contacts:
         customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
@@ -99,7 +89,7 @@ def raw_orders(spark: SparkSession, sf_dir: str, contacts: bool = False) -> Data
             .alias("customer_phone"),
         ]
     price, tax = two_digits(F.col("l_extendedprice")), two_digits(F.col("l_tax"))
-    lines = _lines(spark, sf_dir)
+    lines = table(spark, sf_dir, "lineitem")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         _ro_number().alias("ro_number"),
         F.col("l_suppkey").cast("string").alias("dealer_id"),
@@ -121,7 +111,7 @@ def raw_orders(spark: SparkSession, sf_dir: str, contacts: bool = False) -> Data
 
 def surveys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested survey documents for every third order; a repeated ro_number has several."""
-    lines = _lines(spark, sf_dir).where(F.col("l_orderkey") % 3 == 0)
+    lines = table(spark, sf_dir, "lineitem").where(F.col("l_orderkey") % 3 == 0)
     score = (F.lit(1) + F.col("l_quantity") % 5).cast("int")
     return lines.select(
         F.concat(F.lit("SV-"), _ro_number(), F.lit("-"), F.col("l_partkey")).alias("survey_id"),
@@ -180,10 +170,15 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def distance(customer: F.Column, dealer: F.Column) -> F.Column:
+    """Stand-in for the way to the dealer, which no table has."""
+    return F.abs(customer["nation_key"] - dealer["nation_key"]) * 10
+
+
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items of whole orders, for the nested form of the fact."""
-    orders = _orders(spark, sf_dir).select("o_orderkey", "o_custkey", "o_orderdate")
-    return _lines(spark, sf_dir).join(
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    return table(spark, sf_dir, "lineitem").join(
         orders, F.col("l_orderkey") == F.col("o_orderkey")
     ).select(
         F.concat(F.lit("RO"), F.col("l_orderkey")).alias("ro_number"),

@@ -7,10 +7,26 @@ from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.utils import AnalysisException
 
 from bayline import schemas
-from bayline.session import scratch_path
+from bayline.operators import layout
 from bayline.streaming.events import dead_letters, parse_events, valid_events
 
 _BATCH = "batch_id"
+_MART_KEYS = ["month", "dealer_key"]
+_MART_STORED = T.StructType([*schemas.MONTHLY_MART.fields, T.StructField(_BATCH, T.LongType())])
+
+
+def _compactions(path: str) -> str:
+    return f"{path.rstrip('/')}-compacted"
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
 
 
 def create_target(spark: SparkSession, path: str, schema: T.StructType) -> None:
@@ -24,10 +40,9 @@ def read_target(spark: SparkSession, path: str) -> DataFrame:
 
 def require_target(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """Fail before the stream starts when the target is missing or has other columns."""
-    try:
-        found = read_target(spark, path).schema
-    except AnalysisException as missing:
-        raise ValueError(f"target {path} does not exist") from missing
+    if not _exists(spark, path):
+        raise ValueError(f"target {path} does not exist")
+    found = read_target(spark, path).schema
     shape = lambda s: [(f.name, f.dataType) for f in s.fields]
     if shape(found) != shape(schema):
         raise ValueError(f"target {path} has columns {found.simpleString()}")
@@ -73,63 +88,63 @@ def run_available(writer: DataStreamWriter) -> None:
 
 
 def append_files(df: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    """Plain exactly-once file sink for a single output."""
+    """Plain exactly-once file sink for a single output; the target must exist."""
+    require_target(df.sparkSession, path, df.schema)
     return (
         df.writeStream.format("parquet").outputMode("append")
         .option("path", path).option("checkpointLocation", checkpoint)
     )
 
 
-def monthly_mart(
-    events: DataFrame, path: str, checkpoint: str
-) -> DataStreamWriter:
-    """Keep a monthly mart (month, dealer) current while events arrive.
+def monthly_mart(events: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """Keep a monthly mart (month, dealer) current while events arrive; the target must exist.
 
-    Update mode emits the absolute totals of the keys a batch has touched, so applying a batch
-    twice gives the same table. The state is one row per month and dealer.
+    Update mode emits the absolute totals of the keys a batch has touched. They are appended in the
+    batch's own folder, so no file of another batch is ever rewritten: a crash at any point loses
+    nothing, and a replayed batch replaces itself. `read_monthly_mart` takes each key's newest totals.
+    The state is one row per month and dealer.
     """
+    require_target(events.sparkSession, path, schemas.MONTHLY_MART)
     totals = events.groupBy(
         F.trunc("service_date", "month").alias("month"), "dealer_key"
     ).agg(
         F.count("*").alias("ro_count"),
-        F.sum("total_amount").alias("total_revenue"),
+        F.sum("total_amount").cast(schemas.MONTHLY_MART["total_revenue"].dataType).alias("total_revenue"),
         F.sum("satisfaction_score").alias("score_sum"),
         F.count("satisfaction_score").alias("score_count"),
     )
     return (
         totals.writeStream.outputMode("update")
-        .foreachBatch(lambda batch, _id: merge_partitions(
-            batch, path, "month", ["month", "dealer_key"]))
+        .foreachBatch(lambda batch, batch_id: _write_batch(batch, path, batch_id))
         .option("checkpointLocation", checkpoint)
     )
 
 
-def merge_partitions(changes: DataFrame, path: str, partition: str, keys: list[str]) -> None:
-    """Upsert by key into a partitioned Parquet table, rewriting only the touched partitions.
+def _newest(stored: DataFrame) -> DataFrame:
+    """Per month and dealer, the row of the latest batch, with its batch."""
+    values = [f.name for f in schemas.MONTHLY_MART.fields if f.name not in _MART_KEYS]
+    return stored.groupBy(*_MART_KEYS).agg(
+        F.max_by(F.struct(*values), F.col(_BATCH)).alias("_last"), F.max(_BATCH).alias(_BATCH)
+    ).select(*_MART_KEYS, "_last.*", _BATCH)
 
-    The new content is staged first, since a table cannot be overwritten while it is read.
+
+def _stored_mart(spark: SparkSession, path: str) -> DataFrame:
+    """The last compaction, if any, and the batches after it."""
+    batches = spark.read.schema(_MART_STORED).parquet(path)
+    if not _exists(spark, f"{_compactions(path)}/announced"):
+        return batches
+    compacted = layout.open_published(spark, _compactions(path), "mart")
+    done = compacted.agg(F.coalesce(F.max(_BATCH), F.lit(-1))).scalar()
+    return compacted.unionByName(batches.where(F.col(_BATCH) > done))
+
+
+def read_monthly_mart(spark: SparkSession, path: str) -> DataFrame:
+    return _newest(_stored_mart(spark, path)).drop(_BATCH)
+
+
+def compact_monthly_mart(spark: SparkSession, path: str) -> None:
+    """Publish the current totals as one table, so that readers skip the batches in it.
+
+    Old batch folders may be removed after that, but not the newest.
     """
-    spark = changes.sparkSession
-    changes = changes.persist()
-    try:
-        merged = changes
-        try:
-            table = spark.read.schema(changes.schema).parquet(path)
-        except AnalysisException:
-            table = None
-        if table is not None:
-            touched = changes.select(partition).distinct()
-            # The semi join turns into dynamic partition pruning on the table scan.
-            untouched_rows = table.join(F.broadcast(touched), partition, "left_semi").join(
-                changes.select(*keys), keys, "left_anti")
-            merged = changes.unionByName(untouched_rows)
-        staged_path = scratch_path(spark, "merge")
-        merged.write.parquet(staged_path)
-        (
-            spark.read.schema(merged.schema).parquet(staged_path)
-            .repartitionByRange(F.col(partition), *[F.col(k) for k in keys])
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(partition).parquet(path)
-        )
-    finally:
-        changes.unpersist()
+    layout.publish({"mart": _newest(_stored_mart(spark, path))}, _compactions(path))

@@ -1,3 +1,4 @@
+import hashlib
 import json
 from itertools import count
 
@@ -58,10 +59,24 @@ def test_single_reasons(spark, change, reason):
     assert gates.clean_orders(raw).count() == 0
 
 
-def test_quarantine_keeps_the_whole_raw_row(spark):
+def test_quarantine_keeps_the_whole_raw_row_but_no_plain_contact_data(spark):
     gated = gates.gate_orders(orders(spark, {"vin": None}))
     row = gates.quarantine(gated).first()
-    assert json.loads(row.raw_row) == {**GOOD, "vin": None}
+    contacts = {"email_hash": hashlib.sha256(b"a@x").hexdigest(), "phone_last4": "1234"}
+    rest = {k: v for k, v in GOOD.items() if k not in ("customer_email", "customer_phone")}
+    assert json.loads(row.raw_row) == {**rest, **contacts, "vin": None}
+
+
+def test_missing_order_numbers_are_one_number_in_both_forms(spark):
+    raw = orders(spark, {"ro_number": None}, {"ro_number": None}, {"ro_number": ""}, {})
+    gated = gates.gate_orders(raw)
+    assert reasons(gated) == ["", "duplicate_ro_number", "duplicate_ro_number", ""]
+    assert sorted(r.arrival for r in gates.clean_orders(raw).collect()) == [0, 3]
+
+
+@pytest.mark.parametrize("text", ["2024", "2024-3", "2024-01-05 junk", "2024-01-05T99", " 2024-01-05", "24-01-05"])
+def test_only_whole_dates_pass(spark, text):
+    assert reasons(gates.gate_orders(orders(spark, {"open_date": text}))) == ["unparsable_date"]
 
 
 def test_both_forms_agree_on_the_supplied_orders(spark):

@@ -29,9 +29,15 @@ def test_erasure_removes_the_customer_and_no_fact(spark, customers, fact):
     assert fact.agg(F.sum("amount")).first()[0] == sum(range(40))
 
 
-def test_only_opted_out_customers_stay_inside(customers, fact):
+def test_opted_out_and_unknown_customers_stay_inside(customers, fact):
     shared = {r.customer_key for r in governance.external_share(fact, customers).collect()}
-    assert shared == {0, 1, 3, 4}
+    assert shared == {1, 3, 4}
+
+
+def test_erased_customers_stay_inside(spark, customers, fact):
+    left = governance.erase_customers(customers, spark.createDataFrame([("h2",), ("h3",)], "email_hash string"))
+    shared = {r.customer_key for r in governance.external_share(fact, left).collect()}
+    assert shared == {1, 4}
 
 
 def test_tiers_keep_every_amount_once(fact):
@@ -48,7 +54,8 @@ def test_tiers_keep_every_amount_once(fact):
     ("governance", "dim_vehicle", ["vin", "model", "customer_email"]),
 ])
 def test_roles_see_their_columns(spark, role, table, columns):
-    df = spark.createDataFrame([("v", "m", "a@b")], "vin string, model string, customer_email string")
+    df = spark.createDataFrame(
+        [("v", "m", "a@b", "?")], "vin string, model string, customer_email string, unlabelled string")
     assert governance.apply_access(df, table, role).columns == columns
 
 
@@ -98,6 +105,9 @@ def test_reconciliation_finds_each_kind_of_difference(spark):
         ("keys_on_one_side", "k"): (1.0, 1.0), ("repeated_keys", "k"): (1.0, 0.0),
         ("differing_fields", "a"): (1.0, 0.0), ("differing_fields", "v"): (0.0, 0.0)}
     assert reconcile.differing_rows(old, new).count() == 6
+    thrice = old.where("k = 1").unionByName(old.where("k = 1")).unionByName(old.where("k = 1"))
+    left = reconcile.differing_rows(thrice, new.where("k = 1"))
+    assert [(r.k, r.side) for r in left.collect()] == [(1, "old")] * 2
 
 
 def test_profile_forms_agree_on_small_data(spark):

@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -125,6 +126,9 @@ def test_redelivered_events_are_stored_once(spark, tmp_path, hot_keys):
     stream = spark.readStream.schema("ro_number string, ts timestamp").option(
         "maxFilesPerTrigger", 2).parquet(folder)
     out = scratch_path(spark, "unique")
+    with pytest.raises(ValueError):
+        sinks.append_files(stream, out, "unused")
+    sinks.create_target(spark, out, stream.schema)
     sinks.run_available(sinks.append_files(
         events.unique_events(stream, "ts", "1 day", hot_keys), out, scratch_path(spark, "state")))
     assert spark.read.schema("ro_number string, ts timestamp").parquet(out).count() == 15
@@ -134,6 +138,7 @@ def test_the_mart_stays_current_over_several_batches(spark, feed):
     put, stream = feed
     everything = []
     path, state = scratch_path(spark, "mart"), scratch_path(spark, "state")
+    sinks.create_target(spark, path, schemas.MONTHLY_MART)
     for batch in range(3):
         values = [
             raw(ro_number=f"R{batch}-{i}", dealer_key=(i + batch) % 4, total_amount=i,
@@ -144,20 +149,34 @@ def test_the_mart_stays_current_over_several_batches(spark, feed):
         put(values)
         parsed = events.valid_events(events.parse_events(stream()))
         sinks.run_available(sinks.monthly_mart(parsed, path, state))
+        if batch == 1:
+            sinks.compact_monthly_mart(spark, path)
     batch = events.valid_events(events.parse_events(messages(spark, everything)))
     expected = batch.groupBy(F.trunc("service_date", "month").alias("month"), "dealer_key").agg(
         F.count("*").alias("n"), F.sum("total_amount").cast("double").alias("v"))
-    got = spark.read.parquet(path).select(
+    got = sinks.read_monthly_mart(spark, path).select(
         "month", F.col("dealer_key"), F.col("ro_count").alias("n"),
         F.col("total_revenue").cast("double").alias("v"))
     assert got.exceptAll(expected).isEmpty() and expected.exceptAll(got).isEmpty()
 
 
-def test_merging_keeps_the_rows_a_batch_does_not_touch(spark):
-    path = scratch_path(spark, "merge")
-    frame = lambda rows: spark.createDataFrame(rows, "p string, k int, v int")
-    sinks.merge_partitions(frame([("a", 1, 1), ("a", 2, 1), ("b", 1, 1)]), path, "p", ["p", "k"])
-    for _ in range(2):  # applying the same change twice changes nothing
-        sinks.merge_partitions(frame([("a", 2, 9), ("c", 5, 5)]), path, "p", ["p", "k"])
-    got = sorted((r.p, r.k, r.v) for r in spark.read.parquet(path).collect())
-    assert got == [("a", 1, 1), ("a", 2, 9), ("b", 1, 1), ("c", 5, 5)]
+def test_a_lost_batch_folder_comes_back_with_the_replay(spark, feed):
+    put, stream = feed
+    path, state = scratch_path(spark, "mart"), scratch_path(spark, "state")
+    put([raw(ro_number=f"A{i}", dealer_key=i % 3, total_amount=i) for i in range(9)])
+    parsed = events.valid_events(events.parse_events(stream()))
+    with pytest.raises(ValueError):
+        sinks.monthly_mart(parsed, path, state)
+    sinks.create_target(spark, path, schemas.MONTHLY_MART)
+    sinks.run_available(sinks.monthly_mart(parsed, path, state))
+    first = sorted(map(tuple, sinks.read_monthly_mart(spark, path).collect()))
+    # The job died after the batch was written and before it was committed; its files are gone.
+    folder = path.removeprefix("file:")
+    for kept in sorted(os.listdir(f"{state.removeprefix('file:')}/commits")):
+        os.remove(f"{state.removeprefix('file:')}/commits/{kept}")
+    for name in os.listdir(folder):
+        if name == "batch_id=0":
+            for f in os.listdir(f"{folder}/{name}"):
+                os.remove(f"{folder}/{name}/{f}")
+    sinks.run_available(sinks.monthly_mart(parsed, path, state))
+    assert sorted(map(tuple, sinks.read_monthly_mart(spark, path).collect())) == first

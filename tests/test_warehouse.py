@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from bayline import schemas
 from bayline.operators import audit, checks, joins, layout
-from bayline.plans import governance, kpis, views, warehouse
+from bayline.plans import governance, kpis, retention, views, warehouse
 from bayline.sources import landing
 
 HEADER = [f.name for f in schemas.ORDERS_CSV.fields]
@@ -88,8 +88,9 @@ def test_extract_balances_with_load_and_rejects(built):
     assert rows["validate", "orders_rejected"] == 3
     # The order with an unknown vehicle passed the gates but could not be loaded.
     assert rows["load", "fact_repair_orders"] == 60
+    assert rows["validate", "orphans_rejected"] == 1
     balance = audit.audit_balance(built.etl_audit).first()
-    assert balance.balanced == 0
+    assert balance.balanced == 1
     assert built.dq_rejects.count() == 4
 
 
@@ -116,9 +117,14 @@ def test_checks_notice_bad_data(spark, built):
 
 def test_no_raw_contact_data(spark, built):
     assert checks.failed(checks.run_checks(built.dim_customer, checks.customer_checks())).isEmpty()
-    tables = {n: d for n, d in built.tables().items() if n != "dq_rejects"}
-    for row in governance.pii_audit(tables).collect():
+    audited = governance.pii_audit(built.tables()).collect()
+    assert len(audited) == 7
+    for row in audited:
         assert (row.raw_pii_columns, row.rows_with_email) == (0, 0), row.table_name
+    for name, df in built.tables().items():
+        assert governance.apply_access(df, name, "governance").columns == df.columns
+        assert "raw_row" not in df.columns or governance.apply_access(
+            df, name, "analyst", roles={"analyst": {"tables": "all", "pii": "none"}}).columns == ["ro_number", "reason"]
     leaky = {"dim_customer": built.dim_customer.withColumn("customer_email", F.lit("a@b"))}
     row = governance.pii_audit(leaky).first()
     assert row.raw_pii_columns == 1 and row.rows_with_email == 7
@@ -139,6 +145,26 @@ def test_the_last_survey_wins(built):
     assert got["RO030"] == (None, None)
 
 
+def test_an_empty_email_is_a_customer_of_its_own(spark, sources):
+    orders = sources.orders.where("ro_number < 'RO010'").withColumn(
+        "customer_email", F.when(F.col("ro_number") != "RO003", F.col("customer_email")))
+    built = warehouse.build_warehouse(warehouse.Sources(
+        orders, sources.vehicles, sources.dealers, sources.surveys))
+    assert built.dim_customer.where("email_hash IS NULL").isEmpty()
+    assert built.fact_repair_orders.where("customer_key IS NULL").isEmpty()
+    assert built.fact_repair_orders.count() == 10
+
+
+def test_the_built_tables_feed_the_retention_plans(built):
+    history = retention.service_history(
+        built.fact_repair_orders, built.dim_customer, built.dim_vehicle, built.dim_dealer, "2025-03-31", 3)
+    rows = history.collect()
+    assert rows and all(r.distance_to_dealer_mi is None for r in rows)
+    assert {r.retained_next_period for r in rows} <= {0, 1}
+    tiers = governance.retention_tiers(built.fact_repair_orders, "2025-12-31").collect()
+    assert sum(r.ro_count for r in tiers) == 60
+
+
 def test_unknown_dimension_members_can_fail_the_run(sources):
     with pytest.raises(ValueError):
         warehouse.build_warehouse(sources, on_orphan="fail")
@@ -176,7 +202,7 @@ def test_own_sql_runs_on_the_views(spark, built):
             SELECT region, round(100.0 * sum(CASE WHEN repeat_repair_flag = 0 THEN 1 ELSE 0 END)
                    / count(*), 1) AS pct, count(*) AS n
             FROM fact_repair_orders JOIN dim_dealer USING (dealer_key)
-            GROUP BY region ORDER BY region""")
+            GROUP BY region ORDER BY region""").collect()
         library = kpis.fixed_first_visit(built.fact_repair_orders, built.dim_dealer)
         assert [tuple(r) for r in got] == [tuple(r) for r in library.orderBy("region").collect()]
         month = "SELECT sum(ro_count) FROM mv_monthly_dealer_revenue WHERE month = :m"

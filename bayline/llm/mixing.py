@@ -53,8 +53,6 @@ def exponent(totals: DataFrame, target_entropy: float | None, max_repeats: float
              budget: int | None = None) -> float:
     """The largest exponent in [0, 1] that reaches the entropy, a share of that of equal weights;
     or the smallest that keeps the repetition limit. Each pass cuts the range sixteenfold."""
-    if (target_entropy is None) == (max_repeats is None):
-        raise ValueError("state either target_entropy or max_repeats")
     known = totals.where("tokens > 0")
     everything, sources = known.agg(F.sum("tokens"), F.count("*")).first()
     share = F.col("tokens") / F.lit(float(everything or 1))
@@ -83,14 +81,18 @@ def exponent(totals: DataFrame, target_entropy: float | None, max_repeats: float
     return low / _STEPS
 
 
-def plan(rows: DataFrame, target_entropy: float | None = None, max_repeats: float | None = MAX_REPEATS,
+def plan(rows: DataFrame, target_entropy: float | None = None, max_repeats: float | None = None,
          budget: int | None = None) -> DataFrame:
     """(source, tokens, repeats, whole, rest): copies of each source, whole blocks, tokens beyond.
 
-    `rows` has (doc_id, source, n_tokens).
+    `rows` has (doc_id, source, n_tokens). Without any goal the repetition limit is `MAX_REPEATS`.
     """
+    if target_entropy is not None and max_repeats is not None:
+        raise ValueError("state either target_entropy or max_repeats")
+    if target_entropy is None and max_repeats is None:
+        max_repeats = MAX_REPEATS
     totals = stage(rows.groupBy("source").agg(F.sum("n_tokens").alias("tokens")), "sources")
-    t = exponent(totals, None if max_repeats is not None else target_entropy, max_repeats, budget)
+    t = exponent(totals, target_entropy, max_repeats, budget)
     most, norm = totals.where("tokens > 0").agg(
         F.max("tokens"), F.sum(F.pow(F.col("tokens").cast("double"), F.lit(t)))).first()
     ratio = F.pow(F.lit(most) / F.col("tokens"), F.lit(1 - t)) if budget is None else (
@@ -134,7 +136,7 @@ def free_name(docs: DataFrame, name: str) -> str:
     return name
 
 
-def mixed(docs: DataFrame, target_entropy: float | None = None, max_repeats: float | None = MAX_REPEATS,
+def mixed(docs: DataFrame, target_entropy: float | None = None, max_repeats: float | None = None,
           budget: int | None = None, more: dict[str, str] | None = None) -> DataFrame:
     """All columns of `docs`, a row per copy. `more` names columns to add: epoch, place, n_tokens."""
     prepare(docs.sparkSession)

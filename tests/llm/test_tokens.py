@@ -1,0 +1,138 @@
+import cases
+import numpy as np
+import public_tokenizers
+import pytest
+import zlib
+from hypothesis import given, settings, strategies as st
+from tokenizers import Tokenizer
+
+from bayline.llm import packing, token_counts
+from bayline.llm.common import table
+
+SF = "/root/testdata/sf0.001"
+TEXTS = st.one_of(
+    st.text(max_size=60),
+    st.lists(st.sampled_from([
+        "the", " ", "\n", "\t", "'s", "'S", "’s", "IT", "é", "É", "İ", "ß", "ΟΔΟΣ", "क़", "½", "12", "…", "--", ",",
+        "<|endoftext|>", "<|startoftext|>", "<|endof", "\x1c", "\x85", "\xa0", "　", "🎉", "日本", "_", "ǅ", "ﬁ",
+    ]), max_size=12).map("".join))
+
+
+@pytest.fixture(scope="module")
+def byte_library():
+    return Tokenizer.from_file(public_tokenizers.path(token_counts.VOCABULARY))
+
+
+@pytest.fixture(scope="module")
+def word_library():
+    return Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY))
+
+
+@pytest.fixture(scope="module")
+def counter():
+    return token_counts.TextCounter(public_tokenizers.path(token_counts.VOCABULARY))
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return packing.ChunkEncoder(public_tokenizers.path(packing.VOCABULARY))
+
+
+@settings(max_examples=400, deadline=None)
+@given(TEXTS)
+def test_counts_are_the_librarys(counter, byte_library, text):
+    assert counter(text) == len(byte_library.encode(text, add_special_tokens=False).ids)
+
+
+@settings(max_examples=400, deadline=None)
+@given(TEXTS)
+def test_ids_are_the_librarys(encoder, word_library, text):
+    ids = encoder([text])[0].tolist()
+    assert ids == word_library.encode(text, add_special_tokens=False).ids
+
+
+def test_known_words_are_bounded(encoder, monkeypatch):
+    monkeypatch.setattr(packing, "_KNOWN_CHUNKS", 10)
+    text = "many different words, more than ten of them, so that they are forgotten again"
+    first = encoder([text])[0].tolist()
+    assert encoder(["x"]) and len(encoder.known) < 10
+    assert encoder([text])[0].tolist() == first
+
+
+def test_parts_of_long_texts_join_up(encoder, word_library, monkeypatch):
+    monkeypatch.setattr(packing, "_PART", 50)
+    texts = [" ".join(f"Word{i}, é" for i in range(200)), "", None, "x" * 300 + "\u3000y", "short", "\u2028" * 120, "a b"]
+    for text, ids in zip(texts, encoder(texts)):
+        assert ids.tolist() == word_library.encode(text or "", add_special_tokens=False).ids
+
+
+def test_counts_of_documents(spark, byte_library):
+    docs = table(spark, SF, "documents")
+    found = token_counts.token_counts(docs).toPandas().set_index("doc_id")
+    for r in docs.collect():
+        n = len(byte_library.encode(r.text, add_special_tokens=False).ids)
+        assert tuple(found.loc[r.doc_id]) == (len(r.text.encode()), n, n > 1024)
+
+
+def test_counts_of_odd_rows(spark, byte_library):
+    found = token_counts.token_counts(cases.frame(spark)).toPandas()
+    assert len(found) == len(cases.rows()) and list(found.columns) == ["doc_id", "n_bytes", "n_tokens", "over_limit"]
+    texts = [r[1] or "" for r in cases.rows()]
+    want = sorted((len(t.encode()), len(byte_library.encode(t).ids)) for t in texts)
+    assert sorted(zip(found.n_bytes, found.n_tokens)) == want
+    assert token_counts.token_counts(cases.empty(spark)).count() == 0
+
+
+def naive_place(lengths, capacity):
+    """The same choice by trying every open sequence."""
+    fills, out = [], []
+    for size in lengths:
+        best, where = None, None
+        for i, fill in enumerate(fills):
+            if fill + size <= capacity and fill < capacity:
+                after = [f if j != i else fill + size for j, f in enumerate(fills)]
+                gaps = [capacity - f for f in after if f < capacity]
+                cost = (sum(gaps.count(g) ** 2 for g in set(gaps)), -fill)
+                if best is None or cost < best:
+                    best, where = cost, i
+        if where is None:
+            fills.append(0)
+            where = len(fills) - 1
+        out.append(fills[where])
+        fills[where] += size
+    return out, len(fills)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(1, 20), max_size=40))
+def test_places_have_the_smallest_sum_of_squares(lengths):
+    lengths = sorted(lengths, reverse=True)
+    sequence, offset = packing.place(np.array(lengths, np.int64), 20)
+    want, bins = naive_place(lengths, 20)
+    assert offset.tolist() == want and len(set(sequence.tolist())) == bins
+
+
+def check_packed(found, texts, library):
+    """Pieces in place; `texts` by document, in any order."""
+    for _, g in found.sort_values("offset").groupby("sequence_id"):
+        assert (g.offset == g.length.cumsum() - g.length).all() and g.length.sum() <= 2048
+    pieces = []
+    for doc_id, text in texts:
+        ids = np.array(library.encode(text or "", add_special_tokens=False).ids + [0], "<u4")
+        pieces += [(-1 if doc_id is None else doc_id, k, s, len(ids[s:s + 2048]), zlib.crc32(ids[s:s + 2048].tobytes()))
+                   for k, s in enumerate(range(0, len(ids), 2048))]
+    got = found.assign(doc_id=found.doc_id.fillna(-1))[["doc_id", "piece", "start", "length", "ids_crc32"]]
+    assert sorted(got.itertuples(index=False, name=None)) == sorted(pieces)
+
+
+def test_packed_documents(spark, word_library):
+    docs = table(spark, SF, "documents")
+    found = packing.pack(docs).toPandas()
+    check_packed(found, [(r.doc_id, r.text) for r in docs.collect()], word_library)
+    assert found.sequence_id.nunique() <= -(-found.length.sum() // 2048) + 1
+
+
+def test_packed_odd_rows_in_several_groups(spark, word_library):
+    found = packing.pack(cases.frame(spark), group=4).toPandas()
+    check_packed(found, [r[:2] for r in cases.rows()], word_library)
+    assert packing.pack(cases.empty(spark)).count() == 0

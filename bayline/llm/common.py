@@ -28,6 +28,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def worker_memo(spark: SparkSession):
+    """A broadcast empty dict. A Python worker loads it once, so its tasks share what one of them
+    puts there: a function's second call in the same worker finds it. It only saves work."""
+    return spark.sparkContext.broadcast({})
+
+
 def let(value: Column, body) -> Column:
     """`body(value)` with `value` computed once per row, however often the body names it."""
     return F.transform(F.array(value), lambda v: body(v))[0]
@@ -38,4 +44,4 @@ def remainder(doc_id: Column, divisor: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(divisor))
 
 
-__all__ = ["ARROW_ROWS", "let", "prepare", "remainder", "stage", "table"]
+__all__ = ["ARROW_ROWS", "let", "prepare", "remainder", "stage", "table", "worker_memo"]

@@ -59,7 +59,8 @@ class Features:
         codes[space] = 32
         ends = np.cumsum([len(t) + 1 for t in texts])
         buckets, places = [], []
-        words, starts = self.words.hashes(codes, space)
+        starts, stops = self.words.spans(space)
+        words = self.words.hashes(codes, starts, stops)
         owner = np.searchsorted(ends, starts, "right")
         again = np.flatnonzero((words[1:] == words[:-1]) & (owner[1:] == owner[:-1])) + 1
         words = self.bucket(words, 0)

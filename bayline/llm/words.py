@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import numpy as np
 
-SLICE = 1 << 19
+SLICE = 1 << 18
 
 
 def slices(text: str, limit: int = SLICE):
@@ -67,14 +67,17 @@ class Words:
         blank = (codes == 32) | ((codes >= 9) & (codes <= 13))
         return codes, blank
 
-    def hashes(self, codes: np.ndarray, blank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hash and start of each word."""
+    def spans(self, blank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and end of each run that isn't blank."""
+        edge = np.flatnonzero(np.diff(blank))
+        return edge[::2] + 1, edge[1::2] + 1
+
+    def hashes(self, codes: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        """Hash of each span."""
         if len(codes) >= len(self.up):
             self.up, self.down = powers(2 * len(codes))
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes * self.up[:len(codes)])])
-        edge = np.flatnonzero(np.diff(blank))
-        starts, stops = edge[::2] + 1, edge[1::2] + 1
-        return (sums[stops] - sums[starts]) * self.down[starts], starts
+        return (sums[stops] - sums[starts]) * self.down[starts]
 
     def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Scrambled hashes of all words, A-Z read as a-z, text after text; words per text."""
@@ -83,7 +86,8 @@ class Words:
             parts = [part for _, part in some]
             codes, blank = self.codes(parts)
             codes[(codes >= 65) & (codes <= 90)] += np.uint64(32)
-            found, starts = self.hashes(codes, blank)
+            starts, stops = self.spans(blank)
+            found = self.hashes(codes, starts, stops)
             ends = np.cumsum([len(t) + 1 for t in parts])
             owner = np.searchsorted(ends, starts, "right")
             hashes.append(mixed(found))

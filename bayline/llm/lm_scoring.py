@@ -160,7 +160,7 @@ def middle(levels: np.ndarray) -> np.ndarray:
 
 def places(hashes: np.ndarray, level: int, size: int) -> Iterator[np.ndarray]:
     """The bits of (n-gram, level) entries in a segment of `size` bits."""
-    first = mixed(hashes + np.uint64(level) * _PAIR)
+    first = mixed(hashes + np.uint64(level * int(_PAIR) % (1 << 64)))
     step = mixed(first) | np.uint64(1)
     for k in range(PROBES):
         yield ((first + np.uint64(k) * step) >> np.uint64(20)) % np.uint64(size)

@@ -12,10 +12,11 @@ alike agree in fewer than `MATCHES` coordinates only with a probability of about
 - Merging: the collisions of a candidate pair are counted over its two signatures, and pairs with
   enough of them are confirmed on the full sets.
 
-A list never becomes all its pairs. First, every list names a pivot, each member is compared to
-the pivots of its lists, and confirmed links join components; that repeats, with other pivots, for
-lists that still hold several components, until a round links nothing new. What is then left open
-is compared in blocks of bounded size, across components only, and only pairs with enough
+A list never becomes all its pairs. While the lists hold more than `PAIRS_PER_POST` pairs of
+different components for each posting, every list names a pivot, each member is compared to the
+pivots of its lists, and confirmed links join components; that repeats, with other pivots, for the
+lists that still hold several components (or until a round links nothing new). What is then left
+open is compared in blocks of bounded size, across components only, and only pairs with enough
 collisions leave a block. So every pair of different components that shares a list is compared.
 
 Defined cases: a document without words (null or empty text) has 0 shingles and links to nothing;
@@ -41,6 +42,7 @@ COORDINATES = 32
 MATCHES = 13
 # Nodes compared at once within a list that pivots have left open.
 BLOCK = 1024
+PAIRS_PER_POST = 8
 # Bits of the filter that keeps most uninvolved texts from being shingled again; 4 MB.
 FILTER_BITS = 1 << 25
 _CHUNK = 1 << 16
@@ -235,6 +237,13 @@ def open_posts(listed: DataFrame, labels: DataFrame | None) -> DataFrame:
         "key", "node", "component", "length")
 
 
+def open_pairs(opened: DataFrame) -> int:
+    """Pairs of different components in the open lists, a pair once for each list."""
+    parts = opened.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(
+        F.sum("n").cast("double").alias("n"), F.sum(F.col("n").cast("double") * F.col("n")).alias("same"))
+    return int(parts.agg(F.coalesce(F.sum(F.col("n") * F.col("n") - F.col("same")) / 2, F.lit(0.0))).first()[0])
+
+
 def pivot_pairs(opened: DataFrame, turn: int) -> DataFrame:
     """Each node with the pivots of its lists, other components' only; another pivot each turn."""
     drawn = F.xxhash64("node", F.lit(turn)) if turn else F.col("node")
@@ -275,16 +284,19 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     listed = stage(posts(nodes), "posts")
     involved = nodes.join(listed.select("node").distinct(), "node", "left_semi")
     sets = involved_sets(docs, involved.select("node", "doc_id"))
+    few = PAIRS_PER_POST * listed.count()
     found, labels, turn = None, None, 0
     while True:
-        pairs = colliding(pivot_pairs(open_posts(listed, labels), turn), nodes)
-        new = stage(confirmed(pairs, sets), "links")
+        opened = stage(open_posts(listed, labels), "open")
+        if open_pairs(opened) <= few:
+            break
+        new = stage(confirmed(colliding(pivot_pairs(opened, turn), nodes), sets), "links")
         if new.isEmpty():
             break
         found = new if found is None else found.unionByName(new)
         labels = stage(connected(found), "components")
         turn += 1
-    rest = confirmed(block_pairs(open_posts(listed, labels), nodes), sets)
+    rest = confirmed(block_pairs(opened, nodes), sets)
     return rest if found is None else found.unionByName(rest)
 
 

@@ -63,3 +63,34 @@ SELECT doc_id, source, CAST(n_tokens AS BIGINT) AS n_tokens, CAST(epoch AS INTEG
        round((epoch + key / 1152921504606846976.0::DOUBLE) / repeats, 6) AS place
 FROM summed WHERE epoch < whole OR (rest > 0 AND upto <= rest)
 """
+
+# Every pair that shares a shingle is compared, and groups grow by reachability.
+NEAR_DUPS = r"""
+WITH RECURSIVE split AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM split WHERE len(w) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
+), links AS (
+    SELECT a, b FROM shared s JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * s.n >= 75 * (x.n + y.n - s.n)
+), ways AS (
+    SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached AS (
+    SELECT a, b FROM ways
+    UNION
+    SELECT r.a, w.b FROM reached r JOIN ways w ON w.a = r.b
+), least AS (
+    SELECT a AS doc_id, min(b) AS other FROM reached GROUP BY a
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(other, doc_id)) AS component_id,
+       doc_id = least(doc_id, coalesce(other, doc_id)) AS kept
+FROM split LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)
+"""

@@ -70,4 +70,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op4_source_mixing": oracle.MIX,
     "op7_chat_formatting": oracle.CHATS,
+    "op9_near_duplicates": oracle.NEAR_DUPS,
 }

@@ -1,12 +1,16 @@
 import random
 import re
+import sys
 from collections import Counter
 
 import cases
 import numpy as np
 
-from bayline.llm import near_dups
-from bayline.llm.common import table
+sys.path.insert(0, __file__.rsplit("/", 2)[0])
+from oracle_compare import compare, connect  # noqa: E402
+
+from bayline.llm import near_dups, oracle  # noqa: E402
+from bayline.llm.common import stage, table  # noqa: E402
 
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
@@ -49,7 +53,9 @@ def got(df):
 
 def test_whole_table_against_brute_force(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents")
-    assert got(near_dups.components(docs)) == brute([(r.doc_id, r.text) for r in docs.collect()])
+    found = stage(near_dups.components(docs), "found")
+    assert got(found) == brute([(r.doc_id, r.text) for r in docs.collect()])
+    assert compare(found, connect("/root/testdata/sf0.01"), oracle.NEAR_DUPS) is None
 
 
 def test_groups_chains_and_borders(spark, monkeypatch):

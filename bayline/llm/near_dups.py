@@ -9,15 +9,17 @@ alike agree in fewer than `MATCHES` coordinates only with a probability of about
 - Prefix: two nodes that agree in `MATCHES` coordinates share a key outside any
   `MATCHES` - 1 of them; so each node is posted under all but its `MATCHES` - 1 most frequent keys
   and the longest lists are skipped.
-- Merging: the collisions of a candidate pair are counted over its two signatures, and pairs with
-  enough of them are confirmed on the full sets.
-
-A list never becomes all its pairs. While the lists hold more than `PAIRS_PER_POST` pairs of
-different components for each posting, every list names a pivot, each member is compared to the
-pivots of its lists, and confirmed links join components; that repeats, with other pivots, for the
-lists that still hold several components (or until a round links nothing new). What is then left
-open is compared in blocks of bounded size, across components only, and only pairs with enough
-collisions leave a block. So every pair of different components that shares a list is compared.
+- Merging: the collisions of two members of a list are counted over their signatures; of the lists
+  that a pair shares only that of the lowest coordinate handles it. Pairs with enough collisions
+  are confirmed on the full sets.
+
+A list never becomes all its pairs. Lists of up to `SHORT` nodes hand on their candidate pairs.
+Longer lists are compared where their sets are, in blocks of at most `BLOCK` nodes: members that a
+confirmed link has joined aren't compared again, so a crowd of copies costs about one comparison a
+member, and at most one link a member leaves the task. Lists of more than one block first go through
+pivots: each member is compared to one member of each of its lists, confirmed links join components,
+and that repeats with other pivots as long as it halves the pairs of different components. In the end
+every pair of nodes that shares a list is either compared or known to be joined.
 
 Defined cases: a document without words (null or empty text) has 0 shingles and links to nothing;
 with fewer words than a shingle its whole sequence is its one shingle; rows with a null id are
@@ -40,9 +42,10 @@ WORDS = 5
 SIMILARITY = 75
 COORDINATES = 32
 MATCHES = 13
-# Nodes compared at once within a list that pivots have left open.
-BLOCK = 1024
-PAIRS_PER_POST = 8
+SHORT = 32
+BLOCK = 4096
+# Postings to a task, without and with their sets.
+ROWS, ROWS_WITH_SETS = 16_384, 4096
 # Bits of the filter that keeps most uninvolved texts from being shingled again; 4 MB.
 FILTER_BITS = 1 << 25
 _CHUNK = 1 << 16
@@ -119,16 +122,24 @@ def documents_signed(docs: DataFrame) -> DataFrame:
 
 
 def posts(nodes: DataFrame) -> DataFrame:
-    """(key, node) of the postings that can lead to a match."""
+    """(key, at, node, mask, length) of the postings that can lead to a match.
+
+    `at` is the key's coordinate, `mask` has the node's posted coordinates, `length` is the list's.
+    """
     drawn = nodes.select("node", F.posexplode("signature").alias("at", "value")).select(
-        "node", F.xxhash64("at", "value").alias("key"))
+        "node", "at", F.xxhash64("at", "value").alias("key"))
     shared = drawn.groupBy("key").agg(F.count("*").alias("length")).where("length > 1")
     ranked = drawn.join(shared, "key").groupBy("node").agg(
-        F.sort_array(F.collect_list(F.struct("length", "key"))).alias("keys"))
+        F.sort_array(F.collect_list(F.struct("length", "key", "at"))).alias("keys"))
     # The most frequent MATCHES - 1 keys of a node are skipped.
     kept = ranked.where(F.size("keys") >= MATCHES).select(
-        "node", F.explode(F.slice("keys", 1, F.size("keys") - (MATCHES - 1))).alias("k"))
-    return kept.select(F.col("k.key").alias("key"), "node")
+        "node", F.slice("keys", 1, F.size("keys") - (MATCHES - 1)).alias("keys"))
+    mask = F.aggregate("keys", F.lit(0).cast("long"), lambda m, k: m.bitwiseOR(
+        F.call_function("shiftleft", F.lit(1).cast("long"), k["at"])))
+    posted = kept.select("node", mask.alias("mask"), F.explode("keys").alias("k")).select(
+        F.col("k.key").alias("key"), F.col("k.at").alias("at"), "node", "mask")
+    lists = posted.groupBy("key").agg(F.count("*").alias("length")).where("length > 1")
+    return posted.join(lists, "key")
 
 
 def enough_matches(a: Column, b: Column) -> Column:
@@ -227,56 +238,115 @@ def connected(links: DataFrame) -> DataFrame:
         edges.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
 
 
-def open_posts(listed: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """(key, node, component) of the lists that hold more than one component."""
-    labelled = listed.withColumn("component", F.col("node")) if labels is None else listed.join(
-        labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed_lists = labelled.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("length"))
-    return labelled.join(mixed_lists.where("low <> high").select("key", "length"), "key").select(
-        "key", "node", "component", "length")
+def labelled(listed: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """The postings with the component of their node."""
+    if labels is None:
+        return listed.withColumn("component", F.col("node"))
+    return listed.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
-def open_pairs(opened: DataFrame) -> int:
-    """Pairs of different components in the open lists, a pair once for each list."""
-    parts = opened.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(
-        F.sum("n").cast("double").alias("n"), F.sum(F.col("n").cast("double") * F.col("n")).alias("same"))
-    return int(parts.agg(F.coalesce(F.sum(F.col("n") * F.col("n") - F.col("same")) / 2, F.lit(0.0))).first()[0])
+def open_pairs(listed: DataFrame) -> float:
+    """Pairs of different components in the lists, a pair once for each list."""
+    parts = listed.groupBy("key", "component").agg(F.count("*").cast("double").alias("n")).groupBy("key").agg(
+        F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
+    return parts.agg(F.coalesce(F.sum(F.col("n") * F.col("n") - F.col("same")) / 2, F.lit(0.0))).first()[0]
 
 
-def pivot_pairs(opened: DataFrame, turn: int) -> DataFrame:
+def pivot_pairs(listed: DataFrame, turn: int) -> DataFrame:
     """Each node with the pivots of its lists, other components' only; another pivot each turn."""
-    drawn = F.xxhash64("node", F.lit(turn)) if turn else F.col("node")
-    pivots = opened.groupBy("key").agg(F.min_by(F.struct("node", "component"), drawn).alias("p"))
-    return opened.join(pivots, "key").where(F.col("component") != F.col("p.component")).select(
+    pivots = listed.groupBy("key").agg(
+        F.min_by(F.struct("node", "component"), F.xxhash64("node", F.lit(turn))).alias("p"))
+    return listed.join(pivots, "key").where(F.col("component") != F.col("p.component")).select(
         F.col("p.node").alias("a"), F.col("node").alias("b")).distinct()
 
 
-def block_pairs(opened: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs of different components with enough collisions, from blocks of the open lists."""
+def pivoted(long: DataFrame, nodes: DataFrame, sets: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
+    """Links found by pivots of the long lists, and the components they make."""
+    found, labels, turn, before = None, None, 0, None
+    if long.isEmpty():
+        return found, labels
+    while True:
+        opened = stage(labelled(long, labels), "open")
+        now = open_pairs(opened)
+        if now == 0 or before is not None and 2 * now > before:
+            return found, labels
+        new = stage(confirmed(colliding(pivot_pairs(opened, turn), nodes), sets), "links")
+        found = new if found is None else found.unionByName(new)
+        labels = stage(connected(found), "components")
+        turn, before = turn + 1, now
+
+
+def collisions(x: int, near: np.ndarray, at: int, drawn: np.ndarray, mask: np.ndarray) -> np.ndarray:
+    """Which of `near` agree with x often enough, in a list of this coordinate; best first."""
+    equal = drawn[near] == drawn[x]
+    matches = equal.sum(1)
+    common = np.packbits(equal, axis=1, bitorder="little").view("<u4").ravel() & mask[near] & mask[x]
+    found = np.flatnonzero((matches >= MATCHES) & (common & -common == np.uint32(1 << at)))
+    return found[np.argsort(-matches[found], kind="stable")]
+
+
+def overlap(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Shared elements of a sorted set with each of several non-empty ones."""
+    every = np.concatenate(others)
+    place = np.minimum(np.searchsorted(own, every), len(own) - 1)
+    sizes = np.array([len(o) for o in others])
+    return np.add.reduceat((own[place] == every).astype(np.int64), np.cumsum(sizes) - sizes)
+
+
+def compared(group: pa.Table, confirm: bool) -> pa.Table:
+    """Candidate pairs of several lists or, with their sets, links that join what belongs together."""
+    key, i, j, own, at, node, component, mask, size = (group.column(c).to_numpy() for c in (
+        "key", "i", "j", "own", "at", "node", "component", "mask", "n_shingles"))
+    mask = mask.astype(np.uint32)
+    drawn = group.column("signature").combine_chunks().flatten().to_numpy().reshape(-1, COORDINATES)
+    if confirm:
+        lists = group.column("set").combine_chunks()
+        ends, elements = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)
+    order = np.lexsort((node, j, i, key))
+    change = (np.diff(key[order]) != 0) | (np.diff(i[order]) != 0) | (np.diff(j[order]) != 0)
+    a, b = [], []
+    for rows in np.split(order, np.flatnonzero(change) + 1):
+        low, high = i[rows[0]], j[rows[0]]
+        label = component[rows].copy()
+        right = np.flatnonzero(own[rows] == high)
+        for x in np.flatnonzero(own[rows] == low).tolist():
+            near = right[label[right] != label[x]]
+            if low == high:
+                near = near[near > x]
+            sizes = size[rows[near]]
+            near = near[100 * np.minimum(sizes, size[rows[x]]) >= SIMILARITY * np.maximum(sizes, size[rows[x]])]
+            if len(near):
+                near = near[collisions(rows[x], rows[near], at[rows[x]], drawn, mask)]
+            if not confirm:
+                a += [node[rows[x]]] * len(near)
+                b += node[rows[near]].tolist()
+                continue
+            many = 2
+            while len(near):
+                some, near, many = near[:many], near[many:], 4 * many
+                both = overlap(elements[ends[rows[x]]:ends[rows[x] + 1]],
+                               [elements[ends[y]:ends[y + 1]] for y in rows[some]])
+                for y in some[100 * both >= SIMILARITY * (size[rows[some]] + size[rows[x]] - both)].tolist():
+                    if label[y] != label[x]:
+                        a.append(node[rows[x]])
+                        b.append(node[rows[y]])
+                        label[label == label[y]] = label[x]
+                near = near[label[near] != label[x]]
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def within_lists(rows: DataFrame, confirm: bool) -> DataFrame:
+    """`compared` over all lists, several short ones or one pair of blocks at a time."""
     blocks = F.ceil(F.col("length") / BLOCK).cast("int")
-    member = opened.join(nodes.select("node", "n_shingles", "signature"), "node").withColumn(
-        "blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    dealt = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-        "own", "node", "component", "n_shingles", "signature")
-
-    def compared(group: pa.Table) -> pa.Table:
-        i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
-        own, node, part, size = (group.column(c).to_numpy() for c in ("own", "node", "component", "n_shingles"))
-        drawn = group.column("signature").combine_chunks().flatten().to_numpy().reshape(-1, COORDINATES)
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for x in left:
-            near = right[part[right] != part[x]]
-            near = near[100 * np.minimum(size[near], size[x]) >= SIMILARITY * np.maximum(size[near], size[x])]
-            near = near[(drawn[near] == drawn[x]).sum(1) >= MATCHES]
-            a.append(np.minimum(node[x], node[near]))
-            b.append(np.maximum(node[x], node[near]))
-        pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0)
-        return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
-
-    return dealt.groupBy("key", "i", "j").applyInArrow(compared, "a long, b long").distinct()
+    dealt = rows.withColumn("blocks", blocks).withColumn(
+        "own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns({
+            "i": F.least("own", "other"), "j": F.greatest("own", "other")})
+    tasks = rows.count() // (ROWS_WITH_SETS if confirm else ROWS) + 1
+    bucket = F.pmod(F.xxhash64("key", "i", "j"), F.lit(tasks))
+    return dealt.withColumn("bucket", bucket).drop("blocks", "other", "length").repartition(
+        tasks, "bucket").groupBy("bucket").applyInArrow(
+        lambda group: compared(group, confirm), "a long, b long")
 
 
 def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -284,20 +354,12 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     listed = stage(posts(nodes), "posts")
     involved = nodes.join(listed.select("node").distinct(), "node", "left_semi")
     sets = involved_sets(docs, involved.select("node", "doc_id"))
-    few = PAIRS_PER_POST * listed.count()
-    found, labels, turn = None, None, 0
-    while True:
-        opened = stage(open_posts(listed, labels), "open")
-        if open_pairs(opened) <= few:
-            break
-        new = stage(confirmed(colliding(pivot_pairs(opened, turn), nodes), sets), "links")
-        if new.isEmpty():
-            break
-        found = new if found is None else found.unionByName(new)
-        labels = stage(connected(found), "components")
-        turn += 1
-    rest = confirmed(block_pairs(opened, nodes), sets)
-    return rest if found is None else found.unionByName(rest)
+    found, labels = pivoted(listed.where(F.col("length") > BLOCK), nodes, sets)
+    rows = labelled(listed, labels).join(nodes.select("node", "n_shingles", "signature"), "node")
+    short = confirmed(within_lists(rows.where(F.col("length") <= SHORT), False).distinct(), sets)
+    long = rows.where(F.col("length") > SHORT)
+    every = short.unionByName(within_lists(long.join(sets, "node"), True))
+    return every if found is None else every.unionByName(found)
 
 
 def components(docs: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from collections import Counter
 
 import cases
 import numpy as np
+import pytest
 
 sys.path.insert(0, __file__.rsplit("/", 2)[0])
 from oracle_compare import compare, connect  # noqa: E402
@@ -58,9 +59,12 @@ def test_whole_table_against_brute_force(spark):
     assert compare(found, connect("/root/testdata/sf0.01"), oracle.NEAR_DUPS) is None
 
 
-def test_groups_chains_and_borders(spark, monkeypatch):
+@pytest.mark.parametrize("short, block", [(32, 4096), (4, 4096), (4, 16), (1000, 4096)])
+def test_groups_chains_and_borders(spark, monkeypatch, short, block):
     """Copies, a crowd around one text, a chain that drifts, and pairs on either side of 75 in 100."""
-    monkeypatch.setattr(near_dups, "BLOCK", 8)
+    monkeypatch.setattr(near_dups, "SHORT", short)
+    monkeypatch.setattr(near_dups, "BLOCK", block)
+    monkeypatch.setattr(near_dups, "ROWS_WITH_SETS", 100)
     rng = random.Random(5)
     word = lambda: f"w{rng.randrange(10**6)}"
     base = [word() for _ in range(120)]

@@ -45,6 +45,22 @@ _START = np.uint64(0x14057B7EF767814F)
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 
 
+def packed(values: np.ndarray, ordered: bool = False) -> bytes:
+    """Non-negative integers as compressed planes of their bytes; of an ordered array, its steps."""
+    values = values.astype(np.uint64)
+    if ordered:
+        values = np.diff(values, prepend=np.uint64(0))
+    planes = values.view(np.uint8).reshape(-1, 8).T.tobytes()
+    return len(values).to_bytes(8, "little") + pa.compress(planes, "zstd", asbytes=True)
+
+
+def unpacked(data: bytes, ordered: bool = False) -> np.ndarray:
+    size = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.decompress(data[8:], 8 * size, "zstd"), np.uint8).reshape(8, -1)
+    values = np.ascontiguousarray(planes.T).view(np.uint64).ravel()
+    return np.cumsum(values) if ordered else values
+
+
 def encoded(docs: DataFrame) -> DataFrame:
     """One row per block: its documents, their token numbers, their tokens as places in `words`."""
     schema = pa.schema([
@@ -65,8 +81,8 @@ def encoded(docs: DataFrame) -> DataFrame:
             counts = np.bincount(places[np.repeat(trains, number)], minlength=len(distinct))
             return pa.RecordBatch.from_pylist([{
                 "block": block, "doc_ids": ids, "n_tokens": number, "trains": trains,
-                "words": distinct.tobytes(), "counts": counts.astype(np.int64).tobytes(),
-                "tokens": places.astype(np.uint32).tobytes()}], schema)
+                "words": packed(distinct, ordered=True), "counts": packed(counts),
+                "tokens": packed(places)}], schema)
 
         for batch in batches:
             if not batch.num_rows:
@@ -96,11 +112,14 @@ def ranges(hashes: np.ndarray, bits: int) -> np.ndarray:
 
 
 def pair_hashes(tokens: np.ndarray, number: np.ndarray) -> np.ndarray:
-    """Hash of each token and the one before it; the start marker comes before a document."""
+    """Hash of each token and the one before it; the start marker comes before a document.
+
+    The lowest bits are left out: the filter errs more often than 48 bits do, and they cost space.
+    """
     before = np.empty_like(tokens)
     before[1:] = tokens[:-1]
     before[np.cumsum(number) - number] = _START
-    return mixed(before * _PAIR + tokens)
+    return mixed(before * _PAIR + tokens) >> np.uint64(16) << np.uint64(16)
 
 
 def sent_words(blocks: DataFrame, bits: int) -> DataFrame:
@@ -109,10 +128,10 @@ def sent_words(blocks: DataFrame, bits: int) -> DataFrame:
         for batch in batches:
             rows = []
             for block, words, counts in zip(*(batch.column(c).to_pylist() for c in ("block", "words", "counts"))):
-                words, counts = np.frombuffer(words, np.uint64), np.frombuffer(counts, np.int64)
+                words, counts = unpacked(words, ordered=True), unpacked(counts)
                 at = ranges(words, bits)
-                rows += [{"range": r, "block": block, "words": words[at[r]:at[r + 1]].tobytes(),
-                          "counts": counts[at[r]:at[r + 1]].tobytes()} for r in range(1 << bits) if at[r] < at[r + 1]]
+                rows += [{"range": r, "block": block, "words": packed(words[at[r]:at[r + 1]], ordered=True),
+                          "counts": packed(counts[at[r]:at[r + 1]])} for r in range(1 << bits) if at[r] < at[r + 1]]
             yield pa.RecordBatch.from_pylist(rows, pa.schema([
                 ("range", pa.int32()), ("block", pa.int64()), ("words", pa.binary()), ("counts", pa.binary())]))
 
@@ -127,12 +146,12 @@ def sent_pairs(blocks: DataFrame, bits: int) -> DataFrame:
             rows = []
             columns = [batch.column(c).to_pylist() for c in ("words", "tokens", "n_tokens", "trains")]
             for words, tokens, number, trains in zip(*columns):
-                tokens = np.frombuffer(words, np.uint64)[np.frombuffer(tokens, np.uint32)]
+                tokens = unpacked(words, ordered=True)[unpacked(tokens)]
                 trained = pair_hashes(tokens, np.array(number))[np.repeat(np.array(trains), number)]
                 pairs, counts = np.unique(trained, return_counts=True)
                 at = ranges(pairs, bits)
-                rows += [{"range": r, "words": pairs[at[r]:at[r + 1]].tobytes(),
-                          "counts": counts[at[r]:at[r + 1]].astype(np.uint32).tobytes()}
+                rows += [{"range": r, "words": packed(pairs[at[r]:at[r + 1]], ordered=True),
+                          "counts": packed(counts[at[r]:at[r + 1]])}
                          for r in range(1 << bits) if at[r] < at[r + 1]]
             yield pa.RecordBatch.from_pylist(rows, pa.schema([
                 ("range", pa.int32()), ("words", pa.binary()), ("counts", pa.binary())]))
@@ -214,10 +233,10 @@ def word_filter_and_counts(blocks: DataFrame, bits: int, most_bits: int) -> Data
     """Two kinds of rows: (range, counts) for each block; filter segment and totals for each range."""
     def merged(group: pa.Table) -> pa.Table:
         r = group.column("range")[0].as_py()
-        words = [np.frombuffer(w, np.uint64) for w in group.column("words").to_pylist()]
-        counts = [np.frombuffer(c, np.int64) for c in group.column("counts").to_pylist()]
+        words = [unpacked(w, ordered=True) for w in group.column("words").to_pylist()]
+        counts = [unpacked(c) for c in group.column("counts").to_pylist()]
         distinct, total = summed(words, counts)
-        rows = [{"block": b, "range": r, "data": total[np.searchsorted(distinct, w)].tobytes()}
+        rows = [{"block": b, "range": r, "data": packed(total[np.searchsorted(distinct, w)])}
                 for b, w in zip(group.column("block").to_pylist(), words)]
         rows.append({"range": r, "data": segment(distinct, total, most_bits),
                      "tokens": int(total.sum()), "distinct": int((total > 0).sum())})
@@ -232,8 +251,8 @@ def word_filter_and_counts(blocks: DataFrame, bits: int, most_bits: int) -> Data
 def pair_filter(blocks: DataFrame, bits: int, most_bits: int) -> DataFrame:
     """(range, data): the filter segment of each range of pairs."""
     def merged(group: pa.Table) -> pa.Table:
-        words = [np.frombuffer(w, np.uint64) for w in group.column("words").to_pylist()]
-        counts = [np.frombuffer(c, np.uint32) for c in group.column("counts").to_pylist()]
+        words = [unpacked(w, ordered=True) for w in group.column("words").to_pylist()]
+        counts = [unpacked(c) for c in group.column("counts").to_pylist()]
         data = segment(*summed(words, counts), most_bits)
         return pa.table({"range": pa.array([group.column("range")[0].as_py()], pa.int32()),
                          "data": pa.array([data], pa.binary())})
@@ -270,11 +289,10 @@ def scores(docs: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame:
         block = left.slice(0, 1).to_pylist()[0]
         number = np.array(block["n_tokens"], np.int64)
         starts = np.cumsum(number) - number
-        distinct = np.frombuffer(block["words"], np.uint64)
-        tokens = np.frombuffer(block["tokens"], np.uint32)
+        distinct, tokens = unpacked(block["words"], ordered=True), unpacked(block["tokens"]).astype(np.int64)
         order = np.argsort(right.column("range").to_numpy())
         data = right.column("data").to_pylist()
-        exact = np.concatenate([np.frombuffer(data[i], np.int64) for i in order])
+        exact = np.concatenate([unpacked(data[i]) for i in order])
         base = np.log10((exact + 1) / floor)
         one = words.counts(distinct)
         alone = (one + 1) / floor

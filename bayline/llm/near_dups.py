@@ -161,27 +161,40 @@ def colliding(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         similar_sizes(F.col("n_a"), F.col("n_b")) & enough_matches(F.col("s_a"), F.col("s_b"))).select("a", "b")
 
 
-def involved_sets(docs: DataFrame, involved: DataFrame) -> DataFrame:
-    """(node, set) of the involved nodes, each shingled again from one of its documents.
+def place_of(doc_id: Column) -> Column:
+    """Bit of an id in a filter; places count from 1, as the bitmap functions do."""
+    return F.pmod(F.xxhash64(doc_id.cast("long")), F.lit(FILTER_BITS)).cast("long") + 1
 
-    A filter of fixed size over the involved ids spares most other texts; it lets some through,
-    which the joins to come drop.
-    """
-    # Places count from 1, as the bitmap functions do.
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).cast("long") + 1
-    parts = involved.select(place.alias("place")).groupBy(F.bitmap_bucket_number("place").alias("bucket")).agg(
+
+def id_filter(ids: DataFrame):
+    """A broadcast filter of fixed size over the `doc_id`s: a bit that isn't set excludes an id."""
+    parts = ids.select(place_of(F.col("doc_id")).alias("place")).groupBy(
+        F.bitmap_bucket_number("place").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")).collect()
     bits = np.zeros(FILTER_BITS // 8, np.uint8)
     for r in parts:
         part = np.frombuffer(bytes(r["bits"]), np.uint8)
         bits[(r["bucket"] - 1) * 4096:(r["bucket"] - 1) * 4096 + len(part)] = part
-    sent = docs.sparkSession.sparkContext.broadcast(bits)
+    return ids.sparkSession.sparkContext.broadcast(bits)
+
+
+def is_set(bits: np.ndarray, place: pa.Array) -> np.ndarray:
+    at = place.to_numpy() - 1
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def involved_sets(docs: DataFrame, involved: DataFrame) -> DataFrame:
+    """(node, set) of the involved nodes, each shingled again from one of its documents.
+
+    A filter of fixed size over the involved ids spares most other texts; it lets some through,
+    which the joins to come drop.
+    """
+    sent = id_filter(involved)
 
     def shingled(batches):
         words, bits, seen = Words(), sent.value, set()
         for batch in batches:
-            at = batch.column("place").to_numpy() - 1
-            chosen = batch.filter(pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
+            chosen = batch.filter(pa.array(is_set(bits, batch.column("place"))))
             if not chosen.num_rows:
                 continue
             sets, counts = shingles(*words(chosen.column("text").to_pylist()))
@@ -196,8 +209,8 @@ def involved_sets(docs: DataFrame, involved: DataFrame) -> DataFrame:
                 [pa.array(nodes, pa.int64()), pa.array(own, pa.list_(pa.int64()))], ["node", "set"])
 
     texts = docs.where(F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("place", place)
-    found = texts.select("text", "place").mapInArrow(shingled, "node long, set array<long>")
+        "text", place_of(F.col("doc_id")).alias("place"))
+    found = texts.mapInArrow(shingled, "node long, set array<long>")
     return stage(found.join(involved.select("node"), "node", "left_semi"), "sets")
 
 
@@ -389,7 +402,24 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     found = stage(components(docs).where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.min("kept").alias("kept"), F.count("*").alias("rows")), "kept")
     special = found.where("not kept or rows > 1").select("doc_id")
-    out = docs.join(special, docs["doc_id"].cast("long") == special["doc_id"], "left_anti")
+    sent, names = id_filter(special), docs.columns
+    place = "_place"
+    while place in names:
+        place += "_"
+    placed = docs.withColumn(place, place_of(F.col("doc_id")))
+
+    def passed(wanted: bool) -> DataFrame:
+        def chosen(batches):
+            for batch in batches:
+                hit = is_set(sent.value, batch.column(place))
+                yield batch.filter(pa.array(hit if wanted else ~hit)).select(names)
+
+        return placed.mapInArrow(chosen, docs.schema)
+
+    # Rows that the filter excludes stay; only the others, with their texts, are joined.
+    doubtful = passed(True)
+    out = passed(False).unionByName(
+        doubtful.join(special, doubtful["doc_id"].cast("long") == special["doc_id"], "left_anti"))
     repeated = found.where("kept and rows > 1").select("doc_id")
     if repeated.isEmpty():
         return out

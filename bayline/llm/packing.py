@@ -24,7 +24,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from bayline.llm.common import prepare, stage, worker_memo
 from bayline.llm.token_counts import byte_alphabet
-from bayline.llm.words import Words, mixed
 
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 2048
@@ -35,12 +34,8 @@ _KNOWN_LENGTH = 64
 _SIGNS = ".,!?|;:#$%&*"
 _AFTER_LATIN = "\u0100"
 _SHOWN = dict(enumerate(byte_alphabet()))
-# Characters encoded together, about.
-_PART = 1 << 20
-# The characters that the vocabulary's normaliser takes for white space.
-_BLANK = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
-_SPACE = re.compile("[" + "".join(map(chr, _BLANK)) + "]")
-_WHITE = np.isin(np.arange(0x3002), _BLANK)
+# Python's split takes these for white space, the vocabulary's normaliser doesn't.
+_SEPARATORS = re.compile("[\x1c-\x1f]")
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, row_key long"
 PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
@@ -66,7 +61,6 @@ class ChunkEncoder:
         self.ends[[i for token, i in ids.items() if token.endswith("</w>")]] = True
         # Ids as bytes of little-endian unsigned 32-bit numbers.
         self.known: dict[str, bytes] = {}
-        self.words = Words()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -111,62 +105,20 @@ class ChunkEncoder:
         into.update((chunk, own[chunk]) for chunk in odd)
         into.update((chunk, (own.get(word) or known[word]) + own[signs]) for chunk, word, signs in put)
 
-    def chunk_ids(self, chunks: list[str]) -> list[bytes]:
+    def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
         if len(self.known) > _KNOWN_CHUNKS:
             self.known.clear()
-        found = list(map(self.known.get, chunks))
-        missing = {c for c, ids in zip(chunks, found) if ids is None}
-        if not missing:
-            return found
+        chunks = [[] if not t else [t] if _SEPARATORS.search(t) else t.split() for t in texts]
+        found = [list(map(self.known.get, words)) for words in chunks]
+        missing = {w for words, ids in zip(chunks, found) if None in ids for w, i in zip(words, ids) if i is None}
         once: dict[str, bytes] = {}
         long = {c for c in missing if len(c) > _KNOWN_LENGTH}
-        self.learn(missing - long, self.known)
-        self.learn(long, once)
-        return [(once[c] if c in long else self.known[c]) if ids is None else ids for c, ids in zip(chunks, found)]
-
-    def encode_parts(self, parts: list[str]) -> list[np.ndarray]:
-        """Ids of each part; a chunk that comes several times in them is looked up once."""
-        joined = " " + " ".join(parts) + " "
-        codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
-        starts, stops = self.words.spans(_WHITE[np.minimum(codes, len(_WHITE) - 1)])
-        if not len(starts):
-            return [np.zeros(0, "<u4")] * len(parts)
-        hashes = mixed(self.words.hashes(codes.astype(np.uint64), starts, stops))
-        _, first, place = np.unique(hashes, return_index=True, return_inverse=True)
-        ids = self.chunk_ids([joined[i:j] for i, j in zip(starts[first].tolist(), stops[first].tolist())])
-        pool, size = np.frombuffer(b"".join(ids), "<u4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        # The ids of the chunks one after the other: each run of the pool, moved to its place.
-        sizes = size[place]
-        ends = np.cumsum(sizes)
-        out = pool[np.repeat((np.cumsum(size) - size)[place] - ends + sizes, sizes) + np.arange(ends[-1])]
-        part = np.searchsorted(starts, 1 + np.cumsum([len(p) + 1 for p in parts]))
-        return np.split(out, np.append(0, ends)[part[:-1]])
-
-    def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ids of each text. Long texts are taken in parts, cut at white space."""
-        out: list[list[np.ndarray]] = [[] for _ in texts]
-        some, owner, size = [], [], 0
-
-        def flush():
-            for i, ids in zip(owner, self.encode_parts(some)):
-                out[i].append(ids)
-            some.clear(), owner.clear()
-
-        for i, text in enumerate(texts):
-            at = 0
-            while text and at < len(text):
-                cut = _SPACE.search(text, at + _PART) if len(text) - at > _PART else None
-                stop = cut.start() if cut else len(text)
-                some.append(text[at:stop])
-                owner.append(i)
-                size += stop - at
-                at = stop
-                if size > _PART:
-                    flush()
-                    size = 0
-        if some:
-            flush()
-        return [np.concatenate(parts) if len(parts) > 1 else parts[0] if parts else np.zeros(0, "<u4") for parts in out]
+        self.learn(missing - long if long else missing, self.known)
+        if long:
+            self.learn(long, once)
+        return [np.frombuffer(b"".join(ids if None not in ids else [
+            (self.known.get(w) or once.get(w, b"")) if i is None else i for w, i in zip(words, ids)]), "<u4")
+            for words, ids in zip(chunks, found)]
 
 
 def cut(ids: np.ndarray, capacity: int):

@@ -59,8 +59,7 @@ def test_known_words_are_bounded(encoder, monkeypatch):
     assert encoder([text])[0].tolist() == first
 
 
-def test_parts_of_long_texts_join_up(encoder, word_library, monkeypatch):
-    monkeypatch.setattr(packing, "_PART", 50)
+def test_long_texts_and_words(encoder, word_library):
     texts = [" ".join(f"Word{i}, é" for i in range(200)), "", None, "x" * 300 + "\u3000y", "short", "\u2028" * 120, "a b"]
     for text, ids in zip(texts, encoder(texts)):
         assert ids.tolist() == word_library.encode(text or "", add_special_tokens=False).ids

@@ -192,25 +192,26 @@ def free_names(docs: DataFrame, *wanted: str) -> tuple[str, ...]:
 
 def redact(docs: DataFrame, ratios: list[float]) -> DataFrame:
     """All rows and columns, with each secret in the text replaced by `MASK`; n_chars follows."""
-    names = free_names(docs, "_base", "_more")
-    found = _text_spans(docs, ratios, names)
+    *names, before = free_names(docs, "_base", "_more", "_before")
+    # Under a name of its own: a lambda would take `text` for the masked column beside it.
+    found = _text_spans(docs, ratios, names).withColumn(before, F.col("text"))
     spans = F.sort_array(F.concat(*names))
 
     def step(acc, s):
         apart = s["start"] >= acc["at"]
-        between = F.substr(F.col("text"), acc["at"] + 1, s["start"] - acc["at"])
+        between = F.substr(F.col(before), acc["at"] + 1, s["start"] - acc["at"])
         return F.struct(
             F.greatest(acc["at"], s["end"]).alias("at"),
             F.when(apart, F.concat(acc["out"], between, F.lit(MASK))).otherwise(acc["out"]).alias("out"))
 
     masked = F.aggregate(
         spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
-        lambda acc: F.concat(acc["out"], F.substr(F.col("text"), acc["at"] + 1)))
+        lambda acc: F.concat(acc["out"], F.substr(F.col(before), acc["at"] + 1)))
     hit = F.size(F.concat(*names)) > 0
     columns = []
     for c in docs.columns:
         if c == "text":
-            columns.append(F.when(hit, masked).otherwise(F.col("text")).alias("text"))
+            columns.append(F.when(hit, masked).otherwise(F.col(before)).alias("text"))
         elif c == "n_chars":
             columns.append(F.when(hit, F.length(masked)).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c))
         else:

@@ -2,7 +2,7 @@
 
 A document is its set of distinct `WORDS`-word shingles. Documents with equal sets are one node.
 A node has a signature of `COORDINATES` minima, and nodes whose sets are `SIMILARITY` percent
-alike agree in fewer than `MATCHES` coordinates only with a probability of about one in a million.
+alike agree in fewer than `MATCHES` coordinates with a probability of eight in a million only.
 
 - Posting: a (coordinate, value) pair is a key that lists the nodes which have it. Keys with one
   node match nobody, so a node with fewer than `MATCHES` shared keys is out (most are).

@@ -3,17 +3,20 @@
 Words and word pairs of the training documents are counted over the whole corpus. An n-gram that
 occurs c times has the level 1 + floor(log2 c) and enters the filter once for each level up to its
 own; a reader probes levels 1, 2, ... until the first that is missing, and takes the middle of the
-counts of the last one found. The filter is broadcast, so its size is bounded: `FILTER_BITS` in
-all, `EVENT_BITS` per entry below that. Where entries would need more, the rarest levels stay out,
-as many as needed; such n-grams then count as unseen.
+counts of the last one found. The filter has `EVENT_BITS` per entry, however many entries there
+are: it is kept as segments, one for each range of the hash, and an n-gram is probed where the
+segment of its range is. No task holds more than one segment, and none is sent anywhere.
 
 The probability of a word is the mean of count(pair) / count(word before) and of
 (count + 1) / (N + V + 1). Beside it, an exact unigram score is given.
 
 Texts are coded in blocks of about `BLOCK` tokens: the sorted distinct word hashes of the block and,
-for each token, its place among them. Blocks send their words' counts to ranges of the hash, where
-they are summed, and get the sums of their own words back: exact counts for every token, without
-a row per token and without any task that holds the vocabulary.
+for each token, its place among them. Blocks send the counts of their words and pairs to ranges of
+the hash, where they are summed, and get back the levels of their own, and the exact sums of their
+words: without a row per token and without any task that holds the vocabulary. Ranges grow in
+number with the tokens, at most `RANGE` tokens to one on average, so a range doesn't grow.
+The pieces sent are blocks times ranges: beyond 64 ranges they grow with the square of the tokens
+(one for each 800 tokens or so at 5 billion), what is in them in proportion.
 
 Defined cases: null and empty texts are the end token alone; a null id counts as the empty text for
 the fold, so such a document trains; without training documents all counts are 0; every input row
@@ -29,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from bayline.llm.common import prepare, remainder, stage
@@ -36,7 +40,7 @@ from bayline.llm.words import Words, mixed
 
 FOLDS, HELD_OUT = 7, 2
 BLOCK = 1 << 20
-FILTER_BITS = 1 << 29
+RANGE = 1 << 23
 EVENT_BITS = 8
 PROBES = 4
 MOST_LEVELS = 40
@@ -140,24 +144,27 @@ def sent_words(blocks: DataFrame, bits: int) -> DataFrame:
 
 
 def sent_pairs(blocks: DataFrame, bits: int) -> DataFrame:
-    """(range, words, counts) of the distinct training pairs of each block."""
+    """(range, block, words, counts) of the distinct pairs of each block; counts are of training ones."""
     def dealt(batches):
         for batch in batches:
             rows = []
-            columns = [batch.column(c).to_pylist() for c in ("words", "tokens", "n_tokens", "trains")]
-            for words, tokens, number, trains in zip(*columns):
+            columns = [batch.column(c).to_pylist() for c in ("block", "words", "tokens", "n_tokens", "trains")]
+            for block, words, tokens, number, trains in zip(*columns):
                 tokens = unpacked(words, ordered=True)[unpacked(tokens)]
-                trained = pair_hashes(tokens, np.array(number))[np.repeat(np.array(trains), number)]
-                pairs, counts = np.unique(trained, return_counts=True)
+                hashes, trains = pair_hashes(tokens, np.array(number)), np.repeat(np.array(trains), number)
+                trained, times = np.unique(hashes[trains], return_counts=True)
+                pairs = np.union1d(trained, hashes[~trains])
+                counts = np.zeros(len(pairs), np.int64)
+                counts[np.searchsorted(pairs, trained)] = times
                 at = ranges(pairs, bits)
-                rows += [{"range": r, "words": packed(pairs[at[r]:at[r + 1]], ordered=True),
+                rows += [{"range": r, "block": block, "words": packed(pairs[at[r]:at[r + 1]], ordered=True),
                           "counts": packed(counts[at[r]:at[r + 1]])}
                          for r in range(1 << bits) if at[r] < at[r + 1]]
             yield pa.RecordBatch.from_pylist(rows, pa.schema([
-                ("range", pa.int32()), ("words", pa.binary()), ("counts", pa.binary())]))
+                ("range", pa.int32()), ("block", pa.int64()), ("words", pa.binary()), ("counts", pa.binary())]))
 
-    return blocks.select("words", "tokens", "n_tokens", "trains").mapInArrow(
-        dealt, "range int, words binary, counts binary")
+    return blocks.select("block", "words", "tokens", "n_tokens", "trains").mapInArrow(
+        dealt, "range int, block long, words binary, counts binary")
 
 
 def summed(words: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -185,15 +192,18 @@ def places(hashes: np.ndarray, level: int, size: int) -> Iterator[np.ndarray]:
         yield ((first + np.uint64(k) * step) >> np.uint64(20)) % np.uint64(size)
 
 
-def segment(hashes: np.ndarray, counts: np.ndarray, most_bits: int) -> bytes:
-    """Filter of one range of n-grams, of at most `most_bits` bits."""
+def segment(hashes: np.ndarray, counts: np.ndarray, most_bits: int | None = None) -> bytes:
+    """Filter of one range of n-grams. With `most_bits`, which `scores` doesn't set, the rarest stay out."""
     hashes, levels = hashes[counts > 0], levels_of(counts[counts > 0])
-    by_level = np.bincount(levels, minlength=2)
-    # Entries that stay if n-grams below a level are left out; the rarest go until all fit.
-    entries = np.cumsum((by_level * np.arange(len(by_level)))[::-1])[::-1]
-    least = int(np.argmax(np.append(entries * EVENT_BITS, 0) <= most_bits))
-    hashes, levels = hashes[levels >= least], levels[levels >= least]
-    size = min(most_bits, max(64, -(-int(levels.sum()) * EVENT_BITS // 64) * 64))
+    if most_bits is not None:
+        by_level = np.bincount(levels, minlength=2)
+        # Entries that stay if n-grams below a level are left out; the rarest go until all fit.
+        entries = np.cumsum((by_level * np.arange(len(by_level)))[::-1])[::-1]
+        least = int(np.argmax(np.append(entries * EVENT_BITS, 0) <= most_bits))
+        hashes, levels = hashes[levels >= least], levels[levels >= least]
+    size = max(64, -(-int(levels.sum()) * EVENT_BITS // 64) * 64)
+    if most_bits is not None:
+        size = min(most_bits, size)
     bits = np.zeros(size, bool)
     for level in range(1, int(levels.max(initial=0)) + 1):
         for at in places(hashes[levels >= level], level, size):
@@ -229,79 +239,72 @@ class CountFilter:
         return middle(self.levels(hashes))
 
 
-def word_filter_and_counts(blocks: DataFrame, bits: int, most_bits: int) -> DataFrame:
-    """Two kinds of rows: (range, counts) for each block; filter segment and totals for each range."""
-    def merged(group: pa.Table) -> pa.Table:
-        r = group.column("range")[0].as_py()
-        words = [unpacked(w, ordered=True) for w in group.column("words").to_pylist()]
-        counts = [unpacked(c) for c in group.column("counts").to_pylist()]
-        distinct, total = summed(words, counts)
-        rows = [{"block": b, "range": r, "data": packed(total[np.searchsorted(distinct, w)])}
-                for b, w in zip(group.column("block").to_pylist(), words)]
-        rows.append({"range": r, "data": segment(distinct, total, most_bits),
-                     "tokens": int(total.sum()), "distinct": int((total > 0).sum())})
-        return pa.Table.from_pylist(rows, pa.schema([
-            ("block", pa.int64()), ("range", pa.int32()), ("data", pa.binary()),
-            ("tokens", pa.int64()), ("distinct", pa.int64())]))
+def levels_in_range(distinct: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The levels that the filter of one range tells for its n-grams, those without a count too."""
+    data = np.frombuffer(segment(distinct, counts), np.uint8)
+    return CountFilter(data, np.array([8 * len(data)], np.uint64)).levels(distinct)
+
 
-    return sent_words(blocks, bits).groupBy("range").applyInArrow(
-        merged, "block long, range int, data binary, tokens long, distinct long")
+ANSWERS = pa.schema([("block", pa.int64()), ("range", pa.int32()), ("pairs", pa.bool_()), ("levels", pa.binary()),
+                     ("exact", pa.binary()), ("tokens", pa.int64()), ("distinct", pa.int64())])
+_ANSWERS = "block long, range int, pairs boolean, levels binary, exact binary, tokens long, distinct long"
 
 
-def pair_filter(blocks: DataFrame, bits: int, most_bits: int) -> DataFrame:
-    """(range, data): the filter segment of each range of pairs."""
+def answers(sent: DataFrame, pairs: bool) -> DataFrame:
+    """For each block and range, the levels of the block's n-grams, in order of their hashes.
+
+    For words also the exact counts, and one row without a block for each range: its totals.
+    """
     def merged(group: pa.Table) -> pa.Table:
+        r = group.column("range")[0].as_py()
         words = [unpacked(w, ordered=True) for w in group.column("words").to_pylist()]
         counts = [unpacked(c) for c in group.column("counts").to_pylist()]
-        data = segment(*summed(words, counts), most_bits)
-        return pa.table({"range": pa.array([group.column("range")[0].as_py()], pa.int32()),
-                         "data": pa.array([data], pa.binary())})
-
-    return sent_pairs(blocks, bits).groupBy("range").applyInArrow(merged, "range int, data binary")
-
+        distinct, total = summed(words, counts)
+        levels = levels_in_range(distinct, total)
+        rows = []
+        for block, w in zip(group.column("block").to_pylist(), words):
+            at = np.searchsorted(distinct, w)
+            rows.append({"block": block, "range": r, "pairs": pairs, "levels": packed(levels[at]),
+                         "exact": None if pairs else packed(total[at])})
+        if not pairs:
+            rows.append({"range": r, "pairs": pairs, "tokens": int(total.sum()), "distinct": int((total > 0).sum())})
+        return pa.Table.from_pylist(rows, ANSWERS)
 
-def collected(segments: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """All segments by range, joined, and their sizes; at most the bits that they were built for."""
-    found = {r["range"]: bytes(r["data"]) for r in segments.select("range", "data").collect()}
-    parts = [found.get(r, bytes(8)) for r in range(1 << bits)]
-    return np.frombuffer(b"".join(parts), np.uint8), np.array([8 * len(p) for p in parts], np.uint64)
+    return sent.groupBy("range").applyInArrow(merged, _ANSWERS)
 
 
-def scores(docs: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame:
+def scores(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
-    spark = prepare(docs.sparkSession)
+    prepare(docs.sparkSession)
     blocks = stage(encoded(docs), "blocks")
     size = blocks.select(F.aggregate("n_tokens", F.lit(0).cast("long"), lambda n, x: n + x).alias("n")).agg(
         F.sum("n")).first()[0] or 0
-    # Ranges and blocks both grow, so that neither a range nor its number of parts gets large.
-    bits = max(6, round(math.log2(max(1.0, math.sqrt(size) / 180))))
-    most_bits = filter_bits // 2 >> bits
-    counted = stage(word_filter_and_counts(blocks, bits, 2 * most_bits // 3), "counts")
+    bits = max(6, math.ceil(math.log2(max(1, size) / RANGE)))
+    counted = stage(answers(sent_words(blocks, bits), False), "counts")
     total, distinct = counted.agg(
         F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
-    model = spark.sparkContext.broadcast((
-        collected(counted.where("block is null"), bits),
-        collected(pair_filter(blocks, bits, 4 * most_bits // 3), bits)))
     floor = total + distinct + 1
 
     def scored(left: pa.Table, right: pa.Table) -> pa.Table:
-        words, pairs = (CountFilter(*found) for found in model.value)
         block = left.slice(0, 1).to_pylist()[0]
         number = np.array(block["n_tokens"], np.int64)
         starts = np.cumsum(number) - number
         distinct, tokens = unpacked(block["words"], ordered=True), unpacked(block["tokens"]).astype(np.int64)
-        order = np.argsort(right.column("range").to_numpy())
-        data = right.column("data").to_pylist()
-        exact = np.concatenate([unpacked(data[i]) for i in order])
+
+        def joined(column: str, pairs: bool) -> np.ndarray:
+            some = right.filter(pc.equal(right.column("pairs"), pairs)).sort_by("range").column(column)
+            return np.concatenate([unpacked(d) for d in some.to_pylist()]).astype(np.int64)
+
+        exact = joined("exact", False)
         base = np.log10((exact + 1) / floor)
-        one = words.counts(distinct)
+        one = middle(joined("levels", False))
         alone = (one + 1) / floor
         # A pair is looked up once per block.
-        different, at = np.unique(pair_hashes(distinct[tokens], number), return_inverse=True)
-        both = pairs.counts(different)[at]
+        at = np.unique(pair_hashes(distinct[tokens], number), return_inverse=True)[1]
+        both = middle(joined("levels", True))[at]
         before = np.empty(len(tokens))
         before[1:] = one[tokens[:-1]]
-        before[starts] = words.counts(np.array([_END]))[0]  # as many starts as ends
+        before[starts] = one[np.searchsorted(distinct, _END)]  # as many starts as ends
         # No pair is more frequent than its words, so such a count is an error of the filter.
         both = np.minimum(both, np.minimum(before, one[tokens]))
         chance = (both / np.maximum(before, 1) + alone[tokens]) / 2
@@ -311,8 +314,9 @@ def scores(docs: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame:
             "base_score": np.add.reduceat(base[tokens], starts),
             "score": np.add.reduceat(np.log10(chance), starts)})
 
-    answers = counted.where("block is not null").select("block", "range", "data")
-    found = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+    told = counted.where("block is not null").unionByName(answers(sent_pairs(blocks, bits), True)).select(
+        "block", "range", "pairs", "levels", "exact")
+    found = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
         scored, "doc_id long, n_tokens long, n_known long, base_score double, score double")
     return found.select(
         "doc_id", (remainder(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"), "n_tokens", "n_known",

@@ -84,6 +84,19 @@ def test_a_full_filter_keeps_the_frequent():
     assert (found.levels(hashes[500:]) > 0).mean() < 0.05
 
 
+def test_no_level_is_left_out(spark, monkeypatch):
+    """All pairs in one of the ranges: 800,000 entries, more than the share of a range once held."""
+    rng, real = np.random.default_rng(5), lm_scoring.pair_hashes
+    monkeypatch.setattr(lm_scoring, "pair_hashes", lambda tokens, number: real(tokens, number) >> np.uint64(8))
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 2000, 20_000)) for _ in range(40)]
+    held = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
+    trains = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 7 != 2][:40]
+    rows = [*zip(trains, texts), *zip(held, texts)]
+    scored = check(lm_scoring.scores(spark.createDataFrame(rows, "doc_id long, text string")), rows)
+    assert len(scored) == 2
+    assert abs(sum(g - w for g, w, _ in scored)) / sum(n for *_, n in scored) < 0.1
+
+
 def test_odd_rows(spark):
     check(lm_scoring.scores(cases.frame(spark)), [r[:2] for r in cases.rows()])
     found = lm_scoring.scores(cases.empty(spark))

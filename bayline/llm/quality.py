@@ -16,7 +16,7 @@ labels other than 0 and 1 and null ids or labels teach nothing; a document with
 counts as 0 if any is 0; without labels, or with one class only, every score is 0.5 or that
 class's share (smoothed). Every row is scored on its own, so repeated rows score alike; extra
 columns are ignored; an empty table gives an empty result. Texts are read in slices cut at white
-space; only a single word of over a million characters is cut itself.
+space, of whole words however long.
 """
 
 from __future__ import annotations

@@ -5,27 +5,31 @@ Words are what lies between runs of the white space U+0020 and U+0009 to U+000D.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 
 SLICE = 1 << 18
+_BLANK = re.compile(r"[\x20\x09-\x0d]")
 
 
 def slices(text: str, limit: int = SLICE):
-    """Parts of a text of about `limit` characters, cut at white space.
+    """Parts of a text, each of `limit` characters and on to the next white space.
 
-    Only a word of more than `limit` characters is cut itself.
+    No word is cut, so a part is as long as its last word needs.
     """
     at = 0
     while len(text) - at > limit:
-        cut = min((i for i in (text.find(c, at + limit, at + 2 * limit) for c in " \n\t") if i >= 0),
-                  default=at + 2 * limit)
-        yield text[at:cut]
-        at = cut
+        blank = _BLANK.search(text, at + limit)
+        if blank is None:
+            break
+        yield text[at:blank.start()]
+        at = blank.start()
     yield text[at:]
 
 
 def grouped(texts: list[str | None], limit: int = SLICE):
-    """Lists of (text number, slice) of bounded total length."""
+    """Lists of (text number, slice) of bounded total length, but for words longer than that."""
     some, size = [], 0
     for i, text in enumerate(texts):
         for part in slices(text or ""):

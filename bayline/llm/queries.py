@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from bayline.llm import (
-    chats, fingerprints, lm_scoring, mixing, near_dups, neighbours, oracle, packing, quality, secrets, token_counts,
+    bpe, chats, fingerprints, lm_scoring, mixing, near_dups, neighbours, oracle, packing, quality, secrets, token_counts,
 )
 from bayline.llm.common import table
 
@@ -54,6 +54,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(docs, secrets.learn(docs))
 
 
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_decode(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1,
     "op2_token_counts": op2,
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8,
     "op9_near_duplicates": op9,
     "op10_secret_scans": op10,
+    "op13_bpe_encoding": op13,
 }
 
 ORACLE: dict[str, str] = {

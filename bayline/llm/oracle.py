@@ -94,3 +94,47 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(other, doc_i
        doc_id = least(doc_id, coalesce(other, doc_id)) AS kept
 FROM split LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)
 """
+
+# Every kept term in every group, counts of 0 among them.
+DIVERGENCE = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+), words AS (
+    SELECT id, lang, source, unnest(terms) AS term FROM docs
+), kept AS (
+    SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT id) >= 3
+), langs AS (
+    SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang
+), cells AS (
+    SELECT w.lang, w.source, w.term, count(*) AS n
+    FROM words w JOIN kept USING (lang, term) GROUP BY w.lang, w.source, w.term
+), totals AS (
+    SELECT lang, source, sum(n) AS total FROM cells GROUP BY lang, source
+), groups AS (
+    SELECT g.lang, g.source, coalesce(t.total, 0) AS total
+    FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN totals t USING (lang, source)
+), dense AS (
+    SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+           1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (g.total + l.v) AS p,
+           1 + (1000000000::HUGEINT * (k.n + 1)) // (l.total + l.v) AS q
+    FROM groups g JOIN langs l USING (lang) JOIN kept k USING (lang)
+    LEFT JOIN cells c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), sums AS (
+    SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+    FROM dense a JOIN dense b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+    GROUP BY a.lang, a.source, b.source
+), found AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, ((p - q) * (p - q)) // q FROM dense WHERE n > 0 AND p > q
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 200
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from bayline.llm import (
-    bpe, chats, fingerprints, lm_scoring, mixing, near_dups, neighbours, oracle, packing, quality, secrets, token_counts,
+    bpe, chats, divergence, fingerprints, lm_scoring, mixing, near_dups, neighbours, oracle, packing, quality, secrets, token_counts,
 )
 from bayline.llm.common import table
 
@@ -54,6 +54,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(docs, secrets.learn(docs))
 
 
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"))
 
@@ -69,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8,
     "op9_near_duplicates": op9,
     "op10_secret_scans": op10,
+    "op12_source_divergence": op12,
     "op13_bpe_encoding": op13,
 }
 
@@ -76,4 +81,5 @@ ORACLE: dict[str, str] = {
     "op4_source_mixing": oracle.MIX,
     "op7_chat_formatting": oracle.CHATS,
     "op9_near_duplicates": oracle.NEAR_DUPS,
+    "op12_source_divergence": oracle.DIVERGENCE,
 }

@@ -138,3 +138,44 @@ WITH docs AS (
 SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
 FROM ranked WHERE part = 'pair' OR rank <= 200
 """
+
+# Every phrase of one to four words is listed and counted on its own.
+COLLOCATIONS = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), listed AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), phrases AS (
+    SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS f
+    FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM listed), (SELECT unnest(range(1, 5)) AS m)
+    WHERE i + m - 1 <= len(w) GROUP BY ALL
+), totals AS (
+    SELECT lang, sum(f) AS n FROM phrases WHERE m = 1 GROUP BY lang
+), frequent AS (
+    SELECT lang, m, phrase, f, string_split(phrase, ' ') AS w FROM phrases WHERE f >= 30
+), cuts AS (
+    SELECT lang, phrase, w, f AS a, m, unnest(range(1, m)) AS k FROM frequent WHERE m > 1
+), weighed AS (
+    SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r, (2000000::HUGEINT * c.a) // (x.f + y.f) AS score
+    FROM cuts c
+    JOIN frequent x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.k], ' ')
+    JOIN frequent y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1:c.m], ' ')
+), weakest AS (
+    SELECT * FROM weighed QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), parts AS (
+    SELECT lang, f, w, i, unnest(range(2, len(w) - i + 2)) AS size
+    FROM (SELECT lang, f, w, unnest(range(1, len(w))) AS i FROM frequent WHERE m > 2)
+), longer AS (
+    SELECT lang, array_to_string(w[i:i + size - 1], ' ') AS phrase, max(f) AS f
+    FROM parts WHERE size < len(w) GROUP BY ALL
+), kept AS (
+    SELECT s.* FROM weakest s LEFT JOIN longer o ON o.lang = s.lang AND o.phrase = s.phrase
+    WHERE o.f IS NULL OR 100 * o.f < 80 * s.a
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""

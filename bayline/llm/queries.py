@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from bayline.llm import (
-    bpe, chats, divergence, fingerprints, lm_scoring, mixing, near_dups, neighbours, oracle, packing, quality, secrets, token_counts,
+    bpe, chats, collocations, divergence, fingerprints, lm_scoring, mixing, near_dups, neighbours, oracle, packing, quality,
+    secrets, token_counts,
 )
 from bayline.llm.common import table
 
@@ -54,6 +55,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(docs, secrets.learn(docs))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8,
     "op9_near_duplicates": op9,
     "op10_secret_scans": op10,
+    "op11_collocations": op11,
     "op12_source_divergence": op12,
     "op13_bpe_encoding": op13,
 }
@@ -81,5 +87,6 @@ ORACLE: dict[str, str] = {
     "op4_source_mixing": oracle.MIX,
     "op7_chat_formatting": oracle.CHATS,
     "op9_near_duplicates": oracle.NEAR_DUPS,
+    "op11_collocations": oracle.COLLOCATIONS,
     "op12_source_divergence": oracle.DIVERGENCE,
 }

@@ -86,31 +86,41 @@ def clean_orders(raw: DataFrame, gates: Sequence[Gate] = ORDER_GATES) -> DataFra
     return passing.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").drop("_nth")
 
 
-def gate_orders(raw: DataFrame, gates: Sequence[Gate] = ORDER_GATES) -> DataFrame:
-    """All rows with the comma-joined reasons they fail; an empty text means clean."""
+def gate_orders(
+    raw: DataFrame, gates: Sequence[Gate] = ORDER_GATES, seen: DataFrame | None = None
+) -> DataFrame:
+    """All rows with the comma-joined reasons they fail; an empty text means clean.
+
+    `seen` holds the order numbers that earlier loads have accepted (column ro_number, each once):
+    every row with such a number is a duplicate. Only this load's numbers are joined to it.
+    """
     tested = raw.withColumn("_ok", F.coalesce(_row_passes(gates), F.lit(False))).withColumn("_number", _number())
-    # One row per order number that occurs more than once, combined inside each map task before
-    # it is shuffled. Stored, because both steps of the lookup read it and Spark should choose
-    # between broadcast and shuffle from its real size.
-    repeated = stage(
-        tested.groupBy("_number")
-        .agg(
-            F.min(F.when(F.col("_ok"), F.col(ARRIVAL))).alias("_first_clean"),
-            F.count("*").alias("_rows"),
-        )
-        .where((F.col("_rows") > 1) & F.col("_first_clean").isNotNull()),
-        "repeated",
+    # One row per order number that can make a duplicate, combined inside each map task before it
+    # is shuffled. Stored, because both steps of the lookup read it and Spark should choose between
+    # broadcast and shuffle from its real size.
+    numbers = tested.groupBy("_number").agg(
+        F.min(F.when(F.col("_ok"), F.col(ARRIVAL))).alias("_first_clean"),
+        F.count("*").alias("_rows"),
     )
+    repeats = (F.col("_rows") > 1) & F.col("_first_clean").isNotNull()
+    if seen is None:
+        numbers = numbers.withColumn("_seen", F.lit(False))
+    else:
+        before = seen.select(_number().alias("_number"), F.lit(True).alias("_seen"))
+        numbers = numbers.join(before, "_number", "left").withColumn("_seen", F.coalesce("_seen", F.lit(False)))
+    repeated = stage(numbers.where(repeats | F.col("_seen")), "repeated")
     looked_up = spread_lookup(
-        tested, repeated, ["_number"], "_rows", ["_first_clean"], [F.col("_number"), F.col(ARRIVAL)]
+        tested, repeated, ["_number"], "_rows", ["_first_clean", "_seen"],
+        [F.col("_number"), F.col(ARRIVAL)],
     )
-    duplicate = F.coalesce(F.col("_first_clean") < F.col(ARRIVAL), F.lit(False))
+    duplicate = F.coalesce(F.col("_seen"), F.lit(False)) | F.coalesce(
+        F.col("_first_clean") < F.col(ARRIVAL), F.lit(False))
     # concat_ws skips the NULLs of the gates a row has passed.
     reason = F.concat_ws(",", *[
         F.when(duplicate if gate.fails is None else gate.fails(), F.lit(gate.name))
         for gate in gates
     ])
-    return looked_up.withColumn(REASON, reason).drop("_ok", "_number", "_first_clean")
+    return looked_up.withColumn(REASON, reason).drop("_ok", "_number", "_first_clean", "_seen")
 
 
 def protect_contacts(orders: DataFrame) -> DataFrame:

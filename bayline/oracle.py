@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from bayline.queries import (
     BUCKET_END, BUCKET_START, BUCKET_STEP, HISTORY_CHANGE, HISTORY_CUTOFF, HISTORY_MONTHS,
-    HISTORY_OPEN, SCAN_DEALER, SCAN_MONTH,
+    HISTORY_OPEN, LOAD_DATES, SCAN_DEALER, SCAN_MONTH,
 )
 from bayline.schemas import FEATURES, SERVICE_TYPES
 from bayline.sources.event_feed import FEED_TYPES
@@ -315,6 +315,53 @@ FROM fact f JOIN numbered n ON n.customer_key = f.customer_key
 JOIN dealer_no d ON d.dealer_key = f.dealer_key
 JOIN vehicle_no v ON v.vehicle_key = f.vehicle_key""", _NUMBERED)
 ORACLE["warehouse_from_files"] = ORACLE["fact_repair_orders"]
+# Loads by date; within a load the rows keep their order, and earlier loads come first.
+_LOADS = RAW.replace("tested AS (\n  SELECT *,", f"""tested AS (
+  SELECT *, CAST(CASE WHEN service_date < DATE '{LOAD_DATES[0]}' THEN 1 WHEN service_date < DATE '{LOAD_DATES[1]}' THEN 2
+    ELSE 3 END AS INTEGER) AS load,""").replace(
+    "min(CASE WHEN NOT (no_vin OR negative OR bad_type) THEN ordinal END)",
+    "min(CASE WHEN NOT (no_vin OR negative OR bad_type) THEN load * 1000000000000 + ordinal END)").replace(
+    "OVER (PARTITION BY ro_number) < ordinal", "OVER (PARTITION BY ro_number) < load * 1000000000000 + ordinal") + """
+survey AS (
+  SELECT ro_number, arg_max(survey_score, ordinal) AS satisfaction_score FROM lines
+  WHERE l_orderkey % 3 = 0 GROUP BY ro_number),
+cust AS (
+  SELECT c_custkey AS customer_key, sha256(lower(trim(concat(c_name, '@example.test')))) AS email_hash FROM customer),
+delivered AS (
+  SELECT 'dealer' AS dimension, CAST(s_suppkey AS VARCHAR) AS natural_key, s_suppkey AS first_row,
+    CAST(1 + s_suppkey % 3 AS INTEGER) AS load FROM supplier
+  UNION ALL SELECT 'vehicle', CAST(p_partkey AS VARCHAR), p_partkey, CAST(1 + p_partkey % 3 AS INTEGER) FROM part
+  UNION ALL SELECT 'customer', email_hash, min(ordinal - 1000000000000 * (3 - load)), min(load)
+  FROM clean JOIN cust USING (customer_key) GROUP BY email_hash),
+keys AS (
+  SELECT dimension, natural_key, load,
+    row_number() OVER (PARTITION BY dimension ORDER BY load, first_row) AS surrogate_key FROM delivered),
+found AS (
+  SELECT c.*, s.satisfaction_score, n.surrogate_key AS customer_no,
+    CASE WHEN d.load <= c.load THEN d.surrogate_key END AS dealer_no,
+    CASE WHEN v.load <= c.load THEN v.surrogate_key END AS vehicle_no
+  FROM clean c JOIN cust USING (customer_key)
+  JOIN keys n ON n.dimension = 'customer' AND n.natural_key = email_hash
+  LEFT JOIN keys d ON d.dimension = 'dealer' AND d.natural_key = c.dealer_id
+  LEFT JOIN keys v ON v.dimension = 'vehicle' AND v.natural_key = CAST(c.vehicle_key AS VARCHAR)
+  LEFT JOIN survey s USING (ro_number)),
+"""
+ORACLE["keys_over_loads"] = over(_LOADS, "SELECT dimension, natural_key, surrogate_key, load FROM keys")
+ORACLE["fact_over_loads"] = over(_LOADS, f"""
+SELECT row_number() OVER (ORDER BY load, ordinal) AS ro_key, load, ro_number, dealer_no AS dealer_key,
+  vehicle_no AS vehicle_key, customer_no AS customer_key,
+  CAST(strftime(service_date, '%Y%m%d') AS INTEGER) AS open_date_key, {day('service_date')} AS service_date,
+  {day("date_trunc('month', service_date)")} AS service_month, service_type, pay_type, days_to_close,
+  CAST(labor_amount AS DOUBLE) AS labor_amount, CAST(parts_amount AS DOUBLE) AS parts_amount,
+  CAST(labor_amount + parts_amount AS DOUBLE) AS total_amount, repeat_repair_flag, satisfaction_score,
+  CAST(satisfaction_score >= 4 AS INTEGER) AS would_recommend
+FROM found WHERE dealer_no IS NOT NULL AND vehicle_no IS NOT NULL""")
+ORACLE["rejects_over_loads"] = over(_LOADS, """
+SELECT ro_number, reason, load FROM reasoned WHERE reason <> ''
+UNION ALL
+SELECT ro_number, concat_ws(',', CASE WHEN dealer_no IS NULL THEN 'orphan_dealer' END,
+  CASE WHEN vehicle_no IS NULL THEN 'orphan_vehicle' END), load
+FROM found WHERE dealer_no IS NULL OR vehicle_no IS NULL""")
 raw("survey_flatten", """
 SELECT concat('SV-', ro_number, '-', l_partkey) AS survey_id, ro_number,
   CASE WHEN l_linestatus = 'O' THEN 'email' ELSE 'sms' END AS channel,

@@ -16,7 +16,7 @@ from bayline.functions import money
 from bayline.operators import audit, checks, gates, history, joins, layout, nested, reconcile
 from bayline.operators.ranking import top_n_per_group
 from bayline.plans import (
-    churn, governance, kpis, marts, metrics, outreach, retention, warehouse,
+    churn, governance, incremental, kpis, marts, metrics, outreach, retention, warehouse,
 )
 from bayline.plans.star import Star, star
 from bayline.session import scratch_path, stage
@@ -34,6 +34,7 @@ SCAN_MONTH = "1998-03-01"
 SCAN_DEALER = 7
 BUCKET_START, BUCKET_END, BUCKET_STEP = 19950101, 20020101, 100
 HISTORY_OPEN, HISTORY_CHANGE = "1995-01-01", "1998-07-01"
+LOAD_DATES = "1994-06-01", "1997-01-01"
 CHURN = churn.Settings()
 
 
@@ -242,6 +243,40 @@ def warehouse_from_files(s: Star) -> DataFrame:
     return warehouse.build_warehouse(_landed(s)).fact_repair_orders
 
 
+def _load(s: Star, column: F.Column) -> F.Column:
+    """The load that brings a row, by its date."""
+    return F.when(column < LOAD_DATES[0], 1).when(column < LOAD_DATES[1], 2).otherwise(3)
+
+
+def _loaded(s: Star) -> incremental.IncrementalWarehouse:
+    """Three loads of orders by their dates, each with the dealers and vehicles known by then."""
+    given = s.sources()
+    orders = given.orders.withColumn("_load", _load(s, F.col("open_date")))
+    stored = incremental.IncrementalWarehouse(scratch_path(s.spark, "loads"))
+    stored.create(s.spark)
+    for load in (1, 2, 3):
+        known = [df.where(F.col("arrival") % 3 < load) for df in (given.dealers, given.vehicles)]
+        stored.load(warehouse.Sources(
+            orders=orders.where(F.col("_load") == load).drop("_load"), dealers=known[0], vehicles=known[1],
+            surveys=given.surveys), load)
+    return stored
+
+
+@query
+def keys_over_loads(s: Star) -> DataFrame:
+    return _loaded(s).keys(s.spark)
+
+
+@query
+def fact_over_loads(s: Star) -> DataFrame:
+    return _loaded(s).fact(s.spark)
+
+
+@query
+def rejects_over_loads(s: Star) -> DataFrame:
+    return _loaded(s).rejects.read(s.spark).select("ro_number", "reason", "load")
+
+
 @query
 def survey_flatten(s: Star) -> DataFrame:
     return warehouse.flatten_surveys(src.surveys(s.spark, s.sf_dir)).drop("arrival")

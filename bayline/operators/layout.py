@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from bayline.operators.commits import Commits
+
 
 def write_partitioned(
     df: DataFrame, path: str, partition: str, cluster: Sequence[str], spread_on: str | None = None,
@@ -55,28 +56,17 @@ def expire_partitions(df: DataFrame, partition: str, as_of, keep_days: int = 255
     return df.where(F.col(partition) >= F.date_sub(F.lit(as_of).cast("date"), keep_days))
 
 
-def publish(tables: Mapping[str, DataFrame], root: str) -> str:
-    """Full refresh: write a new version beside the old one, then announce it.
+def publish(tables: Mapping[str, DataFrame], root: str) -> int:
+    """Full refresh: write a new version beside the old one and commit it under the next number.
 
-    Readers follow the announcement log, whose append is a single commit, so they see either the
-    complete old version or the complete new one. A failed run leaves only an unannounced folder.
+    Readers see either the complete old version or the complete new one.
     """
-    version = uuid.uuid4().hex
-    for name, df in tables.items():
-        df.write.parquet(f"{root}/versions/{version}/{name}")
-    spark = next(iter(tables.values())).sparkSession
-    spark.range(1).select(
-        F.lit(version).alias("version"), F.current_timestamp().alias("published_at")
-    ).write.mode("append").parquet(f"{root}/announced")
-    return version
+    return Commits(root).commit(tables)
 
 
 def open_published(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A table of the latest announced version."""
-    latest = spark.read.parquet(f"{root}/announced").agg(
-        F.max_by("version", "published_at").alias("version")
-    ).first()["version"]
-    return spark.read.parquet(f"{root}/versions/{latest}/{name}")
+    """A table of the newest commit."""
+    return Commits(root).open(spark, name)
 
 
 def write_report(df: DataFrame, path: str) -> None:

@@ -14,6 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from bayline.operators.files import Folder
 from bayline.operators.ranking import with_surrogate_key
 
 LOAD = "load"
@@ -37,9 +38,7 @@ class LoadLog:
 
     def last_load(self, spark: SparkSession) -> int:
         # A load without rows is a folder too, which a query over rows would not see.
-        root = spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-        names = [f.getPath().getName() for f in files.listStatus(root)]
+        names = Folder(spark, self.path).names()
         return max(int(n.partition("=")[2]) for n in names if n.startswith(f"{LOAD}="))
 
     def put(self, rows: DataFrame, load: int) -> None:

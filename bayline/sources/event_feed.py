@@ -43,9 +43,3 @@ def redelivered(feed: DataFrame) -> DataFrame:
     """An at-least-once feed: about every third message comes twice."""
     copies = F.when(F.pmod(F.xxhash64("value"), F.lit(3)) == 0, 2).otherwise(1)
     return feed.withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).drop("copy")
-
-
-def span_days(spark: SparkSession, sf_dir: str) -> int:
-    """Days from the first to the last event, rounded up."""
-    first, last = table(spark, sf_dir, "events").agg(F.min("ts"), F.max("ts")).first()
-    return (last - first).days + 1 if first else 1

@@ -4,43 +4,35 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
-from pyspark.sql.utils import AnalysisException
 
 from bayline import schemas
-from bayline.operators import layout
+from bayline.operators.commits import DAY, Commits
+from bayline.operators.files import Folder
 from bayline.streaming.events import dead_letters, parse_events, valid_events
 
-_BATCH = "batch_id"
+BATCH = "batch_id"
 _MART_KEYS = ["month", "dealer_key"]
-_MART_STORED = T.StructType([*schemas.MONTHLY_MART.fields, T.StructField(_BATCH, T.LongType())])
+_MART_STORED = T.StructType([*schemas.MONTHLY_MART.fields, T.StructField(BATCH, T.LongType())])
 
 
 def _compactions(path: str) -> str:
     return f"{path.rstrip('/')}-compacted"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
-    return True
-
-
 def create_target(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """Create an empty target; streams refuse to write where no target exists."""
-    spark.createDataFrame([], schema).write.parquet(f"{path}/{_BATCH}=-1")
+    spark.createDataFrame([], schema).write.parquet(f"{path}/{BATCH}=-1")
 
 
-def read_target(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(_BATCH)
+def read_target(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """All rows of a target; its own files tell the columns where no schema is given."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path).drop(BATCH)
 
 
 def require_target(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """Fail before the stream starts when the target is missing or has other columns."""
-    if not _exists(spark, path):
+    if not Folder(spark, path).exists():
         raise ValueError(f"target {path} does not exist")
     found = read_target(spark, path).schema
     shape = lambda s: [(f.name, f.dataType) for f in s.fields]
@@ -48,9 +40,9 @@ def require_target(spark: SparkSession, path: str, schema: T.StructType) -> None
         raise ValueError(f"target {path} has columns {found.simpleString()}")
 
 
-def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
+def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     # Each batch owns its folder, so a replayed batch replaces itself instead of appending.
-    df.write.mode("overwrite").parquet(f"{path}/{_BATCH}={batch_id}")
+    df.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
 
 def route_events(
@@ -69,12 +61,12 @@ def route_events(
     def write(batch: DataFrame, batch_id: int) -> None:
         parsed = parse_events(batch, service_types)
         if not dead_letter:
-            _write_batch(valid_events(parsed), output, batch_id)
+            write_batch(valid_events(parsed), output, batch_id)
             return
         parsed = parsed.persist()
         try:
-            _write_batch(valid_events(parsed), output, batch_id)
-            _write_batch(dead_letters(parsed), dead_letter, batch_id)
+            write_batch(valid_events(parsed), output, batch_id)
+            write_batch(dead_letters(parsed), dead_letter, batch_id)
         finally:
             parsed.unpersist()
 
@@ -115,7 +107,7 @@ def monthly_mart(events: DataFrame, path: str, checkpoint: str) -> DataStreamWri
     )
     return (
         totals.writeStream.outputMode("update")
-        .foreachBatch(lambda batch, batch_id: _write_batch(batch, path, batch_id))
+        .foreachBatch(lambda batch, batch_id: write_batch(batch, path, batch_id))
         .option("checkpointLocation", checkpoint)
     )
 
@@ -124,27 +116,49 @@ def _newest(stored: DataFrame) -> DataFrame:
     """Per month and dealer, the row of the latest batch, with its batch."""
     values = [f.name for f in schemas.MONTHLY_MART.fields if f.name not in _MART_KEYS]
     return stored.groupBy(*_MART_KEYS).agg(
-        F.max_by(F.struct(*values), F.col(_BATCH)).alias("_last"), F.max(_BATCH).alias(_BATCH)
-    ).select(*_MART_KEYS, "_last.*", _BATCH)
+        F.max_by(F.struct(*values), F.col(BATCH)).alias("_last"), F.max(BATCH).alias(BATCH)
+    ).select(*_MART_KEYS, "_last.*", BATCH)
 
 
 def _stored_mart(spark: SparkSession, path: str) -> DataFrame:
     """The last compaction, if any, and the batches after it."""
     batches = spark.read.schema(_MART_STORED).parquet(path)
-    if not _exists(spark, f"{_compactions(path)}/announced"):
+    commits = Commits(_compactions(path))
+    if commits.latest(spark) is None:
         return batches
-    compacted = layout.open_published(spark, _compactions(path), "mart")
-    done = compacted.agg(F.coalesce(F.max(_BATCH), F.lit(-1))).scalar()
-    return compacted.unionByName(batches.where(F.col(_BATCH) > done))
+    compacted = commits.open(spark, "mart")
+    done = compacted.agg(F.coalesce(F.max(BATCH), F.lit(-1))).scalar()
+    return compacted.unionByName(batches.where(F.col(BATCH) > done))
 
 
 def read_monthly_mart(spark: SparkSession, path: str) -> DataFrame:
-    return _newest(_stored_mart(spark, path)).drop(_BATCH)
+    return _newest(_stored_mart(spark, path)).drop(BATCH)
 
 
 def compact_monthly_mart(spark: SparkSession, path: str) -> None:
-    """Publish the current totals as one table, so that readers skip the batches in it.
+    """Commit the current totals as one table, so that readers skip the batches in it."""
+    Commits(_compactions(path)).commit({"mart": _newest(_stored_mart(spark, path))})
+
+
+def sweep_monthly_mart(spark: SparkSession, path: str, older_than: float = 7 * DAY) -> list[str]:
+    """Remove compactions that were replaced, and batches that are in one, a given age ago."""
+    commits = Commits(_compactions(path))
+    swept = commits.sweep(spark, older_than)
+    if commits.latest(spark) is None:
+        return swept
+    done = commits.open(spark, "mart").agg(F.max(BATCH)).scalar()
+    return swept + remove_batches(spark, path, -1 if done is None else done, older_than)
+
+
+def remove_batches(spark: SparkSession, path: str, done: int, older_than: float) -> list[str]:
+    """Remove the folders of micro-batches up to `done` that a compaction holds.
 
-    Old batch folders may be removed after that, but not the newest.
+    The newest batch stays: Spark may run it again. So does the empty one that carries the columns.
     """
-    layout.publish({"mart": _newest(_stored_mart(spark, path))}, _compactions(path))
+    folder = Folder(spark, path)
+    numbers = sorted(int(n.partition("=")[2]) for n in folder.names() if n.startswith(f"{BATCH}="))
+    names = [f"{BATCH}={n}" for n in numbers[:-1] if 0 <= n <= done]
+    old = [n for n in names if folder.age(n) >= older_than]
+    for name in old:
+        folder.remove(name)
+    return old

@@ -1,0 +1,115 @@
+"""Exact stream deduplication without streaming state."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from bayline.session import scratch_path
+from bayline.streaming import dedup, sinks
+
+SCHEMA = "ro_number string, n int"
+
+
+class Feed:
+    def __init__(self, spark, folder):
+        self.spark, self.folder = spark, str(folder)
+        self.out, self.state = scratch_path(spark, "out"), scratch_path(spark, "state")
+        self.log = dedup.KeyLog(scratch_path(spark, "log"))
+        sinks.create_target(spark, self.out, spark.createDataFrame([], SCHEMA).schema)
+        self.log.create(spark)
+
+    def put(self, *numbers, n=0):
+        rows = [(k, n) for k in numbers]
+        self.spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(self.folder)
+
+    def run(self, state=None):
+        stream = self.spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(self.folder)
+        sinks.run_available(dedup.unique_sink(stream, self.out, self.log, state or self.state))
+
+    def got(self):
+        return sorted((r.ro_number or "", r.n) for r in sinks.read_target(self.spark, self.out).collect())
+
+
+@pytest.fixture
+def feed(spark, tmp_path):
+    return Feed(spark, tmp_path / "feed")
+
+
+def test_a_repeat_is_dropped_after_any_delay(feed):
+    feed.put("a", "b", "a", None)
+    feed.run()
+    for n in range(1, 6):
+        feed.put(f"x{n}", n=n)
+        feed.run()
+    feed.put("a", "b", "c", None, "x1", n=9)
+    feed.run()
+    assert feed.got() == sorted([("a", 0), ("b", 0), ("", 0), ("c", 9), *((f"x{n}", n) for n in range(1, 6))])
+
+
+def test_the_first_by_order_passes_and_nulls_are_one_number(feed):
+    feed.put("a", None, n=5)
+    feed.put("a", None, n=3)
+    feed.spark.read.schema(SCHEMA).parquet(feed.folder).coalesce(1).write.parquet(feed.folder + "-one")
+    feed.folder += "-one"
+    feed.run()
+    assert feed.got() == [("", 3), ("a", 3)]
+
+
+def test_a_replay_from_the_start_changes_nothing(feed):
+    for n in range(3):
+        feed.put("a", f"b{n}", n=n)
+    feed.run()
+    before = feed.got()
+    feed.run(scratch_path(feed.spark, "state"))
+    assert feed.got() == before and len(before) == 4
+
+
+def test_what_a_crash_left_behind_does_not_count(feed):
+    """Keys of a batch that never finished are its own, so running it again lets them pass."""
+    feed.log.add(feed.spark.createDataFrame([("a",), ("z",)], "number string"), 0)
+    feed.put("a", "b")
+    feed.run()
+    assert feed.got() == [("a", 0), ("b", 0)]
+    assert sorted(r.number for r in feed.log.keys(feed.spark, 1).collect()) == ["a", "b"]
+
+
+def test_nothing_stays_in_streaming_state(feed):
+    for n in range(4):
+        feed.put(*(f"k{n}-{i}" for i in range(200)), n=n)
+    stream = feed.spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(feed.folder)
+    query = dedup.unique_sink(stream, feed.out, feed.log, feed.state).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert all(not p["stateOperators"] for p in query.recentProgress) and len(feed.got()) == 800
+
+
+def test_only_buckets_of_taken_slots_are_read(feed):
+    feed.log.add(feed.spark.range(5000).select(F.concat(F.lit("k"), "id").alias("number")), 0)
+    new = feed.spark.range(5000).select(F.concat(F.lit("n"), "id").alias("number"))
+    assert feed.log.doubtful(new, 1).count() <= 5
+    known = feed.log.doubtful(feed.spark.createDataFrame([("k7",), ("k8",), ("n1",)], "number string"), 1)
+    assert sorted(r.number for r in known.collect()) == ["k7", "k8"]
+    assert feed.log.passed(feed.spark.createDataFrame([("k7",), ("x",)], "number string"), 1).count() == 1
+
+
+def test_the_summary_never_misses_a_number(feed, monkeypatch):
+    """However crowded the slots, what passed is doubtful; what didn't never counts as passed."""
+    monkeypatch.setattr(dedup, "SLOTS", 1024)
+    monkeypatch.setattr(dedup, "BUCKETS", 4)
+    numbers = feed.spark.range(2000).select(F.concat(F.lit("k"), "id").alias("number"))
+    feed.log.add(numbers, 0)
+    asked = feed.spark.range(4000).select(F.concat(F.lit("k"), "id").alias("number"))
+    assert feed.log.doubtful(asked, 1).count() > 3000
+    assert feed.log.passed(asked, 1).exceptAll(numbers).isEmpty() and feed.log.passed(asked, 1).count() == 2000
+
+
+def test_compaction_and_sweeping_change_nothing(feed):
+    for n in range(4):
+        feed.put("a", f"b{n}", n=n)
+        feed.run()
+    feed.log.compact(feed.spark, 2)
+    swept = feed.log.sweep(feed.spark, older_than=0)
+    assert sorted(n for n in swept if "=" in n) == sorted(2 * [f"batch_id={n}" for n in range(3)])
+    feed.put("a", "b0", "b2", "b3", "new", n=9)
+    feed.run()
+    assert feed.got() == [("a", 0), *((f"b{n}", n) for n in range(4)), ("new", 9)]
+    feed.log.compact(feed.spark, 3)
+    assert feed.log.keys(feed.spark, 5).count() == feed.log.keys(feed.spark, 5).distinct().count() == 6

@@ -1,8 +1,8 @@
 """How far the vocabulary of each source lies from that of other sources of its language.
 
 Each partition folds its documents into stripes: a hash table from a term to the number of
-documents that hold it and its count in each source. A table that grows beyond `CELLS` counts is
-spilled as rows and begun anew. Spark deals the rows by (lang, term) and sorts them, and one pass
+documents that hold it and its count in each source, kept in arrays. A table that grows beyond
+`CELLS` counts is spilled as rows and begun anew. Spark deals the rows by (lang, term) and sorts them, and one pass
 over each sorted partition merges the stripes of a term, one stripe in memory at a time. Merged
 stripes of terms in at least `LEAST` documents give the totals, then go, in shards of about `SHARD`
 terms, to tasks that turn them into smoothed shares and emit the divergences: sums over all terms
@@ -23,22 +23,28 @@ bytes; a long text is read in slices; extra columns are ignored; an empty table
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from bayline.llm.common import prepare, stage
+from bayline.operators.ranking import top_n_per_group
 
 LEAST = 3
 TOP_TERMS = 200
 SCALE = 1_000_000_000
-CELLS = 400_000
-SHARD = 1024
+CELLS = 800_000
+SHARD = 4096
 BLOCK = 128
 _SLICE = 1 << 20
+# Above these bits of a key lies the number of a group, a language or a document.
+_TERM_BITS = 40
+_NONE = np.zeros(0, np.int64)
+# Rows without texts are short; batches stay bounded by their bytes.
+_ARROW_ROWS = 8192
 # ASCII letters, and the bytes of any other character.
 _TERMS = re.compile(rb"[a-z\x80-\xff]+")
 _BREAK = re.compile(rb"[^A-Za-z\x80-\xff]")
@@ -47,95 +53,161 @@ STRIPES = "lang string, term string, df long, sources array<string>, counts arra
 EMITTED = "lang string, source string, part string, item string, value long, seen long"
 
 
-def terms(text: bytes) -> Counter:
-    """Occurrences of each term of a text."""
-    if len(text) <= _SLICE:
-        return Counter(_TERMS.findall(text.lower()))
-    found: Counter = Counter()
+def terms(text: bytes) -> Iterator[list[bytes]]:
+    """The terms of a text, slice after slice; no term is cut."""
     at = 0
     while at < len(text):
-        cut = _BREAK.search(text, at + _SLICE)
+        cut = _BREAK.search(text, at + _SLICE) if len(text) - at > _SLICE else None
         stop = cut.start() if cut else len(text)
-        found.update(_TERMS.findall(text[at:stop].lower()))
+        yield _TERMS.findall((text if stop - at == len(text) else text[at:stop]).lower())
         at = stop
-    return found
+
+
+class Numbers(dict):
+    """Numbers what it is asked for in the order in which it comes."""
+
+    def __missing__(self, key) -> int:
+        self[key] = number = len(self)
+        return number
+
+
+def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the sum of the counts of each."""
+    distinct, place = np.unique(np.concatenate([_NONE, *keys]), return_inverse=True)
+    # Sums stay exact: a task counts far less than 2**53 terms.
+    return distinct, np.bincount(place, np.concatenate([_NONE, *counts]), len(distinct)).astype(np.int64)
+
+
+class Stripes:
+    """A hash table from terms to stripes, whose counts lie in arrays by (group, term).
+
+    `term` numbers the terms, `group` the (lang, source) pairs and `lang` the languages.
+    """
+
+    def __init__(self):
+        self.term, self.group, self.lang = Numbers(), Numbers(), Numbers()
+        self.cells: tuple[np.ndarray, np.ndarray] = (_NONE, _NONE)
+        self.df: tuple[np.ndarray, np.ndarray] = (_NONE, _NONE)
+
+    def __len__(self) -> int:
+        return len(self.cells[0])
+
+    def fold(self, langs: list[str], sources: list[str], texts: list[bytes]) -> None:
+        """Add whole documents: each one's terms are counted, then added to their stripes."""
+        groups, of_lang, codes, sizes = [], [], [], []
+        for lang, source, text in zip(langs, sources, texts):
+            groups.append(self.group[lang, source])
+            of_lang.append(self.lang[lang])
+            size = 0
+            for some in terms(text):
+                codes.append(np.fromiter(map(self.term.__getitem__, some), np.int64, len(some)))
+                size += len(some)
+            sizes.append(size)
+        owner = np.repeat(np.arange(len(texts), dtype=np.int64), sizes)
+        held, n = np.unique(owner << _TERM_BITS | np.concatenate([_NONE, *codes]), return_counts=True)
+        owner, term = held >> _TERM_BITS, held & ((1 << _TERM_BITS) - 1)
+        cells = np.array(groups, np.int64)[owner] << _TERM_BITS | term
+        documents = np.array(of_lang, np.int64)[owner] << _TERM_BITS | term
+        self.cells = summed([self.cells[0], cells], [self.cells[1], n])
+        self.df = summed([self.df[0], documents], [self.df[1], np.ones_like(n)])
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        """All stripes as rows."""
+        keys, counts = self.cells
+        mask = (1 << _TERM_BITS) - 1
+        pairs = list(self.group)
+        lang = np.array([self.lang[lang] for lang, _ in pairs], np.int64)[keys >> _TERM_BITS]
+        stripe = lang << _TERM_BITS | keys & mask
+        order = np.argsort(stripe, kind="stable")
+        # The documents' table has the same (lang, term) keys, in order.
+        starts = np.append(np.searchsorted(stripe[order], self.df[0]), len(keys))
+        sources = pa.array([s for _, s in pairs], pa.string()).take(pa.array(keys[order] >> _TERM_BITS))
+        counts = pa.array(counts[order])
+        names = pa.array(list(self.term), pa.binary()).cast(pa.string())
+        langs = pa.array(list(self.lang), pa.string())
+        for i in range(0, len(self.df[0]), 8192):
+            some = self.df[0][i:i + 8192]
+            at = starts[i:i + 8193]
+            offsets = pa.array((at - at[0]).astype(np.int32))
+            span = int(at[0]), int(at[-1] - at[0])
+            yield pa.RecordBatch.from_arrays([
+                langs.take(pa.array(some >> _TERM_BITS)), names.take(pa.array(some & mask)),
+                pa.array(self.df[1][i:i + 8192]),
+                pa.ListArray.from_arrays(offsets, sources.slice(*span)),
+                pa.ListArray.from_arrays(offsets, counts.slice(*span)),
+            ], ["lang", "term", "df", "sources", "counts"])
 
 
 def folded(docs: DataFrame, cells: int = CELLS) -> DataFrame:
     """Stripes of each partition, spilled whenever they hold `cells` counts."""
-    schema = pa.schema([("lang", pa.string()), ("term", pa.string()), ("df", pa.int64()),
-                        ("sources", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
-
     def fold(batches: Iterator[pa.RecordBatch]):
-        stripes: dict[str, dict[bytes, list]] = {}
-        held = 0
-
-        def spilled():
-            for lang, by_term in stripes.items():
-                items = list(by_term.items())
-                for i in range(0, len(items), 4096):
-                    some = items[i:i + 4096]
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([lang] * len(some), pa.string()),
-                        pa.array([t for t, _ in some], pa.binary()).cast(pa.string()),
-                        pa.array([s[0] for _, s in some], pa.int64()),
-                        pa.array([list(s[1]) for _, s in some], pa.list_(pa.string())),
-                        pa.array([list(s[1].values()) for _, s in some], pa.list_(pa.int64())),
-                    ], schema=schema)
-
+        stripes = Stripes()
         for batch in batches:
-            for lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "text"))):
-                mine = stripes.setdefault(lang, {})
-                for term, n in terms(text).items():
-                    stripe = mine.get(term)
-                    if stripe is None:
-                        mine[term] = [1, {source: n}]
-                        held += 1
-                        continue
-                    stripe[0] += 1
-                    counts = stripe[1]
-                    if source in counts:
-                        counts[source] += n
-                    else:
-                        counts[source] = n
-                        held += 1
-                if held >= cells:
-                    yield from spilled()
-                    stripes, held = {}, 0
-        yield from spilled()
+            stripes.fold(*(batch.column(c).to_pylist() for c in ("lang", "source", "text")))
+            if len(stripes) >= cells:
+                yield from stripes.rows()
+                stripes = Stripes()
+        yield from stripes.rows()
 
     return docs.select("lang", "source", F.col("text").cast("binary").alias("text")).mapInArrow(fold, STRIPES)
 
 
+def same_key(batch: pa.RecordBatch) -> np.ndarray:
+    """For each row the number of its stripe; rows of one (lang, term) lie together."""
+    new = np.zeros(batch.num_rows, bool)
+    for name in ("lang", "term"):
+        column = batch.column(name)
+        new[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+    return np.cumsum(new)
+
+
+def merged_stripes(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """One row for each (lang, term) of sorted rows."""
+    stripe = same_key(batch)
+    firsts = np.flatnonzero(np.diff(stripe, prepend=-1))
+    if len(firsts) == batch.num_rows:
+        return batch
+    lists = batch.column("sources")
+    sources = lists.flatten().dictionary_encode()
+    n = len(sources.dictionary) or 1
+    owner = np.repeat(stripe, lists.value_lengths().to_numpy())
+    keys, counts = summed([owner * n + sources.indices.to_numpy().astype(np.int64)],
+                          [batch.column("counts").flatten().to_numpy()])
+    offsets = pa.array(np.searchsorted(keys, np.arange(len(firsts) + 1) * n).astype(np.int32))
+    at = pa.array(firsts)
+    return pa.RecordBatch.from_arrays([
+        batch.column("lang").take(at), batch.column("term").take(at),
+        pa.array(np.add.reduceat(batch.column("df").to_numpy(), firsts)),
+        pa.ListArray.from_arrays(offsets, sources.dictionary.take(pa.array(keys % n))),
+        pa.ListArray.from_arrays(offsets, pa.array(counts)),
+    ], batch.schema.names)
+
+
 def merged(stripes: DataFrame, least: int = LEAST) -> DataFrame:
     """One stripe per (lang, term) found in at least `least` documents, with `n`, its whole count."""
-    names = ["lang", "term", "n", "sources", "counts"]
+    def kept(batch: pa.RecordBatch) -> pa.RecordBatch:
+        batch = batch.filter(pc.greater_equal(batch.column("df"), least))
+        counts = batch.column("counts")
+        sums = np.add.reduceat(np.append(counts.flatten().to_numpy(), 0), counts.offsets.to_numpy()[:-1] - counts.offsets[0].as_py())
+        return pa.RecordBatch.from_arrays(
+            [batch.column("lang"), batch.column("term"), pa.array(sums[:batch.num_rows], pa.int64()),
+             batch.column("sources"), counts], ["lang", "term", "n", "sources", "counts"])
 
     def merge(batches: Iterator[pa.RecordBatch]):
-        key, df, stripe, out = None, 0, {}, []
-
-        def batch_of(rows):
-            return pa.RecordBatch.from_arrays([
-                pa.array(c, t) for c, t in zip(zip(*rows), (
-                    pa.string(), pa.string(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64())))], names)
-
+        last = None
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("lang", "term", "df", "sources", "counts"))
-            for lang, term, some, sources, counts in zip(*columns):
-                if key != (lang, term):
-                    if df >= least:
-                        out.append((*key, sum(stripe.values()), list(stripe), list(stripe.values())))
-                    key, df, stripe = (lang, term), 0, {}
-                df += some
-                for source, n in zip(sources, counts):
-                    stripe[source] = stripe.get(source, 0) + n
-            if len(out) >= 1024:
-                yield batch_of(out)
-                out = []
-        if df >= least:
-            out.append((*key, sum(stripe.values()), list(stripe), list(stripe.values())))
-        if out:
-            yield batch_of(out)
+            # Columns come from Spark in their own order; the last stripe may go on in the next batch.
+            batch = batch.select(["lang", "term", "df", "sources", "counts"])
+            if last is not None:
+                batch = pa.Table.from_batches([last, batch.cast(last.schema)]).combine_chunks().to_batches()[0]
+            if not batch.num_rows:
+                continue
+            batch = merged_stripes(batch)
+            last = batch.slice(batch.num_rows - 1)
+            if batch.num_rows > 1:
+                yield kept(batch.slice(0, batch.num_rows - 1))
+        if last is not None:
+            yield kept(last)
 
     return stripes.repartition("lang", "term").sortWithinPartitions("lang", "term").mapInArrow(
         merge, "lang string, term string, n long, sources array<string>, counts array<long>")
@@ -231,11 +303,12 @@ def emitted(kept: DataFrame, grouped: DataFrame, top: int = TOP_TERMS, shard: in
 def audit(docs: DataFrame, least: int = LEAST, top: int = TOP_TERMS, cells: int = CELLS,
           shard: int = SHARD, block: int = BLOCK) -> DataFrame:
     """(lang, source, part, item, value, rank): pairs of sources, and each source's foremost terms."""
-    prepare(docs.sparkSession)
+    prepare(docs.sparkSession).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(_ARROW_ROWS))
     docs = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
     kept = stage(merged(folded(docs, cells), least), "stripes")
     grouped = stage(groups(docs, kept, block), "groups")
     found = stage(emitted(kept, grouped, top, shard), "divergences")
+    prepare(docs.sparkSession)
 
     sums = found.where("part = 'pair'").groupBy("lang", "source", "item").agg(
         F.sum("value").alias("value"), F.sum("seen").alias("seen"))
@@ -247,7 +320,8 @@ def audit(docs: DataFrame, least: int = LEAST, top: int = TOP_TERMS, cells: int
              .withColumn("q", F.expr(f"if(v > 0, 1 + {SCALE} div (other_total + v), 1)"))
              .select("lang", "source", F.lit("pair").alias("part"), "item",
                      F.expr(f"coalesce(value, 0) + {unseen}").alias("value")))
-    all_parts = pairs.unionByName(found.where("part = 'term'").drop("seen"))
+    terms = found.where("part = 'term'").select(
+        "lang", "source", "part", "item", "value", F.struct("lang", "source").alias("group"))
+    foremost = top_n_per_group(terms, "group", [F.desc("value"), F.col("item")], "item", top).drop("group")
     by_value = Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), "item")
-    return all_parts.withColumn("rank", F.row_number().over(by_value)).where(
-        (F.col("part") == "pair") | (F.col("rank") <= top))
+    return pairs.unionByName(foremost).withColumn("rank", F.row_number().over(by_value))

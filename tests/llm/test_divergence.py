@@ -79,10 +79,29 @@ def test_odd_rows(spark):
 
 def test_long_texts_are_read_in_slices(monkeypatch):
     text = ("Grün Äb-c d'E 12x日本 " * 50).encode()
-    whole = divergence.terms(text)
+    whole = next(divergence.terms(text))
     monkeypatch.setattr(divergence, "_SLICE", 7)
-    assert divergence.terms(text) == whole and whole[b"x\xe6\x97\xa5\xe6\x9c\xac"] == 50
-    assert divergence.terms(b"a" * 100) == {b"a" * 100: 1}
+    parts = list(divergence.terms(text))
+    assert len(parts) > 50 and sum(parts, []) == whole and whole.count("x日本".encode()) == 50
+    assert list(divergence.terms(b"a" * 100)) == [[b"a" * 100]]
+
+
+def test_stripes_of_a_term_are_merged_across_batches(spark, many_sources):
+    docs = spark.createDataFrame(many_sources, "lang string, source string, text string").na.fill("")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    got = divergence.merged(divergence.folded(docs.repartition(6), 10), 3).collect()
+    divergence.prepare(spark)
+    want = defaultdict(Counter)
+    df = Counter()
+    for lang, source, text in many_sources:
+        found = re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text))
+        for t in set(found):
+            df[lang or "", t] += 1
+        for t in found:
+            want[lang or "", t][source] += 1
+    kept = {k: dict(c) for k, c in want.items() if df[k] >= 3}
+    assert {(r.lang, r.term): dict(zip(r.sources, r.counts)) for r in got} == kept
+    assert all(r.n == sum(r.counts) for r in got)
 
 
 def test_shares_are_exact_for_large_counts():

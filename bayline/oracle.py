@@ -8,9 +8,9 @@ from __future__ import annotations
 
 from bayline.queries import (
     BUCKET_END, BUCKET_START, BUCKET_STEP, HISTORY_CHANGE, HISTORY_CUTOFF, HISTORY_MONTHS,
-    HISTORY_OPEN, LOAD_DATES, SCAN_DEALER, SCAN_MONTH,
+    HISTORY_OPEN, LOAD_DATES, SCAN_DEALER, SCAN_MONTH, TABLE_MONTHS,
 )
-from bayline.schemas import FEATURES, SERVICE_TYPES
+from bayline.schemas import FEATURES, HISTORY_CSV, SERVICE_TYPES
 from bayline.sources.event_feed import FEED_TYPES
 from bayline.sources.service_tables import AS_OF
 
@@ -225,12 +225,15 @@ SELECT 'dealer' AS dimension, count(*) AS orphan_rows FROM fact
   WHERE dealer_key NOT IN (SELECT dealer_key FROM dealer)
 UNION ALL SELECT 'vehicle', count(*) FROM fact
   WHERE vehicle_key NOT IN (SELECT vehicle_key FROM vehicle)
-UNION ALL SELECT 'date', count(*) FROM fact WHERE open_date_key IS NULL""")
+UNION ALL SELECT 'date', count(*) FROM fact
+  WHERE service_date NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders)""")
 fact("orphan_fact_rows_stale_dims", """
 SELECT 'dealer' AS dimension, CAST(dealer_key AS VARCHAR) AS missing_key, count(*) AS orphan_rows
 FROM fact WHERE dealer_key % 10 = 0 GROUP BY dealer_key
 UNION ALL SELECT 'vehicle', CAST(vehicle_key AS VARCHAR), count(*)
-FROM fact WHERE vehicle_key % 50 = 0 GROUP BY vehicle_key""")
+FROM fact WHERE vehicle_key % 50 = 0 GROUP BY vehicle_key
+UNION ALL SELECT 'date', CAST(open_date_key AS VARCHAR), count(*) FROM fact
+WHERE service_date NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders) GROUP BY open_date_key""")
 
 _VERSIONS = """
 old AS (
@@ -362,6 +365,17 @@ UNION ALL
 SELECT ro_number, concat_ws(',', CASE WHEN dealer_no IS NULL THEN 'orphan_dealer' END,
   CASE WHEN vehicle_no IS NULL THEN 'orphan_vehicle' END), load
 FROM found WHERE dealer_no IS NULL OR vehicle_no IS NULL""")
+fact("raw_landing", """
+SELECT 'dealers' AS extract, dealer_id, dealer_name, CAST(1 AS INTEGER) AS from_file, CAST(1 AS INTEGER) AS has_time FROM dealer
+UNION ALL SELECT 'dealers_asia', dealer_id, dealer_name, 1, 1 FROM dealer WHERE region = 'ASIA'""")
+fact("published_refresh", """
+SELECT region, pay_type, count(*) AS ro_count, CAST(sum(total_amount) AS DOUBLE) AS total_amount
+FROM fact JOIN dealer USING (dealer_key) WHERE service_type = 'recall' GROUP BY region, pay_type""")
+fact("curated_table", f"""
+SELECT {day('service_month')} AS service_month, service_type, count(*) AS ro_count,
+  CAST(sum(total_amount) AS DOUBLE) AS total_amount
+FROM fact WHERE service_month BETWEEN DATE '{TABLE_MONTHS[0]}' AND DATE '{TABLE_MONTHS[1]}'
+GROUP BY service_month, service_type""")
 raw("survey_flatten", """
 SELECT concat('SV-', ro_number, '-', l_partkey) AS survey_id, ro_number,
   CASE WHEN l_linestatus = 'O' THEN 'email' ELSE 'sms' END AS channel,
@@ -595,6 +609,10 @@ targeted AS (
     <= floor(count(*) OVER () * CAST(0.15 AS DOUBLE))),
 """
 fact("customer_service_history", "SELECT * EXCLUDE (dealer_key) FROM history", _HISTORY)
+_CSV_NUMBERS = {*FEATURES, "retained_next_period"}
+fact("history_from_csv", "SELECT " + ", ".join(
+    f"CAST({c} AS {'DOUBLE' if c in _CSV_NUMBERS else 'VARCHAR'}) AS {c}" for c in HISTORY_CSV.fieldNames())
+    + " FROM history", _HISTORY)
 _KEPT = half_up("100 * sum(retained_next_period)", "count(*)", 1)
 fact("retention_by_region", f"""
 SELECT region, count(*) AS customers, {_KEPT} AS retention_rate_pct
@@ -609,6 +627,13 @@ UNION ALL SELECT 'warranty', CASE WHEN in_warranty <> 0 THEN 'in_warranty' ELSE
   END, count(*), {_KEPT} FROM history GROUP BY 2
 UNION ALL SELECT 'region', region, count(*), {_KEPT} FROM history GROUP BY region
 UNION ALL SELECT 'model', model, count(*), {_KEPT} FROM history GROUP BY model""", _HISTORY)
+fact("report_files", """
+SELECT 'overall' AS part, 'all' AS item, count(*) AS customers FROM history
+UNION ALL SELECT 'warranty', CASE WHEN in_warranty <> 0 THEN 'in_warranty' ELSE 'out_of_warranty' END, count(*)
+FROM history GROUP BY 2
+UNION ALL SELECT 'region', region, count(*) FROM history GROUP BY region
+UNION ALL SELECT 'model', model, count(*) FROM history GROUP BY model
+UNION ALL SELECT 'action', recommended_action, count(*) FROM targeted GROUP BY recommended_action""", _HISTORY)
 fact("at_risk_by_region", """
 SELECT customer_key, region, churn_risk, recommended_action,
   CAST(expected AS DOUBLE) AS expected_value FROM valued
@@ -669,13 +694,9 @@ ordered AS (
     count(*) OVER (PARTITION BY retained_next_period) AS n
   FROM history),
 """
-fact("churn_scores", """
-SELECT customer_key, region, churned, CAST(nth > round(n * 0.25) AS INTEGER) AS is_train,
-  CAST(1 AS INTEGER) AS risk_in_range FROM ordered""", _HISTORY + _SPLIT)
-ORACLE["churn_drivers"] = "\nUNION ALL\n".join(
-    f"SELECT '{name}' AS feature, CAST(1 AS DOUBLE) AS all_weights" for name in FEATURES)
-fact("at_risk_by_churn_model",
-     "SELECT region, least(count(*), 500) AS customers FROM history GROUP BY region", _HISTORY)
+fact("churn_split", """
+SELECT customer_key, region, churned, CAST(nth > round(n * 0.25) AS INTEGER) AS is_train FROM ordered
+""", _HISTORY + _SPLIT)
 
 # --- governance ------------------------------------------------------------------------------
 

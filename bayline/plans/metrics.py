@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from bayline.operators.ranking import fraction_rows, with_position, with_running_totals
+from bayline.operators.ranking import with_running_totals
+from bayline.operators.selection import best_fraction
+from bayline.session import stage
 
 
 def score_curve(df: DataFrame, score: str, label: str) -> DataFrame:
@@ -49,15 +51,12 @@ def average_precision(df: DataFrame, score: str, label: str) -> DataFrame:
 
 def lift_at(df: DataFrame, score: str, label: str, key: str, fraction: float = 0.1) -> DataFrame:
     """Label mean among the best-scored fraction (at least one row) over the overall mean."""
-    ranked = with_position(df.select(score, key, label), [F.desc(score), F.asc(key)])
-    rows = ranked.agg(fraction_rows(fraction, at_least=1)).scalar()
+    rows = stage(df.select(score, key, label), "scored")
     hit = F.col(label).cast("bigint")
-    counted = ranked.withColumn("top", F.col("position") < rows).agg(
-        F.count_if("top").alias("targeted"),
-        F.sum(F.when(F.col("top"), hit)).cast("double").alias("pos_top"),
-        F.sum(hit).cast("double").alias("pos_all"),
-        F.count("*").cast("double").alias("n_all"),
-    )
+    top = best_fraction(rows, fraction, score, key, at_least=1).agg(
+        F.count("*").alias("targeted"), F.sum(hit).cast("double").alias("pos_top"))
+    whole = {"pos_all": F.sum(hit).cast("double"), "n_all": F.count("*").cast("double")}
+    counted = top.withColumns({name: rows.agg(total).scalar() for name, total in whole.items()})
     return counted.select(
         "targeted",
         F.round(F.try_divide(

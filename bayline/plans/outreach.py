@@ -7,9 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from bayline.operators.ranking import (
-    top_fraction, top_fraction_per_group, top_n_per_group,
-)
+from bayline.operators.ranking import top_fraction_per_group, top_n_per_group
+from bayline.operators.selection import best_fraction
 
 
 @dataclass(frozen=True)
@@ -65,7 +64,7 @@ def at_risk(
     key: str = "customer_key",
 ) -> DataFrame:
     """The given fraction of customers with the highest score; ties go by key."""
-    return top_fraction(scored, [F.desc(score), F.asc(key)], fraction)
+    return best_fraction(scored, fraction, score, key)
 
 
 def recommendations(

@@ -16,7 +16,7 @@ from bayline.functions import money
 from bayline.operators import audit, checks, gates, history, joins, layout, nested, reconcile
 from bayline.operators.ranking import top_n_per_group
 from bayline.plans import (
-    churn, governance, incremental, kpis, marts, metrics, outreach, retention, warehouse,
+    churn, governance, incremental, kpis, marts, metrics, outreach, reports, retention, views, warehouse,
 )
 from bayline.plans.star import Star, star
 from bayline.session import scratch_path, stage
@@ -34,6 +34,7 @@ SCAN_MONTH = "1998-03-01"
 SCAN_DEALER = 7
 BUCKET_START, BUCKET_END, BUCKET_STEP = 19950101, 20020101, 100
 HISTORY_OPEN, HISTORY_CHANGE = "1995-01-01", "1998-07-01"
+TABLE_MONTHS = "1996-02-01", "1996-07-01"
 LOAD_DATES = "1994-06-01", "1997-01-01"
 CHURN = churn.Settings()
 
@@ -101,7 +102,8 @@ def audit_balance(s: Star) -> DataFrame:
 def _staging(s: Star) -> DataFrame:
     parsed = feed.parse_events(
         event_feed.event_batch(s.spark, s.sf_dir), event_feed.FEED_TYPES + ("signup",))
-    return marts.staging_service_events(feed.valid_events(parsed))
+    # All parsed events: what staging has no use for is dropped there.
+    return marts.staging_service_events(parsed.select(*schemas.SERVICE_EVENT.fieldNames()))
 
 
 def _feed_mart(events: DataFrame) -> DataFrame:
@@ -129,10 +131,12 @@ def _dims(s: Star, stale: bool = False):
     if stale:  # an old extract that lacks some members
         dealer = dealer.where(F.col("dealer_key") % 10 != 0)
         vehicle = vehicle.where(F.col("vehicle_key") % 50 != 0)
+    # A calendar of the days on which orders were placed, which lacks some days of service.
+    placed = src.table(s.spark, s.sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("open_date"))
     return [
         ("dealer", "dealer_key", dealer, "dealer_key"),
         ("vehicle", "vehicle_key", vehicle, "vehicle_key"),
-        ("date", "open_date_key", s.dim_date, "date_key"),
+        ("date", "open_date_key", warehouse.dim_date(placed), "date_key"),
     ]
 
 
@@ -277,6 +281,50 @@ def rejects_over_loads(s: Star) -> DataFrame:
     return _loaded(s).rejects.read(s.spark).select("ro_number", "reason", "load")
 
 
+@query
+def raw_landing(s: Star) -> DataFrame:
+    """Two extracts in the bronze area, with the file each row came from."""
+    landed, bronze = _landed(s), scratch_path(s.spark, "bronze")
+    landing.land_raw(landed.dealers, bronze, "dealers")
+    landing.land_raw(landed.dealers.where("region = 'ASIA'"), bronze, "dealers_asia")
+    stored = s.spark.read.parquet(bronze)
+    return stored.select(
+        "extract", "dealer_id", "dealer_name", F.col("source_file").contains("/dealers/").cast("int").alias("from_file"),
+        F.col("ingested_at").isNotNull().cast("int").alias("has_time"))
+
+
+@query
+def published_refresh(s: Star) -> DataFrame:
+    """A full refresh over an older one, asked by SQL through the views of the newest version."""
+    root = scratch_path(s.spark, "published")
+    tables = {"fact_repair_orders": s.fact, "dim_dealer": s.dim_dealer, "dim_vehicle": s.dim_vehicle,
+              "dim_customer": s.dim_customer}
+    layout.publish({"fact_repair_orders": s.fact.limit(10)}, root)
+    layout.publish(tables, root)
+    names = views.create_views({n: layout.open_published(s.spark, root, n) for n in tables}, src.AS_OF)
+    try:
+        return views.rows(s.spark, """
+            SELECT d.region, f.pay_type, count(*) AS ro_count, sum(f.total_amount) AS total_amount
+            FROM fact_repair_orders f JOIN dim_dealer d USING (dealer_key)
+            WHERE f.service_type = :kind GROUP BY d.region, f.pay_type""", {"kind": "recall"})
+    finally:
+        for name in names:
+            s.spark.catalog.dropTempView(name)
+
+
+@query
+def curated_table(s: Star) -> DataFrame:
+    """The curated fact as a catalog table; a range of its months read back from its files."""
+    path, name = scratch_path(s.spark, "curated"), f"curated_{uuid.uuid4().hex}"
+    layout.create_table_as(marts.curated_fact(s.fact), name, path, "service_month")
+    try:
+        months = layout.read_between(s.spark, path, "service_month", *TABLE_MONTHS)
+        return months.groupBy("service_month", "service_type").agg(
+            F.count("*").alias("ro_count"), F.sum("total_amount").alias("total_amount"))
+    finally:
+        s.spark.sql(f"DROP TABLE {name}")
+
+
 @query
 def survey_flatten(s: Star) -> DataFrame:
     return warehouse.flatten_surveys(src.surveys(s.spark, s.sf_dir)).drop("arrival")
@@ -474,6 +522,27 @@ def customer_service_history(s: Star) -> DataFrame:
     return _history(s)
 
 
+@query
+def history_from_csv(s: Star) -> DataFrame:
+    """The customer features as the file that a modelling team would get, read back."""
+    path = scratch_path(s.spark, "history")
+    _history(s).select(*[F.col(c).cast("string") for c in schemas.HISTORY_CSV.fieldNames()]).write.option(
+        "header", True).csv(path)
+    return landing.read_service_history(s.spark, path)
+
+
+@query
+def report_files(s: Star) -> DataFrame:
+    """Two parts of the retention report, saved as JSON files and read back."""
+    path, scored = scratch_path(s.spark, "report"), stage(_scored(s), "scored")
+    parts = {"kpis": retention.retention_kpis(scored), "mix": outreach.action_mix(outreach.recommendations(scored))}
+    reports.save_report(parts, path)
+    found = {n: s.spark.read.schema(df.schema).json(f"{path}/{n}") for n, df in parts.items()}
+    return found["kpis"].select(
+        F.col("dimension").alias("part"), F.col("segment").alias("item"), "customers").unionByName(
+        found["mix"].select(F.lit("action").alias("part"), F.col("recommended_action").alias("item"), "customers"))
+
+
 @query
 def retention_by_region(s: Star) -> DataFrame:
     return retention.retention_by_region(_history(s), s.dim_dealer)
@@ -565,27 +634,30 @@ def churn_metrics(s: Star) -> DataFrame:
     return churn.held_out_metrics(_churn(s).scored)
 
 
+@query
+def churn_split(s: Star) -> DataFrame:
+    return churn.stratified_split(churn.training_frame(_history(s))).select(
+        "customer_key", "region", "churned", "is_train")
+
+
 @query
 def churn_drivers(s: Star) -> DataFrame:
-    """All features, with the sum of their weights; the weights themselves are engine-specific."""
-    weights = churn.drivers(s.spark, _churn(s).model)
-    total = weights.agg(F.round(F.sum("importance"), 2)).scalar()
-    return weights.select("feature", total.alias("all_weights"))
+    """The features by their importance to the model."""
+    return churn.drivers(s.spark, _churn(s).model)
 
 
 @query
 def churn_scores(s: Star) -> DataFrame:
-    in_range = F.col("churn_risk").between(0, 1).cast("int")
-    return _churn(s).scored.select(
-        "customer_key", "region", "churned", "is_train", in_range.alias("risk_in_range"))
+    """Every customer's risk, with the label and whether the model was trained on it."""
+    return _churn(s).scored.select("customer_key", "region", "churned", "is_train", "churn_risk")
 
 
 @query
 def at_risk_by_churn_model(s: Star) -> DataFrame:
-    """How many customers of each region the list by model score holds."""
-    listed = outreach.at_risk_by_group(outreach.with_recommendation(
-        _churn(s).scored, outreach.default_actions()))
-    return listed.groupBy("region").agg(F.count("*").alias("customers"))
+    """The riskiest customers of each region by the model, with what to offer them."""
+    return outreach.at_risk_by_group(outreach.with_recommendation(
+        stage(_churn(s).scored, "scored"), outreach.default_actions())).select(
+        "customer_key", "region", "churn_risk", "recommended_action", "expected_value")
 
 
 # --- governance ------------------------------------------------------------------------------

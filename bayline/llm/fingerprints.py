@@ -1,19 +1,22 @@
 """Order MinHash fingerprints, sensitive to edit distance.
 
 The k-mers of a text are its runs of `K` words (shorter at the end). Each is numbered by how often
-it occurred before, so that repeats count. Every numbered k-mer of the whole text gets a hash; the
-`KEPT` smallest are kept. Each of `SKETCHES` hash functions then picks the `LENGTH` k-mers that are
-smallest under it, puts them back into text order and hashes that tuple. The likeness of two
+it occurred before, so that repeats count, and every numbered k-mer of the whole text gets a hash.
+Each of `SKETCHES` hash functions, that hash less the function's own offset on the circle of hash
+values, picks the `LENGTH` k-mers that are smallest under it, puts them back into text order and
+hashes that tuple. As all functions turn the same circle, the k-mers are sorted once and each
+function finds its smallest by bisection: they are the first at or after its offset. Offsets lie
+evenly, so functions look at different k-mers wherever there are enough. The likeness of two
 fingerprints is the share of equal tuples: it needs the same k-mers in the same order.
 
-A hash and its word position share a long (40 and 24 bits), so that sorting is on plain longs;
-positions beyond 2**24 words are taken modulo it. All of it is DataFrame code.
+A hash and its word position share a long (34 and 30 bits, as no text has 2**30 words), so that
+sorting is on plain longs. All of it is DataFrame code.
 
 Defined cases: null and empty texts have no k-mers and share one fingerprint, unlike any other;
 texts with fewer than `LENGTH` k-mers use what they have; equal texts have equal fingerprints.
 Documents follow each other by descending id, equal ids by a hash of the text, null ids last, and
-the first follows the last (a single document follows itself). Extra columns are ignored; an empty
-table gives an empty result.
+the first follows the last (a single document follows itself). Rows of one id, unless it is null,
+meet in one task. Extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -23,29 +26,30 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from bayline.llm.common import let, prepare
 
 K = 2
-KEPT = 64
 SKETCHES = 24
 LENGTH = 2
-_POSITION = (1 << 24) - 1
+_POSITION_BITS = 30
+_POSITION = (1 << _POSITION_BITS) - 1
 _HASH = ~_POSITION
-# Neighbouring documents meet in chunks of about so many rows; no more than so many chunks.
+# Offsets of the hash functions, as longs.
+OFFSETS = [-(1 << 63) + (i * (1 << 64) // SKETCHES & ~_POSITION) for i in range(SKETCHES)]
+# Neighbouring documents meet in chunks of about so many rows; the bounds of so many chunks go into
+# the plan, so chunks grow beyond 32 million documents (to 1.5 GB of text at 100 TB).
 CHUNK = 512
-_MOST_CHUNKS = 4096
+_MOST_CHUNKS = 65_536
 _BLANK = " \t\n\x0b\x0c\r"
 
 
-def _first_equal(values: Column, i: Column) -> Column:
-    """Index of the first element of a sorted array with the hash of element i, by bisection."""
-    wanted = F.get(values, i).bitwiseAND(F.lit(_HASH))
-
+def _first_not_below(values: Column, wanted: Column, high: Column) -> Column:
+    """Index of the first element of a sorted array that isn't below a value, at most `high`."""
     def halve(found, _):
-        middle = F.floor((found["low"] + found["high"]) / 2).cast("int")
-        below = F.get(values, middle) < wanted
+        middle = F.shiftright(found["low"] + found["high"], 1)
+        below = (found["low"] < found["high"]) & (F.get(values, middle) < wanted)
         return F.struct(F.when(below, middle + 1).otherwise(found["low"]).alias("low"),
                         F.when(below, found["high"]).otherwise(middle).alias("high"))
 
-    steps = F.ceil(F.log2(i + 2)).cast("int")
-    return F.aggregate(F.sequence(F.lit(0), steps), F.struct(F.lit(0).alias("low"), i.alias("high")),
+    steps = F.ceil(F.log2(high + 2)).cast("int")
+    return F.aggregate(F.sequence(F.lit(0), steps), F.struct(F.lit(0).alias("low"), high.alias("high")),
                        halve, lambda found: found["low"])
 
 
@@ -54,7 +58,8 @@ def _numbered(values: Column) -> Column:
     def number(x, i):
         before = F.get(values, i - 1)
         repeated = (i > 0) & (before.bitwiseAND(F.lit(_HASH)) == x.bitwiseAND(F.lit(_HASH)))
-        again = F.xxhash64(F.shiftright(x, 24), i - _first_equal(values, i))
+        first = _first_not_below(values, x.bitwiseAND(F.lit(_HASH)), i)
+        again = F.xxhash64(F.shiftright(x, _POSITION_BITS), i - first)
         return F.when(repeated, again.bitwiseAND(F.lit(_HASH)).bitwiseOR(x.bitwiseAND(F.lit(_POSITION)))).otherwise(x)
 
     return F.transform(values, number)
@@ -82,19 +87,19 @@ def sketch(text: Column) -> Column:
     """Hash of the ordered tuple of each of the `SKETCHES` hash functions."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(_BLANK))
     numbered = let(F.sort_array(let(trimmed, kmers)), _numbered)
-    kept = F.slice(F.sort_array(numbered), 1, KEPT)
 
-    def tuple_hash(least, j):
-        drawn = F.transform(least, lambda x: F.xxhash64(F.shiftright(x, 24), j).bitwiseAND(F.lit(_HASH))
-                            .bitwiseOR(x.bitwiseAND(F.lit(_POSITION))))
-        first = F.slice(F.sort_array(drawn), 1, LENGTH)
-        in_order = F.sort_array(F.transform(first, lambda x: F.shiftleft(x.bitwiseAND(F.lit(_POSITION)), 40)
-                                            .bitwiseOR(F.shiftrightunsigned(x, 24))))
-        return F.aggregate(in_order, F.xxhash64(j), lambda acc, x: F.xxhash64(
-            acc, x.bitwiseAND(F.lit((1 << 40) - 1))))
+    def tuple_hash(values, offset, j):
+        n = F.size(values)
+        start = _first_not_below(values, offset, n)
+        smallest = F.transform(F.slice(F.array(*[F.lit(i) for i in range(LENGTH)]), F.lit(1), n), lambda i: F.get(
+            values, (start + i) % n))
+        in_order = F.sort_array(F.transform(smallest, lambda x: F.struct(
+            x.bitwiseAND(F.lit(_POSITION)).alias("position"), F.shiftright(x, _POSITION_BITS).alias("hash"))))
+        return F.aggregate(in_order, F.xxhash64(j), lambda acc, x: F.xxhash64(acc, x["hash"]))
 
-    return let(kept, lambda least: F.transform(
-        F.sequence(F.lit(1), F.lit(SKETCHES)), lambda j: tuple_hash(least, j)))
+    offsets = F.array(*[F.lit(x).cast("long") for x in OFFSETS])
+    return let(F.sort_array(numbered), lambda values: F.transform(
+        offsets, lambda offset, j: tuple_hash(values, offset, j)))
 
 
 def as_text(sketched: Column) -> Column:
@@ -121,13 +126,16 @@ def with_next(docs: DataFrame, key: str, tie: str, columns: list[str], derive) -
     if chunks > 1:
         bounds = docs.select(key).agg(F.percentile_approx(
             key, [i / chunks for i in range(1, chunks)], max(10_000, 10 * chunks))).first()[0]
-    bounds = sorted(set(bounds or ()), reverse=True)
+    bounds = sorted(set(bounds or ()))
+    nulls = docs.where(F.col(key).isNull()).count()
+    null_chunks = min(_MOST_CHUNKS, nulls // CHUNK + 1)
     listed = F.split(F.lit(",".join(map(str, bounds))), ",").cast("array<long>")
-    # Chunk 0 holds the largest keys; the last one the null keys.
-    chunk = F.when(F.col(key).isNull(), len(bounds) + 1).otherwise(
-        F.size(F.filter(listed, lambda b: b >= F.col(key))))
+    # Chunk 0 holds the largest keys; the last ones the null keys, by equal ranges of the tie.
+    range_of_tie = F.shiftright((F.shiftright(tie, 32) + (1 << 31)) * null_chunks, 32)
+    below = _first_not_below(listed, F.col(key), F.lit(len(bounds))) if bounds else F.lit(0)
+    chunk = F.when(F.col(key).isNull(), len(bounds) + 1 + range_of_tie).otherwise(len(bounds) - below).cast("int")
     placed = docs.withColumn("_chunk", chunk)
-    # One row per chunk, so at most _MOST_CHUNKS + 1.
+    # One row per chunk, so at most twice _MOST_CHUNKS.
     firsts = sorted((r["_chunk"], r["first"]) for r in placed.select("_chunk", key).groupBy("_chunk").agg(
         F.max(key).alias("first")).collect()) if n else []
     if not firsts:

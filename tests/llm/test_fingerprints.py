@@ -9,7 +9,7 @@ from bayline.llm import fingerprints
 from bayline.llm.common import table
 
 MASK = (1 << 64) - 1
-POSITION = (1 << 24) - 1
+POSITION = (1 << 30) - 1
 
 
 def signed(x):
@@ -35,16 +35,15 @@ def brute(text):
         g = (g & ~POSITION)
         n = seen[g] = seen.get(g, -1) + 1
         if n:
-            numbered.append((h(("q", g >> 24), ("i", n)) & ~POSITION) | pos)
+            numbered.append((h(("q", g >> 30), ("i", n)) & ~POSITION) | pos)
         else:
             numbered.append(g | pos)
-    kept = sorted(numbered)[:fingerprints.KEPT]
     out = []
-    for j in range(1, fingerprints.SKETCHES + 1):
-        drawn = sorted((h(("q", x >> 24), ("i", j)) & ~POSITION) | (x & POSITION) for x in kept)[:fingerprints.LENGTH]
+    for j, offset in enumerate(fingerprints.OFFSETS):
+        drawn = sorted(numbered, key=lambda x: (x - offset) & MASK)[:fingerprints.LENGTH]
         acc = h(("i", j))
         for x in sorted(drawn, key=lambda x: x & POSITION):
-            acc = h(("q", acc), ("q", (x & MASK) >> 24))
+            acc = h(("q", acc), ("q", x >> 30))
         out.append(format(acc & 0xFFFFFFFF, "08x"))
     return "".join(out)
 
@@ -74,6 +73,42 @@ def test_whole_table_against_brute_force(spark):
     assert sum(x > 0 for x in far) > 0.9 * len(far)
 
 
+def test_likeness_is_near_that_of_very_many_draws():
+    """Against 400 independent hash functions over all k-mers, on whole texts of the table."""
+    import random
+
+    import duckdb
+
+    rng = random.Random(4)
+    texts = [r[0] for r in duckdb.sql("SELECT text FROM read_parquet('/root/testdata/sf0.01/documents.parquet') "
+                                      "WHERE n_chars > 300 ORDER BY doc_id LIMIT 150").fetchall()]
+    salts = [rng.getrandbits(64) for _ in range(400)]
+
+    def numbered(text):
+        words, seen, out = text.split(), {}, []
+        for gram in zip(words, words[1:]):
+            seen[gram] = seen.get(gram, -1) + 1
+            out.append(xxhash.xxh64_intdigest(repr((gram, seen[gram]))))
+        return out
+
+    def draws(grams):
+        got = []
+        for salt in salts:
+            least = sorted(range(len(grams)), key=lambda i: (grams[i] ^ salt) * 0x9E3779B97F4A7C15 & MASK)[:2]
+            got.append(tuple(grams[i] for i in sorted(least)))
+        return got
+
+    errors = []
+    for text, (_, _, changed) in zip(texts[::3], edited([(i, t) for i, t in enumerate(texts)][::3])):
+        a, b = numbered(text), numbered(changed)
+        true = sum(x == y for x, y in zip(draws(a), draws(b))) / len(salts)
+        x, y = brute(text), brute(changed)
+        errors.append(sum(x[k:k + 8] == y[k:k + 8] for k in range(0, len(x), 8)) / fingerprints.SKETCHES - true)
+    root_mean_square = (sum(e * e for e in errors) / len(errors)) ** 0.5
+    print("root mean square error of the likeness", root_mean_square, "worst", max(map(abs, errors)))
+    assert root_mean_square < 0.1 and abs(sum(errors) / len(errors)) < 0.03
+
+
 def test_order_matters(spark):
     words = [f"w{i}" for i in range(60)]
     rows = [(1, " ".join(words)), (2, " ".join(words[30:] + words[:30])), (3, " ".join(words[:58] + ["x", "y"]))]
@@ -91,6 +126,17 @@ def test_chunks_join_up(spark, monkeypatch):
     assert {r.doc_id: r.edited_sha256 for r in got} == want
 
 
+def test_null_ids_are_spread_over_chunks(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "CHUNK", 4)
+    rows = [(i if i % 2 else None, f"text number {i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = fingerprints.edited_fingerprints(docs).collect()
+    tie = {t: h(("s", t)) for _, t in rows}
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), tie[r[1]]))
+    want = sorted((str(i), hashlib.sha256(e.encode()).hexdigest()) for i, _, e in edited(order))
+    assert sorted((str(r.doc_id), r.edited_sha256) for r in got) == want
+
+
 def test_odd_rows(spark):
     got = fingerprints.edited_fingerprints(cases.frame(spark)).collect()
     assert len(got) == len(cases.rows())

@@ -32,7 +32,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from bayline.llm.common import prepare, stage
 from bayline.llm.words import Words, mixed
@@ -375,8 +375,12 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return every if found is None else every.unionByName(found)
 
 
-def components(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row."""
+def classes(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, node, component, component_id, kept) of every row.
+
+    `component` tells classes apart that share a smallest id, since rows of one id may differ; it is
+    NULL for rows that link with nothing.
+    """
     prepare(docs.sparkSession)
     signed = stage(documents_signed(docs), "signed")
     linkable = signed.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
@@ -388,18 +392,56 @@ def components(docs: DataFrame) -> DataFrame:
         "node", "doc_id", "copies", F.coalesce("component", "node").alias("component"))
     # A component is named by its smallest document, not by its smallest node.
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    lookup = stage(named.join(least, "component").select("node", "component_id", "copies"), "lookup")
-    rows = signed.select("doc_id", "n_shingles", F.when(
-        (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("node")).alias("node"))
-    joined = spread_lookup(rows, lookup, ["node"], "copies", ["component_id"], [F.col("doc_id")])
-    component = F.coalesce("component_id", "doc_id")
-    return joined.select("doc_id", "n_shingles", component.alias("component_id"),
-                         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    lookup = stage(named.join(least, "component").select(
+        F.col("node").alias("linked"), "component", "component_id", "copies"), "lookup")
+    rows = signed.select("doc_id", "n_shingles", "node", F.when(
+        (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("node")).alias("linked"))
+    joined = spread_lookup(rows, lookup, ["linked"], "copies", ["component", "component_id"], [F.col("doc_id")])
+    name = F.coalesce("component_id", "doc_id")
+    return joined.select("doc_id", "n_shingles", "node", "component", name.alias("component_id"),
+                         F.coalesce(F.col("doc_id") == name, F.lit(True)).alias("kept"))
+
+
+def components(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row."""
+    return classes(docs).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def with_node(docs: DataFrame, name: str) -> DataFrame:
+    """The rows with the name of their shingle set."""
+    columns = docs.columns
+
+    def named(batches):
+        words = Words()
+        for batch in batches:
+            nodes = node_ids(*shingles(*words(batch.column("text").to_pylist())))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(nodes)], [*columns, name])
+
+    return docs.mapInArrow(named, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
+
+
+def unlike_rows(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """Of rows with repeated ids, one of each class that the id names.
+
+    `found` has the classes of just these rows. Which of several rows depends on their content only.
+    """
+    chosen = found.where("kept").groupBy("doc_id", "component", (F.col("n_shingles") == 0).alias("empty")).agg(
+        F.min("node").alias("node")).select(F.col("doc_id").alias("_id"), F.col("node").alias("_chosen"))
+    names = docs.columns
+    rows = with_node(docs, "_node").join(
+        chosen, (F.col("doc_id").cast("long") == F.col("_id")) & (F.col("_node") == F.col("_chosen")))
+    first = Window.partitionBy("_id", "_node").orderBy(F.xxhash64(F.to_json(F.struct(*names))))
+    return rows.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").select(names)
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """One row of each group, with all its columns; of rows with the same id, one."""
-    found = stage(components(docs).where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+    """One row of each class of near duplicates, with all its columns.
+
+    Decided for rows, not ids: of rows that share an id, each stays whose text isn't like that of
+    a smaller id's row, and of like rows with one id one stays.
+    """
+    rows = stage(classes(docs).where(F.col("doc_id").isNotNull()), "classes")
+    found = stage(rows.groupBy("doc_id").agg(
         F.min("kept").alias("kept"), F.count("*").alias("rows")), "kept")
     special = found.where("not kept or rows > 1").select("doc_id")
     sent, names = id_filter(special), docs.columns
@@ -420,8 +462,8 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     doubtful = passed(True)
     out = passed(False).unionByName(
         doubtful.join(special, doubtful["doc_id"].cast("long") == special["doc_id"], "left_anti"))
-    repeated = found.where("kept and rows > 1").select("doc_id")
+    repeated = found.where("rows > 1").select("doc_id")
     if repeated.isEmpty():
         return out
     again = docs.join(repeated, docs["doc_id"].cast("long") == repeated["doc_id"], "left_semi")
-    return out.unionByName(again.dropDuplicates(["doc_id"]))
+    return out.unionByName(unlike_rows(again, rows.join(repeated, "doc_id", "left_semi")))

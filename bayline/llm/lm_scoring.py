@@ -1,22 +1,24 @@
 """Language-model scores from a log-frequency Bloom filter.
 
-Words and word pairs of the training documents are counted over the whole corpus. An n-gram that
-occurs c times has the level 1 + floor(log2 c) and enters the filter once for each level up to its
-own; a reader probes levels 1, 2, ... until the first that is missing, and takes the middle of the
-counts of the last one found. The filter has `EVENT_BITS` per entry, however many entries there
-are: it is kept as segments, one for each range of the hash, and an n-gram is probed where the
-segment of its range is. No task holds more than one segment, and none is sent anywhere.
-
-The probability of a word is the mean of count(pair) / count(word before) and of
-(count + 1) / (N + V + 1). Beside it, an exact unigram score is given.
+`fit` counts the words and word pairs of the training documents over the whole corpus and stores
+them as a filter. An n-gram that occurs c times has the level 1 + floor(log2 c) and enters the
+filter once for each level up to its own. The filter has `EVENT_BITS` per entry, however many
+entries there are: it is a table of segments, one for each range of the hash, of bounded size each.
+Beside them lie the exact counts of the words, for the unigram score. Such a model can be kept and
+opened again.
+
+`score` probes a model for any documents: levels 1, 2, ... of an n-gram until the first that is
+missing; the count is the middle of the last one found. As the whole filter has no bound, it isn't
+broadcast: each block of documents asks the ranges of its n-grams, and a task that answers holds one
+segment. The probability of a word is the mean of count(pair) / count(word before) and of
+(count + 1) / (N + V + 1).
 
 Texts are coded in blocks of about `BLOCK` tokens: the sorted distinct word hashes of the block and,
-for each token, its place among them. Blocks send the counts of their words and pairs to ranges of
-the hash, where they are summed, and get back the levels of their own, and the exact sums of their
-words: without a row per token and without any task that holds the vocabulary. Ranges grow in
-number with the tokens, at most `RANGE` tokens to one on average, so a range doesn't grow.
-The pieces sent are blocks times ranges: beyond 64 ranges they grow with the square of the tokens
-(one for each 800 tokens or so at 5 billion), what is in them in proportion.
+for each token, its place among them. Blocks send sorted runs of n-gram hashes to the ranges: without
+a row per token and without any task that holds the vocabulary. Ranges grow in number with the
+training tokens, about `RANGE` tokens to one, so a range doesn't grow. A run goes from one block to
+one range; beyond 64 ranges runs get shorter, at most to single n-grams, so that what is sent never
+grows faster than the n-grams.
 
 Defined cases: null and empty texts are the end token alone; a null id counts as the empty text for
 the fold, so such a document trains; without training documents all counts are 0; every input row
@@ -27,20 +29,21 @@ empty result. Words are told apart by 64-bit hashes.
 from __future__ import annotations
 
 import math
-import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from bayline.llm.common import prepare, remainder, stage
 from bayline.llm.words import Words, mixed
+from bayline.session import scratch_path
 
 FOLDS, HELD_OUT = 7, 2
 BLOCK = 1 << 20
-RANGE = 1 << 23
+RANGE = 1 << 22
 EVENT_BITS = 8
 PROBES = 4
 MOST_LEVELS = 40
@@ -65,8 +68,12 @@ def unpacked(data: bytes, ordered: bool = False) -> np.ndarray:
     return np.cumsum(values) if ordered else values
 
 
-def encoded(docs: DataFrame) -> DataFrame:
-    """One row per block: its documents, their token numbers, their tokens as places in `words`."""
+def encoded(docs: DataFrame, trains: Column | None = None) -> DataFrame:
+    """One row per block: its documents, their token numbers, their tokens as places in `words`.
+
+    `trains` tells the documents that a model may learn from: all, unless given.
+    """
+    block_size = BLOCK
     schema = pa.schema([
         ("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("n_tokens", pa.list_(pa.int64())),
         ("trains", pa.list_(pa.bool_())), ("words", pa.binary()), ("counts", pa.binary()), ("tokens", pa.binary())])
@@ -76,11 +83,10 @@ def encoded(docs: DataFrame) -> DataFrame:
 
         words = Words()
         block = TaskContext.get().partitionId() << 32
-        ids, sizes, parts, held = [], [], [], 0
+        ids, learnt, sizes, parts, held = [], [], [], [], 0
 
         def row():
-            number = np.concatenate(sizes)
-            trains = np.array([zlib.crc32(b"" if i is None else str(i).encode()) % FOLDS != HELD_OUT for i in ids])
+            number, trains = np.concatenate(sizes), np.array(learnt, bool)
             distinct, places = np.unique(np.concatenate(parts), return_inverse=True)
             counts = np.bincount(places[np.repeat(trains, number)], minlength=len(distinct))
             return pa.RecordBatch.from_pylist([{
@@ -96,15 +102,17 @@ def encoded(docs: DataFrame) -> DataFrame:
             parts.append(np.insert(hashes, np.cumsum(number), _END))
             sizes.append(number + 1)
             ids += batch.column("doc_id").to_pylist()
+            learnt += batch.column("trains").to_pylist()
             held += len(parts[-1])
-            if held >= BLOCK:
+            if held >= block_size:
                 yield row()
-                ids, sizes, parts, held = [], [], [], 0
+                ids, learnt, sizes, parts, held = [], [], [], [], 0
                 block += 1
         if ids:
             yield row()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+    trains = F.lit(True) if trains is None else F.coalesce(trains, F.lit(False))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", trains.alias("trains")).mapInArrow(
         coded, "block long, doc_ids array<long>, n_tokens array<long>, trains array<boolean>, "
                "words binary, counts binary, tokens binary")
 
@@ -126,45 +134,38 @@ def pair_hashes(tokens: np.ndarray, number: np.ndarray) -> np.ndarray:
     return mixed(before * _PAIR + tokens) >> np.uint64(16) << np.uint64(16)
 
 
-def sent_words(blocks: DataFrame, bits: int) -> DataFrame:
-    """(range, block, words, counts) of each block's distinct words."""
-    def dealt(batches):
-        for batch in batches:
-            rows = []
-            for block, words, counts in zip(*(batch.column(c).to_pylist() for c in ("block", "words", "counts"))):
-                words, counts = unpacked(words, ordered=True), unpacked(counts)
-                at = ranges(words, bits)
-                rows += [{"range": r, "block": block, "words": packed(words[at[r]:at[r + 1]], ordered=True),
-                          "counts": packed(counts[at[r]:at[r + 1]])} for r in range(1 << bits) if at[r] < at[r + 1]]
-            yield pa.RecordBatch.from_pylist(rows, pa.schema([
-                ("range", pa.int32()), ("block", pa.int64()), ("words", pa.binary()), ("counts", pa.binary())]))
+SENT = pa.schema([("pairs", pa.bool_()), ("range", pa.int32()), ("block", pa.int64()), ("hashes", pa.binary()),
+                  ("counts", pa.binary())])
+_SENT = "pairs boolean, range int, block long, hashes binary, counts binary"
 
-    return blocks.select("block", "words", "counts").mapInArrow(
-        dealt, "range int, block long, words binary, counts binary")
 
+def sent(blocks: DataFrame, bits: int, training: bool) -> DataFrame:
+    """The distinct words and pairs of each block, in a run for each range.
+
+    For training, those of the training documents with their counts; otherwise all, without.
+    """
+    def runs(block: int, pairs: bool, hashes: np.ndarray, counts: np.ndarray | None):
+        if training:
+            hashes, counts = hashes[counts > 0], counts[counts > 0]
+        at = ranges(hashes, bits)
+        for r in np.flatnonzero(np.diff(at)).tolist():
+            part = slice(at[r], at[r + 1])
+            yield {"pairs": pairs, "range": r, "block": block, "hashes": packed(hashes[part], ordered=True),
+                   "counts": packed(counts[part]) if training else None}
 
-def sent_pairs(blocks: DataFrame, bits: int) -> DataFrame:
-    """(range, block, words, counts) of the distinct pairs of each block; counts are of training ones."""
     def dealt(batches):
         for batch in batches:
-            rows = []
-            columns = [batch.column(c).to_pylist() for c in ("block", "words", "tokens", "n_tokens", "trains")]
-            for block, words, tokens, number, trains in zip(*columns):
-                tokens = unpacked(words, ordered=True)[unpacked(tokens)]
-                hashes, trains = pair_hashes(tokens, np.array(number)), np.repeat(np.array(trains), number)
-                trained, times = np.unique(hashes[trains], return_counts=True)
-                pairs = np.union1d(trained, hashes[~trains])
-                counts = np.zeros(len(pairs), np.int64)
-                counts[np.searchsorted(pairs, trained)] = times
-                at = ranges(pairs, bits)
-                rows += [{"range": r, "block": block, "words": packed(pairs[at[r]:at[r + 1]], ordered=True),
-                          "counts": packed(counts[at[r]:at[r + 1]])}
-                         for r in range(1 << bits) if at[r] < at[r + 1]]
-            yield pa.RecordBatch.from_pylist(rows, pa.schema([
-                ("range", pa.int32()), ("block", pa.int64()), ("words", pa.binary()), ("counts", pa.binary())]))
-
-    return blocks.select("block", "words", "tokens", "n_tokens", "trains").mapInArrow(
-        dealt, "range int, block long, words binary, counts binary")
+            for row in batch.to_pylist():
+                rows = []
+                words, number = unpacked(row["words"], ordered=True), np.array(row["n_tokens"])
+                rows += runs(row["block"], False, words, unpacked(row["counts"]).astype(np.int64))
+                hashes = pair_hashes(words[unpacked(row["tokens"])], number)
+                if training:
+                    hashes = hashes[np.repeat(np.array(row["trains"], bool), number)]
+                rows += runs(row["block"], True, *np.unique(hashes, return_counts=True))
+                yield pa.RecordBatch.from_pylist(rows, SENT)
+
+    return blocks.select("block", "words", "counts", "tokens", "n_tokens", "trains").mapInArrow(dealt, _SENT)
 
 
 def summed(words: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -192,18 +193,10 @@ def places(hashes: np.ndarray, level: int, size: int) -> Iterator[np.ndarray]:
         yield ((first + np.uint64(k) * step) >> np.uint64(20)) % np.uint64(size)
 
 
-def segment(hashes: np.ndarray, counts: np.ndarray, most_bits: int | None = None) -> bytes:
-    """Filter of one range of n-grams. With `most_bits`, which `scores` doesn't set, the rarest stay out."""
-    hashes, levels = hashes[counts > 0], levels_of(counts[counts > 0])
-    if most_bits is not None:
-        by_level = np.bincount(levels, minlength=2)
-        # Entries that stay if n-grams below a level are left out; the rarest go until all fit.
-        entries = np.cumsum((by_level * np.arange(len(by_level)))[::-1])[::-1]
-        least = int(np.argmax(np.append(entries * EVENT_BITS, 0) <= most_bits))
-        hashes, levels = hashes[levels >= least], levels[levels >= least]
+def segment(hashes: np.ndarray, counts: np.ndarray) -> bytes:
+    """Filter of one range of n-grams."""
+    levels = levels_of(counts)
     size = max(64, -(-int(levels.sum()) * EVENT_BITS // 64) * 64)
-    if most_bits is not None:
-        size = min(most_bits, size)
     bits = np.zeros(size, bool)
     for level in range(1, int(levels.max(initial=0)) + 1):
         for at in places(hashes[levels >= level], level, size):
@@ -211,12 +204,11 @@ def segment(hashes: np.ndarray, counts: np.ndarray, most_bits: int | None = None
     return np.packbits(bits, bitorder="little").tobytes()
 
 
-class CountFilter:
-    """Quantised counts of n-grams by repeated probes of the filter's segments."""
+class Segment:
+    """Quantised counts of n-grams by repeated probes of one range's filter."""
 
-    def __init__(self, data: np.ndarray, sizes: np.ndarray):
-        self.bits, self.data, self.sizes = int(math.log2(len(sizes))), data, sizes
-        self.starts = np.cumsum(sizes) - sizes
+    def __init__(self, data: bytes):
+        self.data, self.size = np.frombuffer(data, np.uint8), 8 * len(data)
 
     def levels(self, hashes: np.ndarray) -> np.ndarray:
         """The last level whose entry, and that of all before, is found."""
@@ -225,65 +217,108 @@ class CountFilter:
         for level in range(1, MOST_LEVELS + 1):
             if not len(left):
                 break
-            some = hashes[left]
-            part = (some >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(some), np.int64)
-            hit = np.ones(len(some), bool)
-            for at in places(some, level, self.sizes[part]):
-                at += self.starts[part]
+            hit = np.ones(len(left), bool)
+            for at in places(hashes[left], level, self.size):
                 hit &= (self.data[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
             left = left[hit]
             found[left] = level
         return found
 
-    def counts(self, hashes: np.ndarray) -> np.ndarray:
-        return middle(self.levels(hashes))
 
+SEGMENTS = pa.schema([
+    ("pairs", pa.bool_()), ("range", pa.int32()), ("filter", pa.binary()), ("words", pa.binary()), ("counts", pa.binary()),
+    ("tokens", pa.int64()), ("distinct", pa.int64())])
+_SEGMENTS = ("pairs boolean, range int, filter binary, words binary, counts binary, tokens long, distinct long")
 
-def levels_in_range(distinct: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The levels that the filter of one range tells for its n-grams, those without a count too."""
-    data = np.frombuffer(segment(distinct, counts), np.uint8)
-    return CountFilter(data, np.array([8 * len(data)], np.uint64)).levels(distinct)
 
+@dataclass(frozen=True)
+class Model:
+    """A stored filter: (pairs, range, filter), and for words their exact counts.
 
-ANSWERS = pa.schema([("block", pa.int64()), ("range", pa.int32()), ("pairs", pa.bool_()), ("levels", pa.binary()),
-                     ("exact", pa.binary()), ("tokens", pa.int64()), ("distinct", pa.int64())])
-_ANSWERS = "block long, range int, pairs boolean, levels binary, exact binary, tokens long, distinct long"
+    A segment is bounded by its range: about `RANGE` tokens, so some 10 MB at most.
+    """
 
+    segments: DataFrame
+    bits: int
+    tokens: int
+    distinct: int
 
-def answers(sent: DataFrame, pairs: bool) -> DataFrame:
-    """For each block and range, the levels of the block's n-grams, in order of their hashes.
 
-    For words also the exact counts, and one row without a block for each range: its totals.
-    """
+def open_model(spark: SparkSession, path: str) -> Model:
+    """A model that `fit` has stored."""
+    bits = spark.read.schema("bits int").parquet(f"{path}/bits").first()["bits"]
+    segments = spark.read.schema(_SEGMENTS).parquet(f"{path}/segments")
+    tokens, distinct = segments.where("not pairs").agg(
+        F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
+    return Model(segments, bits, tokens, distinct)
+
+
+def fit_blocks(blocks: DataFrame, path: str | None = None) -> Model:
+    """The model of stored blocks."""
     def merged(group: pa.Table) -> pa.Table:
-        r = group.column("range")[0].as_py()
-        words = [unpacked(w, ordered=True) for w in group.column("words").to_pylist()]
-        counts = [unpacked(c) for c in group.column("counts").to_pylist()]
-        distinct, total = summed(words, counts)
-        levels = levels_in_range(distinct, total)
+        hashes, counts = summed([unpacked(w, ordered=True) for w in group.column("hashes").to_pylist()],
+                                [unpacked(c) for c in group.column("counts").to_pylist()])
+        pairs = group.column("pairs")[0].as_py()
+        return pa.Table.from_pylist([{
+            "pairs": pairs, "range": group.column("range")[0].as_py(), "filter": segment(hashes, counts),
+            "words": None if pairs else packed(hashes, ordered=True), "counts": None if pairs else packed(counts),
+            "tokens": int(counts.sum()), "distinct": len(hashes)}], SEGMENTS)
+
+    spark = blocks.sparkSession
+    size = blocks.select(F.aggregate("n_tokens", F.lit(0).cast("long"), lambda n, x: n + x).alias("n")).agg(
+        F.sum("n")).first()[0] or 0
+    bits = max(6, math.ceil(math.log2(max(1, size) / RANGE)))
+    path = path or scratch_path(spark, "lm")
+    sent(blocks, bits, True).groupBy("pairs", "range").applyInArrow(merged, _SEGMENTS).write.parquet(f"{path}/segments")
+    spark.range(1).select(F.lit(bits).cast("int").alias("bits")).write.parquet(f"{path}/bits")
+    return open_model(spark, path)
+
+
+def fit(docs: DataFrame, path: str | None = None) -> Model:
+    """Learn from all rows of `docs` and store the model at a new path."""
+    prepare(docs.sparkSession)
+    return fit_blocks(stage(encoded(docs), "blocks"), path)
+
+
+ANSWERS = pa.schema([("block", pa.int64()), ("range", pa.int32()), ("pairs", pa.bool_()), ("levels", pa.binary()),
+                     ("exact", pa.binary())])
+_ANSWERS = "block long, range int, pairs boolean, levels binary, exact binary"
+
+
+def answers(asked: DataFrame, model: Model) -> DataFrame:
+    """For each run that was sent, the levels of its n-grams; for words also the exact counts."""
+    def probed(left: pa.Table, right: pa.Table) -> pa.Table:
+        held = right.to_pylist()[0] if right.num_rows else None
+        told = Segment(held["filter"]) if held else None
+        words = counts = np.zeros(0, np.uint64)
+        if held and not held["pairs"]:
+            words, counts = unpacked(held["words"], ordered=True), unpacked(held["counts"])
         rows = []
-        for block, w in zip(group.column("block").to_pylist(), words):
-            at = np.searchsorted(distinct, w)
-            rows.append({"block": block, "range": r, "pairs": pairs, "levels": packed(levels[at]),
-                         "exact": None if pairs else packed(total[at])})
-        if not pairs:
-            rows.append({"range": r, "pairs": pairs, "tokens": int(total.sum()), "distinct": int((total > 0).sum())})
+        for run in left.select(["block", "range", "pairs", "hashes"]).to_pylist():
+            hashes = unpacked(run["hashes"], ordered=True)
+            levels = told.levels(hashes) if told else np.zeros(len(hashes), np.int64)
+            exact = None
+            if not run["pairs"]:
+                at = np.searchsorted(words, hashes)
+                inside = at < len(words)
+                inside[inside] = words[at[inside]] == hashes[inside]
+                exact = np.zeros(len(hashes), np.int64)
+                exact[inside] = counts[at[inside]]
+                exact = packed(exact)
+            rows.append({"block": run["block"], "range": run["range"], "pairs": run["pairs"], "levels": packed(levels),
+                         "exact": exact})
         return pa.Table.from_pylist(rows, ANSWERS)
 
-    return sent.groupBy("range").applyInArrow(merged, _ANSWERS)
+    keys = ["pairs", "range"]
+    return asked.groupBy(*keys).cogroup(model.segments.groupBy(*keys)).applyInArrow(probed, _ANSWERS)
 
 
-def scores(docs: DataFrame) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
-    prepare(docs.sparkSession)
-    blocks = stage(encoded(docs), "blocks")
-    size = blocks.select(F.aggregate("n_tokens", F.lit(0).cast("long"), lambda n, x: n + x).alias("n")).agg(
-        F.sum("n")).first()[0] or 0
-    bits = max(6, math.ceil(math.log2(max(1, size) / RANGE)))
-    counted = stage(answers(sent_words(blocks, bits), False), "counts")
-    total, distinct = counted.agg(
-        F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
-    floor = total + distinct + 1
+SCORED = "doc_id long, n_tokens long, n_known long, base_score double, score double"
+
+
+def score_blocks(blocks: DataFrame, model: Model) -> DataFrame:
+    """(doc_id, n_tokens, n_known, base_score, score) of the documents in stored blocks."""
+    floor = model.tokens + model.distinct + 1
 
     def scored(left: pa.Table, right: pa.Table) -> pa.Table:
         block = left.slice(0, 1).to_pylist()[0]
@@ -314,10 +349,26 @@ def scores(docs: DataFrame) -> DataFrame:
             "base_score": np.add.reduceat(base[tokens], starts),
             "score": np.add.reduceat(np.log10(chance), starts)})
 
-    told = counted.where("block is not null").unionByName(answers(sent_pairs(blocks, bits), True)).select(
-        "block", "range", "pairs", "levels", "exact")
-    found = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
-        scored, "doc_id long, n_tokens long, n_known long, base_score double, score double")
-    return found.select(
+    told = answers(sent(blocks, model.bits, False), model)
+    wanted = blocks.select("block", "doc_ids", "n_tokens", "words", "tokens")
+    return wanted.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(scored, SCORED)
+
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """Score any documents by a model, whether or not it has seen them."""
+    prepare(docs.sparkSession)
+    return score_blocks(stage(encoded(docs), "blocks"), model)
+
+
+def scores(docs: DataFrame) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row.
+
+    The model learns from the documents that aren't held out.
+    """
+    prepare(docs.sparkSession)
+    held_out = remainder(F.col("doc_id").cast("long"), FOLDS) == HELD_OUT
+    blocks = stage(encoded(docs, ~held_out), "blocks")
+    model = fit_blocks(blocks)
+    return score_blocks(blocks, model).select(
         "doc_id", (remainder(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"), "n_tokens", "n_known",
-        F.lit(int(total)).cast("long").alias("train_tokens"), "base_score", "score")
+        F.lit(int(model.tokens)).cast("long").alias("train_tokens"), "base_score", "score")

@@ -6,6 +6,7 @@ from collections import Counter
 import cases
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from bayline.llm import lm_scoring
 from bayline.llm.common import table
@@ -66,8 +67,7 @@ def test_the_filter_never_tells_too_little():
     rng = np.random.default_rng(2)
     hashes = np.sort(rng.integers(0, 1 << 63, 20_000, dtype=np.uint64))
     counts = rng.geometric(0.2, 20_000).astype(np.int64)
-    data = lm_scoring.segment(hashes, counts, 1 << 24)
-    found = lm_scoring.CountFilter(np.frombuffer(data, np.uint8), np.array([8 * len(data)], np.uint64))
+    found = lm_scoring.Segment(lm_scoring.segment(hashes, counts))
     levels = found.levels(hashes)
     assert (levels >= lm_scoring.levels_of(counts)).all() and (levels == lm_scoring.levels_of(counts)).mean() > 0.9
     others = found.levels(rng.integers(1 << 63, (1 << 64) - 1, 20_000, dtype=np.uint64))
@@ -75,13 +75,51 @@ def test_the_filter_never_tells_too_little():
     assert lm_scoring.middle(np.array([0, 1, 2, 3])).tolist() == [0, 1, 2.5, 5.5]
 
 
-def test_a_full_filter_keeps_the_frequent():
-    hashes = np.arange(10_000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    counts = np.where(np.arange(10_000) < 500, 64, 1)
-    data = lm_scoring.segment(hashes, counts, 40_000)
-    found = lm_scoring.CountFilter(np.frombuffer(data, np.uint8), np.array([8 * len(data)], np.uint64))
-    assert 8 * len(data) <= 40_000 and (found.levels(hashes[:500]) >= 7).all()
-    assert (found.levels(hashes[500:]) > 0).mean() < 0.05
+def test_a_segment_grows_with_its_entries():
+    hashes = np.sort(np.random.default_rng(1).integers(0, 1 << 63, 50_000, dtype=np.uint64))
+    sizes = [8 * len(lm_scoring.segment(hashes[:n], np.ones(n, np.int64))) for n in (10_000, 50_000)]
+    assert sizes == [10_000 * lm_scoring.EVENT_BITS, 50_000 * lm_scoring.EVENT_BITS]
+    assert lm_scoring.Segment(lm_scoring.segment(hashes[:0], np.zeros(0, np.int64))).levels(hashes).sum() == 0
+
+
+def test_a_stored_model_scores_documents_it_never_saw(spark, tmp_path):
+    """Against the filter-free probabilities: exact base, and a score near that of exact counts."""
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    seen, unseen = docs.where("doc_id % 3 > 0"), docs.where("doc_id % 3 = 0")
+    lm_scoring.fit(seen, str(tmp_path / "model"))
+    model = lm_scoring.open_model(spark, str(tmp_path / "model"))
+    texts = [(r.doc_id, r.text) for r in unseen.collect()] + [(-1, "quite unknown wörds"), (-2, None)]
+    asked = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    found = {r.doc_id: r for r in lm_scoring.score(asked, model).collect()}
+    single, double, starts = Counter(), Counter(), 0
+    for r in seen.collect():
+        w = tokens(r.text)
+        single.update(w)
+        double.update(zip(["<s>", *w], w))
+        starts += 1
+    n, v = sum(single.values()), len(single)
+    assert (model.tokens, model.distinct) == (n, v) and len(found) == len(texts)
+    errors, size = 0.0, 0
+    for i, t in texts:
+        w = tokens(t)
+        assert (found[i].n_tokens, found[i].n_known) == (len(w), sum(single[x] > 0 for x in w))
+        assert found[i].base_score == pytest.approx(sum(math.log10((single[x] + 1) / (n + v + 1)) for x in w), rel=1e-9)
+        exact = sum(math.log10((double[a, b] / max(starts if a == "<s>" else single[a], 1) + (single[b] + 1) / (n + v + 1)) / 2)
+                    for a, b in zip(["<s>", *w], w))
+        errors, size = errors + found[i].score - exact, size + len(w)
+    assert abs(errors) / size < 0.1
+    # More texts, other blocks and partitions: the same scores.
+    again = {r.doc_id: r for r in lm_scoring.score(asked.unionByName(asked.where("doc_id < 0")).coalesce(1), model).collect()}
+    assert all(again[i].score == pytest.approx(found[i].score, rel=1e-12) for i in found)
+
+
+def test_segments_are_bounded_rows_of_a_table(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "RANGE", 500)
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    model = lm_scoring.fit(docs)
+    rows = model.segments.select("pairs", "range", F.length("filter").alias("size"), "tokens").collect()
+    assert model.bits > 6 and len(rows) > 2 ** model.bits
+    assert max(r["size"] for r in rows) < 40 * sum(r["size"] for r in rows) / len(rows)
 
 
 def test_no_level_is_left_out(spark, monkeypatch):

@@ -268,6 +268,12 @@ SELECT o_orderkey, o_custkey, o_orderpriority, CAST(o_totalprice AS DOUBLE) AS o
 UNION ALL SELECT o_orderkey, o_custkey, o_orderpriority, CAST(o_totalprice AS DOUBLE), 'new'
 FROM (SELECT * FROM new2 EXCEPT ALL SELECT * FROM old)""")
 
+ORACLE["narrowed_difference"] = ORACLE["reconcile_differing_rows"]
+ORACLE["profile_by_part"] = "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count,"
+    f" CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value FROM orders"
+    for c in ("o_orderpriority", "o_custkey"))
+
 ORACLE["profile_table"] = "\nUNION ALL\n".join(
     f"SELECT '{name}' AS column_name, count(*) AS row_count,"
     f" count(*) - count({expr}) AS null_count, CAST(min({expr}) AS VARCHAR) AS min_value,"
@@ -491,6 +497,17 @@ SELECT CAST((open_date_key - {BUCKET_START}) // {BUCKET_STEP} AS BIGINT) AS buck
   count(*) AS ro_count, CAST(sum(total_amount) AS DOUBLE) AS total_amount
 FROM fact WHERE open_date_key < {BUCKET_END} GROUP BY 1""")
 _HIT = f"service_month = DATE '{SCAN_MONTH}' AND dealer_key = {SCAN_DEALER}"
+# The state that the corrections lead to, counted anew.
+fact("mart_after_corrections", f"""
+SELECT {day("date_trunc('month', moved)")} AS month, dealer_key, count(*) AS ro_count,
+  CAST(sum(amount) AS DOUBLE) AS total_revenue, CAST(coalesce(sum(satisfaction_score), 0) AS BIGINT) AS score_sum,
+  count(satisfaction_score) AS score_count
+FROM (SELECT *, CASE WHEN (dealer_key * 7 + day(service_date)) % 10 = 0
+    THEN service_date + INTERVAL 1 MONTH ELSE service_date END AS moved,
+    CASE WHEN day(CASE WHEN (dealer_key * 7 + day(service_date)) % 10 = 0
+      THEN service_date + INTERVAL 1 MONTH ELSE service_date END) = 3 THEN total_amount + 1 ELSE total_amount END AS amount
+  FROM fact WHERE customer_key % 10 <> 0)
+GROUP BY 1, 2""")
 fact("pruned_scan", f"""
 SELECT ro_number, dealer_key, {day('service_date')} AS service_date, service_type,
   CAST(total_amount AS DOUBLE) AS total_amount FROM fact WHERE {_HIT}""")

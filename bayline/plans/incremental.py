@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from bayline import schemas
 from bayline.operators import gates
-from bayline.operators.ranking import with_surrogate_key
 from bayline.operators.registry import LOAD, KeyRegistry, LoadLog
 from bayline.plans import warehouse
 from bayline.session import stage
@@ -69,13 +68,11 @@ class IncrementalWarehouse:
             keys[name].extend(rows, gates.ARRIVAL, load)
 
         dealers, vehicles, customers = (keys[n].read(spark) for n in ("dealer", "vehicle", "customer"))
-        orphans = warehouse.orphan_rejects(clean, dealers, vehicles)
+        orphans = stage(warehouse.orphan_rejects(clean, dealers, vehicles), "orphans")
         conformed = warehouse.conform_fact(clean, dealers, vehicles, customers, sources.surveys)
-        wanted = [c for c in warehouse.FACT_COLUMNS] + [gates.ARRIVAL]
         start = self.facts.read(spark, before=load).agg(F.coalesce(F.max("ro_key"), F.lit(0))).scalar()
-        keyed = with_surrogate_key(
-            warehouse.resolved(conformed).select(*wanted), [F.col(gates.ARRIVAL)], "ro_key")
-        self.facts.put(keyed.withColumn("ro_key", F.col("ro_key") + start), load)
+        numbers = warehouse.order_keys(clean, orphans)
+        self.facts.put(warehouse.keyed_fact(conformed, numbers.withColumn("ro_key", F.col("ro_key") + start)), load)
         self.rejects.put(gates.quarantine(gated).unionByName(orphans), load)
         # The state last: what reads it as finished finds all tables of the load.
         self.accepted.put(clean.select(F.coalesce(F.col(gates.KEY), F.lit("")).alias(gates.KEY)), load)

@@ -131,7 +131,7 @@ def conform_fact(
     """Clean orders with their surrogate keys and survey scores.
 
     Only left joins: an unknown dealer or vehicle keeps its row with a NULL key, for
-    `resolved` and `orphan_rejects` to deal with. No side is forced to broadcast; the dimensions are stored
+    `orphan_rejects` and `order_keys` to deal with. No side is forced to broadcast; the dimensions are stored
     tables, so Spark picks broadcast or shuffle from their real size and splits skewed keys.
     """
     base = gates.protect_contacts(clean).select(
@@ -148,11 +148,6 @@ def _is_orphan() -> F.Column:
     return F.col("dealer_key").isNull() | F.col("vehicle_key").isNull()
 
 
-def resolved(conformed: DataFrame) -> DataFrame:
-    """The fact rows that found their dealer and their vehicle."""
-    return conformed.where(~_is_orphan())
-
-
 def orphan_rejects(clean: DataFrame, dealers: DataFrame, vehicles: DataFrame) -> DataFrame:
     """Quarantine rows for clean orders whose dealer or vehicle no dimension has.
 
@@ -176,10 +171,20 @@ def orphan_rejects(clean: DataFrame, dealers: DataFrame, vehicles: DataFrame) ->
     )
 
 
-def keyed_fact(rows: DataFrame) -> DataFrame:
-    """Fact rows numbered in arrival order."""
-    wanted = rows.select(*FACT_COLUMNS, "arrival")
-    return with_surrogate_key(wanted, [F.col("arrival")], "ro_key").drop("arrival")
+def order_keys(clean: DataFrame, orphans: DataFrame) -> DataFrame:
+    """(ro_number, ro_key) of the orders that become facts, numbered in arrival order.
+
+    Only numbers and arrivals are sorted and written; an order number is clean once at most.
+    """
+    numbered = clean.select("ro_number", "arrival").join(
+        orphans.select(F.col("ro_number").alias("_orphan")), F.col("ro_number").eqNullSafe(F.col("_orphan")), "left_anti")
+    return with_surrogate_key(numbered, [F.col("arrival")], "ro_key").select("ro_key", "ro_number")
+
+
+def keyed_fact(conformed: DataFrame, keys: DataFrame) -> DataFrame:
+    """The conformed orders that have a key, with it."""
+    keys = keys.withColumnRenamed("ro_number", "_number")
+    return conformed.join(keys, F.col("ro_number").eqNullSafe(F.col("_number"))).select("ro_key", *FACT_COLUMNS)
 
 
 FACT_COLUMNS = tuple(f.name for f in schemas.FACT.fields if f.name != "ro_key")
@@ -189,26 +194,25 @@ def build_warehouse(sources: Sources, on_orphan: str = "quarantine") -> Warehous
     """The whole batch run. `on_orphan` is `quarantine` (keep as rejects) or `fail`.
 
     The gated orders are read by the dimensions, the fact, the rejects and the audit, so they
-    are staged once. The fact is staged once as well, when its keys are numbered. Contact data is
-    hashed before anything is staged.
+    are staged once, and the few orphans are. The fact is computed when it is stored: the keys it
+    takes are numbered apart. Contact data is hashed before anything is staged.
     """
     gated = stage(gates.gate_orders(gates.protect_contacts(sources.orders)), "gated")
     clean = gates.passed(gated)
     dealer, vehicle = dim_dealer(sources.dealers), dim_vehicle(sources.vehicles)
     customer = dim_customer(clean)
-    orphans = orphan_rejects(clean, dealer, vehicle)
+    orphans = stage(orphan_rejects(clean, dealer, vehicle), "orphans")
     if on_orphan == "fail" and not orphans.isEmpty():
         raise ValueError("orders refer to dealers or vehicles the dimensions do not have")
-    keyed = keyed_fact(
-        resolved(conform_fact(clean, dealer, vehicle, customer, sources.surveys)))
+    keys = order_keys(clean, orphans)
     trail = audit.etl_audit(
-        gated, sources.vehicles, sources.dealers, sources.surveys, orphans, keyed)
+        gated, sources.vehicles, sources.dealers, sources.surveys, orphans, keys)
     return Warehouse(
         dim_dealer=dealer,
         dim_vehicle=vehicle,
         dim_customer=customer,
         dim_date=dim_date(clean),
-        fact_repair_orders=keyed,
+        fact_repair_orders=keyed_fact(conform_fact(clean, dealer, vehicle, customer, sources.surveys), keys),
         dq_rejects=gates.quarantine(gated).unionByName(orphans),
         etl_audit=trail,
     )

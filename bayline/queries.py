@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from bayline import schemas
 from bayline.functions import money
-from bayline.operators import audit, checks, gates, history, joins, layout, nested, reconcile
+from bayline.operators import audit, checks, digests, gates, history, joins, layout, nested, reconcile
 from bayline.operators.ranking import top_n_per_group
 from bayline.plans import (
-    churn, governance, incremental, kpis, marts, metrics, outreach, reports, retention, views, warehouse,
+    churn, governance, incremental, kpis, mart_deltas, marts, metrics, outreach, reports, retention, views, warehouse,
 )
 from bayline.plans.star import Star, star
 from bayline.session import scratch_path, stage
@@ -180,6 +180,19 @@ def reconcile_differing_rows(s: Star) -> DataFrame:
     return reconcile.differing_rows(*_order_versions(s))
 
 
+@query
+def narrowed_difference(s: Star) -> DataFrame:
+    """The same unlike rows, from the buckets whose digests differ."""
+    return digests.narrowed_difference(*_order_versions(s), ["o_orderkey"])
+
+
+@query
+def profile_by_part(s: Star) -> DataFrame:
+    """Records of the orders' parts by status, merged; distinct counts are estimates."""
+    orders = src.table(s.spark, s.sf_dir, "orders").select("o_orderstatus", "o_orderpriority", "o_custkey")
+    return digests.merged_profile(digests.profile_record(orders, "o_orderstatus")).drop("distinct_estimate")
+
+
 @query
 def profile_table(s: Star) -> DataFrame:
     return reconcile.profile(src.table(s.spark, s.sf_dir, "orders").select(
@@ -215,11 +228,10 @@ def dim_date(s: Star) -> DataFrame:
 def fact_repair_orders(s: Star) -> DataFrame:
     sources = s.sources()
     clean = stage(gates.clean_orders(sources.orders), "clean")
-    conformed = warehouse.conform_fact(
-        clean, warehouse.dim_dealer(sources.dealers), warehouse.dim_vehicle(sources.vehicles),
-        warehouse.dim_customer(clean), sources.surveys,
-    )
-    return warehouse.keyed_fact(warehouse.resolved(conformed))
+    dealers, vehicles = warehouse.dim_dealer(sources.dealers), warehouse.dim_vehicle(sources.vehicles)
+    conformed = warehouse.conform_fact(clean, dealers, vehicles, warehouse.dim_customer(clean), sources.surveys)
+    orphans = stage(warehouse.orphan_rejects(clean, dealers, vehicles), "orphans")
+    return warehouse.keyed_fact(conformed, warehouse.order_keys(clean, orphans))
 
 
 def _landed(s: Star) -> warehouse.Sources:
@@ -401,6 +413,24 @@ def mart_monthly_dealer_revenue(s: Star) -> DataFrame:
     return marts.monthly_dealer_revenue(s.fact)
 
 
+@query
+def mart_after_corrections(s: Star) -> DataFrame:
+    """The mart after two loads of corrections: prices and dates that change, customers that go."""
+    columns = ["ro_number", "service_date", "dealer_key", "total_amount", "satisfaction_score", "customer_key"]
+    first = stage(s.fact.select(*columns), "orders")
+    moved = F.pmod(F.col("dealer_key") * 7 + F.dayofmonth("service_date"), F.lit(10)) == 0
+    second = first.withColumn("service_date", F.when(moved, F.add_months("service_date", 1)).otherwise(
+        F.col("service_date"))).withColumn("total_amount", F.when(
+            F.dayofmonth("service_date") == 3, F.col("total_amount") + 1).otherwise(F.col("total_amount")))
+    gone = F.col("customer_key") % 10 == 0
+    mart = mart_deltas.DeltaMart(scratch_path(s.spark, "mart"))
+    mart.create(s.spark)
+    mart.apply(None, first, 1)
+    mart.apply(*mart_deltas.changes(first, second), 2)
+    mart.apply(second.where(gone), None, 3)
+    return mart.read(s.spark).withColumn("total_revenue", money(F.col("total_revenue")))
+
+
 @query
 def mart_top3(s: Star) -> DataFrame:
     return marts.top_mart_rows(marts.monthly_dealer_revenue(s.fact))

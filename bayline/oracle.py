@@ -720,6 +720,9 @@ SELECT customer_key, region, churned, CAST(nth > round(n * 0.25) AS INTEGER) AS
 fact("erase_customers", """
 SELECT customer_key, email_hash, phone_last4, consent_status FROM cust
 WHERE consent_status <> 'ccpa_opt_out'""")
+fact("erase_from_files", """
+SELECT customer_key, email_hash, phone_last4, consent_status FROM cust
+WHERE consent_status <> 'ccpa_opt_out' OR customer_key % 5 <> 0""")
 _CUT = f"date_trunc('month', DATE '{AS_OF}') - INTERVAL 36 MONTH"
 fact("retention_tiering", f"""
 SELECT 'detail' AS tier, ro_number, {day('service_month')} AS service_month, dealer_key,
@@ -781,6 +784,12 @@ fact("catalog_conformance", "\nUNION ALL\n".join([
     f" count({c}) AS filled_rows FROM {cte}"
     for name, cte, cols in _TABLES for c in cols
 ] + ["SELECT 'fact_repair_orders', 'satisfaction_score', 'INTERNAL', 'declared_only', 0"]))
+# What the source tables' customer names and vehicle numbers end up in.
+_MADE_OF = "table_name = 'dim_vehicle' AND column_name IN ('vin', 'vehicle_key') OR column_name = 'email_hash'"
+ORACLE["catalog_derived_labels"] = f"""
+SELECT *, CASE WHEN status = 'declared_only' THEN NULL WHEN {_MADE_OF} THEN 'PII_INDIRECT' ELSE 'INTERNAL' END AS derived,
+  CAST(column_name = 'vehicle_key' AND table_name = 'dim_vehicle' AS INTEGER) AS exposed
+FROM ({ORACLE["catalog_conformance"]})"""
 
 # --- streaming -------------------------------------------------------------------------------
 

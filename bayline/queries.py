@@ -16,7 +16,7 @@ from bayline.functions import money
 from bayline.operators import audit, checks, digests, gates, history, joins, layout, nested, reconcile
 from bayline.operators.ranking import top_n_per_group
 from bayline.plans import (
-    churn, governance, incremental, kpis, mart_deltas, marts, metrics, outreach, reports, retention, views, warehouse,
+    churn, erasure, governance, incremental, kpis, lineage, mart_deltas, marts, metrics, outreach, reports, retention, views, warehouse,
 )
 from bayline.plans.star import Star, star
 from bayline.session import scratch_path, stage
@@ -698,6 +698,16 @@ def erase_customers(s: Star) -> DataFrame:
     return governance.erase_customers(s.dim_customer, requests).drop("nation_key")
 
 
+@query
+def erase_from_files(s: Star) -> DataFrame:
+    """The customers that are left after an erasure that rewrites only the files concerned."""
+    customers = s.dim_customer.drop("nation_key").withColumn("customer_key", F.col("customer_key").cast("long"))
+    table = erasure.ErasableTable(scratch_path(s.spark, "erasable"), customers.schema, "email_hash")
+    table.create(customers.repartitionByRange(16, "customer_key"))
+    table.erase(customers.where((F.col("consent_status") == "ccpa_opt_out") & (F.col("customer_key") % 5 == 0)))
+    return table.read(s.spark)
+
+
 @query
 def retention_tiering(s: Star) -> DataFrame:
     return governance.retention_tiers(s.fact, src.AS_OF)
@@ -767,6 +777,12 @@ def catalog_conformance(s: Star) -> DataFrame:
     return governance.catalog_conformance(_catalogued(s))
 
 
+@query
+def catalog_derived_labels(s: Star) -> DataFrame:
+    """Declared labels beside those that follow from the names of customers in the source tables."""
+    return lineage.derived_conformance(_catalogued(s), by_name={"c_name": "PII_DIRECT", "p_partkey": "PII_INDIRECT"})
+
+
 # --- streaming -------------------------------------------------------------------------------
 
 def _routed(s: Star) -> tuple[str, str]:

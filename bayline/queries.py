@@ -8,12 +8,13 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from bayline import schemas
 from bayline.functions import money
-from bayline.operators import audit, checks, digests, gates, history, joins, layout, nested, reconcile
+from bayline.operators import audit, checks, digests, gates, history, joins, layout, nested, reconcile, zones
 from bayline.operators.ranking import top_n_per_group
 from bayline.plans import (
     churn, erasure, governance, incremental, kpis, lineage, mart_deltas, marts, metrics, outreach, reports, retention, views, warehouse,
@@ -488,6 +489,30 @@ def pruning_benefit(s: Star) -> DataFrame:
     return marts.pruning_benefit(marts.curated_fact(s.fact), SCAN_MONTH, SCAN_DEALER)
 
 
+@query
+def scan_reduction(s: Star) -> DataFrame:
+    """What three filters read of the fact under three layouts, by the files' own zone maps."""
+    fact = stage(s.fact.select("ro_number", "dealer_key", "service_type", "service_date", "total_amount"), "laid_out")
+    columns, files = ["service_date", "dealer_key", "service_type"], 32
+    paths = {name: scratch_path(s.spark, name) for name in ("by_month", "sorted", "curve")}
+    month = F.trunc("service_date", "month")
+    fact.repartitionByRange(files, month).write.parquet(paths["by_month"])
+    fact.repartitionByRange(files, month, "dealer_key", "service_type", F.xxhash64("ro_number")).sortWithinPartitions(
+        month, "dealer_key", "service_type").write.parquet(paths["sorted"])
+    zones.write_curve(fact, paths["curve"], columns, files)
+    spans = {
+        "month_and_dealer": {"service_date": (SCAN_MONTH, SCAN_MONTH[:8] + "31"), "dealer_key": (SCAN_DEALER, SCAN_DEALER)},
+        "dealer": {"dealer_key": (SCAN_DEALER, SCAN_DEALER)},
+        "dealer_and_type": {"dealer_key": (SCAN_DEALER, SCAN_DEALER), "service_type": ("recall", "recall")},
+    }
+    parts = []
+    for layout_name, path in paths.items():
+        found = stage(zones.zone_map(s.spark, path, columns), "zones")
+        parts += [zones.touched(found, wanted).select(F.lit(layout_name).alias("layout"), F.lit(name).alias("asked"), "*")
+                  for name, wanted in spans.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 _ORDER = ["ro_number", "service_date", "dealer_key"]
 _ITEM = ["op_code", "description", "labor_hours", "amount"]
 

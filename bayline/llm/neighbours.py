@@ -4,14 +4,17 @@ A rotation learned on a bounded sample (principal axes, then iterative quantisat
 vector into a `BITS`-bit code, which is split into `PARTS` substrings. All codes within a Hamming
 radius r of a query agree with it in at least one substring up to r // `PARTS` bits, so each
 substring is indexed on its own, a query probes the buckets of nearby substring values, and what it
-finds there is reranked by the exact distance. The radius is learned too: the sample's own nearest
-neighbours lie within it with a share of `REACH`. Every vector is indexed. Queries that find too
-few rows within the radius are searched again without one.
+finds there is reranked by the exact distance. Every vector is indexed.
+
+The radius grows by query. The sample tells for each radius the distance up to which it holds a
+share of `REACH` of all pairs; a query is settled once its k-th best lies within that distance, and
+only the others go on to the next of `RADII`, and in the end to a search without a radius. Radii
+that would settle next to none of the sample are left out.
 
 Equal vectors are one entry that carries its smallest ids, so copies make no pairs. The index is
-dealt by substring, range of its values and, where a range is crowded, part of it; queries come in
-blocks. A task keeps the best of a query only, and reports a row under the first substring that
-finds it, so nothing is lost or told twice.
+dealt by substring, range of its values and, where a range is crowded, part of it; so are the queries
+that probe a range, and ranges that nobody probes are not sent. A task keeps the best of a query
+only, and reports a row under the first substring that finds it, so nothing is lost or told twice.
 
 Defined cases: vectors that are null, zero, of another length than most, or hold null or
 non-finite components take no part, and neither do rows with a null id; equal ids are one query,
@@ -21,6 +24,8 @@ fewer than asked for; extra columns are ignored; an empty table gives an empty r
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -33,6 +38,10 @@ BITS, PARTS = 64, 4
 SAMPLE = 10_000
 ASKED = 500
 REACH = 0.98
+# Radii tried one after the other: substrings that differ in up to 0, 1, 3 and 7 bits.
+RADII = (3, 7, 15, 31)
+# A radius that would settle fewer of the sample's queries isn't tried.
+WORTH = 0.02
 # Entries and queries that meet in a task.
 ENTRIES, QUERIES = 16_384, 8_192
 _WIDTH = BITS // PARTS
@@ -60,8 +69,8 @@ def entries(rows: DataFrame, k: int) -> DataFrame:
         F.array_sort(F.collect_set("vec_id")).alias("ids"))
 
 
-def learn(sample: np.ndarray, k: int, rounds: int = 30, seed: int = 5) -> tuple[np.ndarray, np.ndarray, int]:
-    """Centre, rotation and radius."""
+def learn(sample: np.ndarray, k: int, rounds: int = 30, seed: int = 5) -> tuple[np.ndarray, np.ndarray, list[tuple[int, float]]]:
+    """Centre, rotation, and the radii with the distances that they settle."""
     rng = np.random.default_rng(seed)
     centre = sample.mean(0)
     x = sample - centre
@@ -77,14 +86,32 @@ def learn(sample: np.ndarray, k: int, rounds: int = 30, seed: int = 5) -> tuple[
     while rotation.shape[1] < BITS:
         rotation = np.concatenate([rotation, np.linalg.qr(rng.normal(size=(size, size)))[0]], 1)
     rotation = rotation[:, :BITS]
-    codes = (x @ rotation >= 0).astype(np.float32)
-    far = []
-    for i in range(min(ASKED, len(x))):
-        distance = ((x - x[i]) ** 2).sum(1)
-        distance[i] = np.inf
-        near = np.argsort(distance, kind="stable")[:min(k, len(x) - 1)]
-        far += np.abs(codes[near] - codes[i]).sum(1).tolist()
-    return centre, rotation, int(np.ceil(np.quantile(far, REACH))) if far else BITS
+    return centre, rotation, learn_reach(x, (x @ rotation >= 0).astype(np.float32), k)
+
+
+def learn_reach(x: np.ndarray, codes: np.ndarray, k: int) -> list[tuple[int, float]]:
+    """(radius, distance): of the sample's pairs within the distance, `REACH` lie within the radius.
+
+    Only radii that settle some of the sample's queries, by their own k-th nearest.
+    """
+    asked = min(ASKED, len(x))
+    near = min(k, len(x) - 1)
+    if not near:
+        return []
+    distance = np.sqrt(np.array([((x - row) ** 2).sum(1) for row in x[:asked]]))
+    distance[np.arange(asked), np.arange(asked)] = np.inf
+    apart = np.array([np.abs(codes - code).sum(1) for code in codes[:asked]])
+    last = np.sort(distance, axis=1)[:, near - 1]
+    order = np.argsort(distance, axis=None, kind="stable")[:distance.size - asked]
+    sorted_distance, sorted_apart = distance.ravel()[order], apart.ravel()[order]
+    found = []
+    for radius in RADII:
+        share = np.cumsum(sorted_apart <= radius) / np.arange(1, len(order) + 1)
+        enough = np.flatnonzero(share >= REACH)
+        reach = float(sorted_distance[enough[-1]]) if len(enough) else -1.0
+        if (last <= reach).mean() >= WORTH:
+            found.append((radius, reach))
+    return found
 
 
 def coded(rows: DataFrame, centre: np.ndarray, rotation: np.ndarray) -> DataFrame:
@@ -106,26 +133,34 @@ def substring() -> Column:
     return F.expr(f"cast(shiftrightunsigned(code, part * {_WIDTH}) & {(1 << _WIDTH) - 1} as int)")
 
 
+def masks(bits: int, most: int) -> list[int]:
+    """The numbers of `bits` bits with at most `most` ones."""
+    return sorted((m for m in range(1 << bits) if m.bit_count() <= most), key=lambda m: (m.bit_count(), m))
+
+
 def dealt(index: DataFrame, queries: DataFrame, radius: int, parts: int) -> tuple[DataFrame, DataFrame]:
     """Index and queries with the (part, bucket, split, block) they meet under."""
-    n, q = index.count(), queries.count()
+    n = index.count()
     bits = int(min(_WIDTH, max(0, np.ceil(np.log2(max(1, n / ENTRIES))))))
-    blocks = max(1, -(-q // QUERIES))
     each = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
     bucket = F.shiftright(substring(), _WIDTH - bits)
     posted = index.withColumn("part", each).withColumn("bucket", bucket)
-    # A crowded bucket is split, and its queries visit each split.
-    crowds = stage(posted.groupBy("part", "bucket").agg(
-        F.ceil(F.count("*") / (2 * ENTRIES)).cast("int").alias("splits")), "buckets")
-    left = posted.join(crowds, ["part", "bucket"]).withColumn(
-        "split", F.pmod(F.xxhash64("entry"), F.col("splits")).cast("int")).drop("splits").withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    right = queries.select(F.col("entry").alias("query"), F.col("vector").alias("wanted"), "code").withColumn("part", each).withColumn("own", bucket).withColumn(
-        "bucket", F.explode(F.sequence(F.lit(0), F.lit((1 << bits) - 1)))).where(
-        F.bit_count(F.col("own").bitwiseXOR(F.col("bucket"))) <= radius // parts).drop("own")
-    right = right.join(crowds, ["part", "bucket"]).withColumn(
-        "split", F.explode(F.sequence(F.lit(0), F.col("splits") - 1))).drop("splits").withColumn(
-        "block", F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int"))
+    # The top bits of a substring differ in no more bits than all of it.
+    near = F.array(*[F.lit(m) for m in masks(bits, radius // parts)])
+    probes = queries.select(F.col("entry").alias("query"), F.col("vector").alias("wanted"), "code").withColumn(
+        "part", each).withColumn("own", bucket).withColumn("mask", F.explode(near)).withColumn(
+        "bucket", F.col("own").bitwiseXOR(F.col("mask"))).drop("own", "mask")
+    # A crowded bucket is split, and so are the queries that probe it; each split meets each block.
+    places = ["part", "bucket"]
+    crowds = stage(
+        posted.groupBy(*places).agg(F.ceil(F.count("*") / (2 * ENTRIES)).cast("int").alias("splits")).join(
+            probes.groupBy(*places).agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("blocks")), places), "buckets")
+    left = posted.join(crowds, places).withColumn(
+        "split", F.pmod(F.xxhash64("entry"), F.col("splits")).cast("int")).withColumn(
+        "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("splits", "blocks")
+    right = probes.join(crowds, places).withColumn(
+        "split", F.explode(F.sequence(F.lit(0), F.col("splits") - 1))).withColumn(
+        "block", F.pmod(F.xxhash64("query"), F.col("blocks")).cast("int")).drop("splits", "blocks")
     return left, right.withColumnRenamed("code", "asked")
 
 
@@ -185,7 +220,7 @@ def nearest(vectors: DataFrame, every: int = EVERY, k: int = K) -> DataFrame:
     if not drawn:
         return rows.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id",
                            F.lit(0.0).alias("score")).where("false")
-    centre, rotation, radius = learn(np.array([r["vector"] for r in drawn], np.float64), k)
+    centre, rotation, radii = learn(np.array([r["vector"] for r in drawn], np.float64), k)
     index = stage(coded(different, centre, rotation), "index")
     asked = rows.where(F.col("vec_id") % every == 0).select(
         F.col("vec_id").alias("query_id"), F.xxhash64("vector").alias("h1"),
@@ -194,13 +229,19 @@ def nearest(vectors: DataFrame, every: int = EVERY, k: int = K) -> DataFrame:
     index = index.select("entry", "vector", "ids", "code")
     queries = index.join(asked.select("entry").distinct(), "entry", "left_semi")
 
-    within = stage(search(index, queries, radius, PARTS, k), "within")
-    # A query needs k rows beside its own; fewer than that only if there are no more.
-    rows_found = within.groupBy("query").agg(F.sum(F.size("ids")).alias("found"))
-    enough = rows_found.where(F.col("found") > k).select(F.col("query").alias("entry"))
-    short = stage(queries.join(enough, "entry", "left_anti"), "short")
-    again = search(index, short, BITS, 1, k)
-    found = within.join(short.select(F.col("entry").alias("query")), "query", "left_anti").unionByName(again)
+    left = stage(queries, "queries")
+    parts = []
+    for radius, reach in radii:
+        within = stage(search(index, left, radius, PARTS, k), "within")
+        # A query needs k rows beside its own, the last of them within the settled distance.
+        rows_found = within.groupBy("query").agg(
+            F.sum(F.size("ids")).alias("rows"), F.max("score").alias("last")).select(
+            F.col("query").alias("entry"), ((F.col("rows") > k) & (F.col("last") <= reach)).alias("settled"))
+        settled = stage(rows_found.where("settled").select("entry"), "settled")
+        parts.append(within.join(settled.select(F.col("entry").alias("query")), "query", "left_semi"))
+        left = stage(left.join(settled, "entry", "left_anti"), "left")
+    parts.append(search(index, left, BITS, 1, k))
+    found = reduce(DataFrame.unionByName, parts)
     answers = asked.join(found, asked["entry"] == found["query"]).select(
         "query_id", "score", F.explode("ids").alias("vec_id")).where("vec_id <> query_id").groupBy(
         "query_id", "vec_id").agg(F.min("score").alias("score"))

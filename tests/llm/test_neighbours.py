@@ -59,6 +59,54 @@ def test_copies_ties_and_crowds(spark, monkeypatch):
     assert hits >= 0.9 * 10 * len(want)
 
 
+def test_clustered_vectors_are_settled_by_few_probes():
+    """100,000 vectors in clusters: the radius stays small and few codes lie in the probed buckets."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(2000, 32))
+    x = np.repeat(centres, 50, axis=0) + rng.normal(size=(100_000, 32)) * 0.05
+    rng.shuffle(x)
+    centre, rotation, radii = neighbours.learn(x[:neighbours.SAMPLE], 4)
+    bits = np.packbits((x - centre) @ rotation >= 0, axis=1, bitorder="little")
+    codes = bits.view("<u8").ravel()
+    shares, hits, left = [], 0, list(range(0, 100_000, 2000))
+    asked = len(left)
+    for radius, reach in radii:
+        for i in list(left):
+            differ = codes ^ codes[i]
+            probed = np.zeros(len(codes), bool)
+            for part in range(neighbours.PARTS):
+                probed |= np.bitwise_count((differ >> np.uint64(16 * part)) & np.uint64(0xFFFF)) <= radius // neighbours.PARTS
+            rows = np.flatnonzero(probed & (np.bitwise_count(differ) <= radius))
+            distance = np.sqrt(((x[rows] - x[i]) ** 2).sum(1))
+            best = rows[np.argsort(distance)][1:11]
+            shares.append(probed.mean())
+            if len(best) == 10 and np.sort(distance)[10] <= reach:
+                left.remove(i)
+                exact = ((x - x[i]) ** 2).sum(1)
+                exact[i] = np.inf
+                hits += len(set(best.tolist()) & set(np.argsort(exact)[:10].tolist()))
+    print("probed share", sum(shares) / asked, "settled", asked - len(left), "of", asked, "radii", radii)
+    assert len(left) <= 0.1 * asked and sum(shares) / asked < 0.1
+    assert hits >= 0.9 * 10 * (asked - len(left))
+
+
+def test_clusters_settle_early_and_stay_right(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "ENTRIES", 256)
+    monkeypatch.setattr(neighbours, "QUERIES", 8)
+    rng = np.random.default_rng(9)
+    x = np.repeat(rng.normal(size=(60, 24)), 40, axis=0) + rng.normal(size=(2400, 24)) * 0.03
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(2400 + i, rng.normal(size=24).tolist()) for i in range(100)]
+    radii = neighbours.learn(np.array([v for _, v in rows]), 10)[2]
+    assert radii and radii[0][0] < 31
+    got, want = found(neighbours.nearest(frame(spark, rows), every=50)), brute(rows, 50, 10)
+    assert got.keys() == want.keys() and all(len(v) == 10 for v in got.values())
+    assert sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want) >= 0.95 * 10 * len(want)
+
+
+def test_masks():
+    assert neighbours.masks(3, 1) == [0, 1, 2, 4] and neighbours.masks(0, 5) == [0] and len(neighbours.masks(16, 3)) == 697
+
+
 def test_odd_rows(spark):
     good = [(100, [1.0, 2.0, 3.0]), (7, [1.0, 2.0, 4.0]), (9, [1.0, 2.0, 2.0]), (200, [1.0, 2.0, 3.0]),
             (100, [1.0, 2.0, 3.0])]

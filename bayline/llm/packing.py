@@ -2,10 +2,11 @@
 
 A document is its token ids and a closing id. Documents longer than a sequence are cut into full
 sequences and a rest; every other piece stays whole. Pieces are dealt at random into groups of
-about `GROUP` pieces, and each group is packed on its own, longest piece first: a piece goes to
-the open sequence whose choice leaves the smallest sum, over all residual gaps, of the squared
-number of open sequences with that gap. A sequence is opened only where no open one has room. A
-group wastes about one sequence, a few in ten thousand, and its size doesn't grow with the input.
+about `GROUP` sequences' worth of tokens, and each group is packed on its own, longest piece first:
+a piece goes to the open sequence whose choice leaves the smallest sum, over all residual gaps, of
+the squared number of open sequences with that gap. A sequence is opened only where no open one has
+room. A group wastes about one sequence, one in `GROUP` (more only where a group is bounded by its
+`GROUP_PIECES`: pieces of less than 16 tokens), and its size doesn't grow with the input.
 
 Defined cases: null and empty texts are the closing id alone; every row is packed, so repeated
 rows and null ids keep all their pieces (their row keys differ); ties go to the fullest sequence
@@ -27,7 +28,8 @@ from bayline.llm.token_counts import byte_alphabet
 
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 2048
-GROUP = 8192
+GROUP = 2048
+GROUP_PIECES = 1 << 18
 _KNOWN_CHUNKS = 400_000
 _KNOWN_LENGTH = 64
 # Signs that may follow a word; letters below the second are the same composed or not.
@@ -191,12 +193,13 @@ def place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def pack(docs: DataFrame, vocabulary: str | None = None, end_id: int = 0,
-         capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
+         capacity: int = CAPACITY, group: int = GROUP, group_pieces: int = GROUP_PIECES) -> DataFrame:
     """One row per piece: where it starts in its document and where it lies in which sequence."""
     prepare(docs.sparkSession)
     cuts = stage(pieces(docs, vocabulary, end_id, capacity), "pieces")
-    # Groups of a bounded size, however many pieces there are.
-    groups = -(-cuts.count() // group) or 1
+    # Groups of a bounded size, however much there is to pack.
+    number, tokens = cuts.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
+    groups = max(1, -(-tokens // (group * capacity)), -(-number // group_pieces))
 
     def packed(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["length", "row_key", "piece"], ascending=[False, True, True], kind="stable")

@@ -132,6 +132,15 @@ def test_packed_documents(spark, word_library):
 
 
 def test_packed_odd_rows_in_several_groups(spark, word_library):
-    found = packing.pack(cases.frame(spark), group=4).toPandas()
-    check_packed(found, [r[:2] for r in cases.rows()], word_library)
+    for limit in ({"group": 5}, {"group_pieces": 4}):
+        found = packing.pack(cases.frame(spark), **limit).toPandas()
+        check_packed(found, [r[:2] for r in cases.rows()], word_library)
+        assert len(set(found.sequence_id.to_numpy() >> 32)) > 2
     assert packing.pack(cases.empty(spark)).count() == 0
+
+
+def test_short_documents_waste_one_sequence_at_most(spark):
+    """40,000 documents of six tokens fill 118 sequences."""
+    docs = spark.range(40_000).selectExpr("id AS doc_id", "'the cat and the dog' AS text")
+    found = packing.pack(docs).toPandas()
+    assert set(found.length) == {6} and found.sequence_id.nunique() == 118

@@ -28,7 +28,7 @@ HEADLINE = [
     "dashboard_tiles", "mart_monthly_dealer_revenue", "layout_roundtrip", "pruned_scan",
     "retention_features", "customer_service_history", "retention_kpis", "at_risk_by_region",
     "outreach_action_mix", "metric_auc", "lift_at_k", "stream_valid_events",
-    "stream_monthly_mart",
+    "stream_monthly_mart", "stream_dedup", "churn_metrics",
 ]
 
 

@@ -3,6 +3,11 @@
 Each stage reads what the one before it wrote, as Parquet, and returns the columns of `documents`;
 the last returns the packed pieces. ORACLE_SQL is None: SQL can't express a learned classifier, so
 the stages are tested against brute-force versions.
+
+Defined cases: null and empty texts are scored, link with nothing, hold no secret, and are one closing
+id when packed; rows with a null id are kept by every stage that accepts their text; of rows that share
+an id, unlike ones are decided each and like ones leave one; repeated rows are like ones; extra columns
+pass through all stages but the last; an empty table gives an empty result.
 """
 
 from __future__ import annotations

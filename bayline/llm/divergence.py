@@ -315,7 +315,7 @@ def audit(docs: DataFrame, least: int = LEAST, top: int = TOP_TERMS, cells: int
     others = grouped.select("lang", F.col("source").alias("item"), F.col("total").alias("other_total"))
     pairs = grouped.join(others, "lang").where("source <> item").join(sums, ["lang", "source", "item"], "left")
     # Terms that neither source's block has: as many times the divergence of two counts of 0.
-    unseen = f"(v - coalesce(seen, 0)) * (((p - q) * (p - q)) div q)"
+    unseen = "(v - coalesce(seen, 0)) * (((p - q) * (p - q)) div q)"
     pairs = (pairs.withColumn("p", F.expr(f"if(v > 0, 1 + {SCALE} div (total + v), 1)"))
              .withColumn("q", F.expr(f"if(v > 0, 1 + {SCALE} div (other_total + v), 1)"))
              .select("lang", "source", F.lit("pair").alias("part"), "item",

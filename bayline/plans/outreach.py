@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from bayline.operators.ranking import top_fraction_per_group, top_n_per_group
 from bayline.operators.selection import best_fraction
+from bayline.session import stage
 
 
 @dataclass(frozen=True)
@@ -63,8 +64,12 @@ def at_risk(
     scored: DataFrame, fraction: float = 0.15, score: str = "churn_risk",
     key: str = "customer_key",
 ) -> DataFrame:
-    """The given fraction of customers with the highest score; ties go by key."""
-    return best_fraction(scored, fraction, score, key)
+    """The given fraction of customers with the highest score; ties go by key.
+
+    The scored customers are stored first: looking for the cut and selecting by it both read them,
+    and what they come from, the fact as a rule, is far larger.
+    """
+    return best_fraction(stage(scored, "scored"), fraction, score, key)
 
 
 def recommendations(

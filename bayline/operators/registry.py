@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from bayline.operators.files import Folder
 from bayline.operators.ranking import with_surrogate_key
+from bayline.session import COMPACT
 
 LOAD = "load"
 
@@ -49,7 +50,7 @@ class LoadLog:
         if load > last + 1:
             raise ValueError(f"load {last + 1} of {self.path} is missing before load {load}")
         rows.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields]).write.mode(
-            "overwrite").parquet(f"{self.path}/{LOAD}={load}")
+            "overwrite").parquet(f"{self.path}/{LOAD}={load}", compression=COMPACT)
 
 
 def same(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:

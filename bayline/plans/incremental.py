@@ -18,7 +18,7 @@ from bayline import schemas
 from bayline.operators import gates
 from bayline.operators.registry import LOAD, KeyRegistry, LoadLog
 from bayline.plans import warehouse
-from bayline.session import stage
+from bayline.session import COMPACT, stage
 
 _TEXT = T.StringType()
 
@@ -61,7 +61,7 @@ class IncrementalWarehouse:
     def load(self, sources: warehouse.Sources, load: int) -> None:
         spark = sources.orders.sparkSession
         seen = self.accepted.read(spark, before=load).select(gates.KEY)
-        gated = stage(gates.gate_orders(gates.protect_contacts(sources.orders), seen=seen), "gated")
+        gated = stage(gates.protect_contacts(gates.gate_orders(sources.orders, seen=seen)), "gated", COMPACT)
         clean = gates.passed(gated)
         keys = self.registries
         for name, rows in (("dealer", sources.dealers), ("vehicle", sources.vehicles), ("customer", clean)):

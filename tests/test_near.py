@@ -71,3 +71,8 @@ def test_surveys_and_keys_share_a_shuffle_of_the_fact(spark, shuffled):
     # No survey without a number answers for an order without one, nor does an empty number.
     assert sorted((r.ro_key, r.ro_number, r.satisfaction_score, r.customer_key) for r in fact.collect()) == [
         (1, None, None, 1), (2, "A", 4, 1), (3, "C", None, 1), (4, "B", None, 1)]
+
+
+def test_landing_files_are_compressed(spark):
+    landed = queries._landed(star(spark, f"{DATA}/sf0.001"))
+    assert all(f.endswith(".gz") for df in (landed.orders, landed.surveys) for f in df.inputFiles())

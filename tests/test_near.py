@@ -76,3 +76,8 @@ def test_surveys_and_keys_share_a_shuffle_of_the_fact(spark, shuffled):
 def test_landing_files_are_compressed(spark):
     landed = queries._landed(star(spark, f"{DATA}/sf0.001"))
     assert all(f.endswith(".gz") for df in (landed.orders, landed.surveys) for f in df.inputFiles())
+
+
+def test_the_feed_is_written_by_all_tasks(spark):
+    files = spark.read.parquet(queries._delivered_again(star(spark, f"{DATA}/sf0.001"))).inputFiles()
+    assert len(files) >= 2 * spark.sparkContext.defaultParallelism

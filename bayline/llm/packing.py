@@ -111,16 +111,16 @@ class ChunkEncoder:
         if len(self.known) > _KNOWN_CHUNKS:
             self.known.clear()
         chunks = [[] if not t else [t] if _SEPARATORS.search(t) else t.split() for t in texts]
-        found = [list(map(self.known.get, words)) for words in chunks]
-        missing = {w for words, ids in zip(chunks, found) if None in ids for w, i in zip(words, ids) if i is None}
+        # One look-up a different chunk, then one an occurrence, both inside the interpreter's own loops.
+        missing = set().union(*chunks).difference(self.known)
         once: dict[str, bytes] = {}
         long = {c for c in missing if len(c) > _KNOWN_LENGTH}
         self.learn(missing - long if long else missing, self.known)
-        if long:
-            self.learn(long, once)
-        return [np.frombuffer(b"".join(ids if None not in ids else [
-            (self.known.get(w) or once.get(w, b"")) if i is None else i for w, i in zip(words, ids)]), "<u4")
-            for words, ids in zip(chunks, found)]
+        if not long:
+            return [np.frombuffer(b"".join(map(self.known.__getitem__, words)), "<u4") for words in chunks]
+        self.learn(long, once)
+        return [np.frombuffer(b"".join([
+            once[w] if w in once else self.known[w] for w in words]), "<u4") for words in chunks]
 
 
 def cut(ids: np.ndarray, capacity: int):

@@ -2,6 +2,7 @@ import cases
 import numpy as np
 import public_tokenizers
 import pytest
+import sys
 import zlib
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
@@ -59,6 +60,17 @@ def test_known_words_are_bounded(encoder, monkeypatch):
     assert encoder([text])[0].tolist() == first
 
 
+def test_occurrences_of_a_new_word_cost_no_call_each(encoder, word_library):
+    text, calls = "quorvexant-17 " * 5000, []
+    sys.setprofile(lambda frame, event, arg: calls.append(event))
+    try:
+        found = encoder([text])
+    finally:
+        sys.setprofile(None)
+    assert len(calls) < 1000
+    assert found[0].tolist() == word_library.encode(text, add_special_tokens=False).ids
+
+
 def test_long_texts_and_words(encoder, word_library):
     texts = [" ".join(f"Word{i}, é" for i in range(200)), "", None, "x" * 300 + "\u3000y", "short", "\u2028" * 120, "a b"]
     for text, ids in zip(texts, encoder(texts)):

@@ -90,7 +90,7 @@ class KeyRegistry:
         arriving = rows.groupBy(*self.natural).agg(F.min(order).alias("_first"))
         unseen = arriving.join(known, same(arriving, known, self.natural), "left_anti")
         start = known.agg(F.coalesce(F.max(self.key), F.lit(0))).scalar()
-        numbered = with_surrogate_key(unseen, [F.col("_first")], self.key)
+        numbered = with_surrogate_key(unseen, [F.col("_first")], self.key, keep=self.natural)
         self.log.put(numbered.withColumn(self.key, F.col(self.key) + start), load)
 
     def resolve(self, rows: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from bayline import queries
 from bayline.operators import gates
 from bayline.plans import warehouse
 from bayline.plans.star import star
+from bayline.session import stage
 
 ROWS = [  # order number, the column beside it, whether the row passes the other gates
     ("B", 2, False), (None, 1, False), (None, 5, True), ("", 3, True), ("A", 1, True), (None, 1, True), ("A", 1, True),
@@ -72,6 +73,42 @@ def test_surveys_and_keys_share_a_shuffle_of_the_fact(spark, shuffled):
         (1, None, None, 1), (2, "A", 4, 1), (3, "C", None, 1), (4, "B", None, 1)]
 
 
+def conformed(spark):
+    clean = placed(spark).where("arrival IN (2, 4, 7, 8)").drop(gates.NEAR)
+    surveys = spark.createDataFrame(
+        [], "survey_id string, ro_number string, response struct<satisfaction int, would_recommend boolean, "
+        "comments_present boolean>, channel string, arrival bigint")
+    dealers = spark.createDataFrame([("D1", 7)], "dealer_id string, dealer_key bigint")
+    vehicles = spark.createDataFrame([("V1", 8)], "vin string, vehicle_key bigint")
+    return clean, warehouse.conform_fact(clean, dealers, vehicles, warehouse.dim_customer(clean), surveys)
+
+
+def test_the_fact_derives_its_columns_after_its_shuffles(spark, shuffled):
+    plan = conformed(spark)[1]._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("AS total_amount") < plan.index("SortMergeJoin")
+    assert plan.index("AS open_date_key") < plan.index("SortMergeJoin")
+
+
+def test_numbers_are_stored_without_what_they_were_sorted_by(spark):
+    keys = warehouse.order_keys(conformed(spark)[0], spark.createDataFrame([], "ro_number string"))
+    stored = {c for f in keys.inputFiles() if "/position-" in f for c in spark.read.parquet(f).columns}
+    assert "ro_number" in stored and "arrival" not in stored
+    assert sorted((r.ro_key, r.ro_number or "") for r in keys.collect()) == [(1, ""), (2, "A"), (3, "C"), (4, "B")]
+
+
+@pytest.mark.parametrize("beside", [True, False])
+def test_numbers_that_come_once_meet_earlier_loads_without_their_arrival(spark, monkeypatch, beside):
+    kept = []
+    monkeypatch.setattr(gates, "stage", lambda df, *rest: kept.append(stage(df, *rest)) or kept[-1])
+    raw = placed(spark) if beside else placed(spark).drop(gates.NEAR)
+    seen = spark.createDataFrame([("C",), ("Z",)], "ro_number string")
+    assert reasons(gates.gate_orders(raw, seen=seen)) == [
+        "missing_vin", "missing_vin", "", "duplicate_ro_number", "", "duplicate_ro_number", "duplicate_ro_number",
+        "duplicate_ro_number", "", "duplicate_ro_number", "missing_vin,duplicate_ro_number"]
+    found = {r["_number"]: r["_first_clean"] for r in kept[0].where("_number <> ''").collect()}
+    assert found == {"A": 4, "B": 8, "C": None}
+
+
 def test_landing_files_are_compressed(spark):
     landed = queries._landed(star(spark, f"{DATA}/sf0.001"))
     assert all(f.endswith(".gz") for df in (landed.orders, landed.surveys) for f in df.inputFiles())

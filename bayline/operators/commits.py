@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from bayline.operators.files import Folder
+from bayline.session import shuffles_freed
 
 DAY = 86_400.0
 _COMMITS, _DATA = "commits", "versions"
@@ -51,7 +52,8 @@ class Commits:
             after = self.latest(spark) or 0
         version = uuid.uuid4().hex
         for name, df in tables.items():
-            df.write.parquet(f"{self.root}/{_DATA}/{version}/{name}")
+            with shuffles_freed(spark):
+                df.write.parquet(f"{self.root}/{_DATA}/{version}/{name}")
         entry = {"version": version, "schemas": {name: df.schema.json() for name, df in tables.items()}}
         if not Folder(spark, self.root).create(_file(after + 1), json.dumps(entry)):
             raise CommitConflict(f"{self.root} has gone beyond commit {after}")

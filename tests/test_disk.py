@@ -146,3 +146,17 @@ def test_stored_members_hold_natural_keys_of_orphans_only(spark):
     assert "email_hash" not in found.columns
     assert {(r.ro_number, r.dealer_id, r.vin) for r in found.where("dealer_id IS NOT NULL OR vin IS NOT NULL").collect()} == {
         ("D", "D9", "V1"), ("E", None, "V9")}
+
+
+def test_orders_are_landed_in_order_from_narrow_rows(spark, tables):
+    given = src.raw_orders(spark, tables, contacts=True)
+    landed = queries._landed(star(spark, tables))
+    texts = [c for c in landed.orders.columns if c != "arrival"]
+    rows = lambda df: [tuple(r) for r in df.orderBy("arrival").select(*[F.col(c).cast("string") for c in texts]).collect()]
+    assert rows(landed.orders) == rows(given)
+    found = [r.survey_id for r in landed.surveys.orderBy("arrival").collect()]
+    assert found == [r.survey_id for r in src.surveys(spark, tables).orderBy("arrival").collect()] and found
+    for df in (src.raw_orders(spark, tables, contacts=True, in_order=True), src.surveys(spark, tables, in_order=True)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        # What files hold is derived behind the shuffle by range.
+        assert plan.index("AS ro_number") < plan.index("Exchange rangepartitioning(l_orderkey")
